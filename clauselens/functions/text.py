@@ -23,6 +23,7 @@ WS = r"[\s\x1c-\x1f]"  # needs (?U)
 ASCII_WS = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f ]"
 UNEVEN_ASCII = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f]| {2}"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+ASCII_LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e]"
 # a line never contains this character, because it is a line break itself
 NEVER_IN_LINE = "\x1c"
 INVISIBLE_SPACES = "\u00a0\u200b\u200c\u200d\u2009\u202f\ufeff"
@@ -38,6 +39,18 @@ def first(array: Column) -> Column:
     return F.try_element_at(array, F.lit(1))
 
 
+def minimal(words: list[str]) -> list[str]:
+    """The words without those that contain another one."""
+    return [w for w in dict.fromkeys(words) if not any(o != w and o in w for o in words)]
+
+
+def cue_pattern(words: list[str]) -> str:
+    """Does the text contain one of the words?  One regex pass, for many words."""
+    needed = minimal(words)
+    initials = "".join(re.escape(ch) for ch in sorted({w[0] for w in needed}))
+    return f"(?=[{initials}])(?:{any_of(needed)})"
+
+
 def any_of(words: list[str]) -> str:
     """One literal alternation, so a list of words is a single regex pass."""
     return "|".join(re.escape(w) for w in words)
@@ -45,24 +58,40 @@ def any_of(words: list[str]) -> str:
 
 def has_any(c: Column, words: list[str]) -> Column:
     """Does the text contain one of the words?  Byte search, no regex."""
-    needed = [w for w in dict.fromkeys(words) if not any(o != w and o in w for o in words)]
-    return reduce(lambda a, b: a | b, [c.contains(w) for w in needed])
+    return reduce(lambda a, b: a | b, [c.contains(w) for w in minimal(words)])
 
 
-def starting_with(chars: str) -> str:
+def starting_with(chars: str, plain: bool) -> str:
     """Lookahead for the first character, tested before anything dearer.
 
-    Takes both cases and the letters that count as case variants of i, k and s.
+    Takes both cases and, in text that is not plain ASCII, the letters that count as
+    case variants of i, k and s.
     """
     variants = {"i": "\u0130\u0131", "k": "\u212a", "s": "\u017f"}
-    letters = {v for ch in chars for v in (ch.lower() + ch.upper() + variants.get(ch.lower(), ""))}
+    letters = {v for ch in chars for v in ch.lower() + ch.upper()}
+    if plain:
+        letters = {ch for ch in letters if ch.isascii()}
+    else:
+        letters |= {v for ch in chars for v in variants.get(ch.lower(), "")}
     return "(?=[" + "".join(re.escape(ch) for ch in sorted(letters)) + "])"
 
 
-def word_start(patterns: list[str]) -> str:
-    r"""One pattern for several that all begin with ``\b`` and a plain letter."""
+def flags(letters: str, plain: bool) -> str:
+    """Inline pattern flags; Unicode classes only where the text needs them."""
+    wanted = letters if plain else letters + "U"
+    return f"(?{wanted})" if wanted else ""
+
+
+def word_start(patterns: list[str], plain: bool) -> str:
+    r"""One pattern for several folded ones that all begin with ``\b`` and a letter."""
     bodies = [p.removeprefix(r"\b") for p in patterns]
-    return r"(?U)" + starting_with("".join(b[0] for b in bodies)) + r"\b(?:" + "|".join(bodies) + ")"
+    initials = "".join(re.escape(ch) for ch in sorted({b[0] for b in bodies}))
+    return flags("", plain) + rf"(?=[{initials}])\b(?:" + "|".join(bodies) + ")"
+
+
+def by_script(plain: Column, build: Callable[[bool], Column]) -> Column:
+    """The same rule with ASCII patterns for plain text and Unicode ones otherwise."""
+    return F.when(plain, build(True)).otherwise(build(False))
 
 
 def strip(c: Column) -> Column:
@@ -123,6 +152,10 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(source + dropped), "".join(target), longer
 
 
+# blocks of the characters that fold into more than one (a superset, tested first)
+_LONGER_BLOCKS = r"[\u00bc-\u00be\u0132-\u01f3\u2010-\u218f\ufb00-\ufb06]"
+
+
 def fold(c: Column) -> Column:
     """Lower case without accents."""
     return let(c, fold_ref)
@@ -134,7 +167,7 @@ def fold_ref(c: Column) -> Column:
     expanded = c
     for ch, folded in longer.items():
         expanded = F.replace(expanded, F.lit(ch), F.lit(folded))
-    has_longer = c.rlike("[" + "".join(longer) + "]")
+    has_longer = c.rlike(_LONGER_BLOCKS)
     folded = F.when(has_longer, F.translate(expanded, source, target)).otherwise(F.translate(c, source, target))
     return F.lower(F.when(is_ascii(c), c).otherwise(folded))
 
@@ -167,7 +200,8 @@ def split_lines(c: Column) -> Column:
     def drop_last_empty(parts: Column) -> Column:
         return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
 
-    return let(F.split(c, LINE_BREAK), drop_last_empty)
+    parts = F.when(is_ascii(c), F.split(c, ASCII_LINE_BREAK)).otherwise(F.split(c, LINE_BREAK))
+    return let(parts, drop_last_empty)
 
 
 def split_paragraphs(c: Column) -> Column:

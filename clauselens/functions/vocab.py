@@ -264,6 +264,7 @@ RENEWAL_POSITIVE = [
     r"\btacite reconduction\b",
     r"\brenouvellement automatique\b",
 ]
+RENEWAL_STEMS = ["renew", "reconduction", "renouvel", "evergreen"]  # each pattern above has one
 RENEWAL_CONFIDENCE = 0.95
 
 RENEWAL_NOTICE_CUES = ["renew", "reconduction", "renouvellement"]
@@ -359,6 +360,16 @@ PERIODICITY_PATTERNS = {
     "ON_DELIVERY": [r"\bon delivery\b", r"\bupon delivery\b", r"\ba la livraison\b"],
     "ONE_OFF": [r"\bone[- ]off\b", r"\bone time\b", r"\bsingle payment\b", r"\blump sum\b", r"\bforfait unique\b"],
 }
+PERIODICITY_STEMS = {
+    "MONTHLY": ["month", "mensuel", "par mois"],
+    "QUARTERLY": ["quarter", "trimestriel"],
+    "SEMI_ANNUAL": ["semi"],
+    "ANNUAL": ["annual", "per year", "annuel"],
+    "MILESTONE_BASED": ["milestone", "jalon"],
+    "USAGE_BASED": ["usage", "per api call", "per use", "selon l'utilisation"],
+    "ON_DELIVERY": ["on delivery", "a la livraison"],
+    "ONE_OFF": ["one", "single payment", "lump sum", "forfait unique"],
+}  # each pattern above contains one of its stems
 PERIODICITY_CONFIDENCE = 0.92
 PERIODICITY_MIXED_CONFIDENCE = 0.7
 PERIODICITY_MIXED_NOTE = "Multiple explicit billing cadences detected."

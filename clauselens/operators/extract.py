@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from clauselens.functions import vocab as V
 from clauselens.functions.parse import currency_code, parse_date, parse_number
 from clauselens.functions.text import (
-    any_of, count_cues, first, fold, has_any, language_of, let, quote, squeeze, starting_with, word_start,
+    any_of, by_script, count_cues, cue_pattern, first, flags, fold, fold_ref, has_any, is_ascii, language_of, let, quote,
+    squeeze, starting_with, word_start,
 )
 from clauselens.operators.prepare import ID, prepare, with_clauses, with_header, with_lines
 
@@ -54,34 +55,34 @@ def _group(text: Column, pattern: str, n: int = 1) -> Column:
     return F.when(found != "", found)
 
 
-def _first_group(text: Column, patterns: list[str]) -> Column:
-    """First capture group, in the order of the patterns."""
-    return F.coalesce(*[_group(text, "(?U)" + p) for p in patterns])
+def _first_group(c: Column, patterns: list[str]) -> Column:
+    """First capture group in a clause, in the order of the patterns."""
+    return by_script(c["plain"], lambda plain: F.coalesce(
+        *[_group(c["folded"], flags("", plain) + p) for p in patterns]))
 
 
-def _matches(folded: Column, patterns: list[str]) -> Column:
-    return folded.rlike(word_start(patterns))
+def _matches(c: Column, patterns: list[str]) -> Column:
+    return by_script(c["plain"], lambda plain: c["folded"].rlike(word_start(patterns, plain)))
 
 
 # --- whole-document rules ----------------------------------------------------
 
-def contract_type(lines: Column, header: Column, folded_header: Column) -> Column:
-    """Type of the first keyword, in rule order, that stands alone in the header."""
-    rules = [(name, fold_word) for name, words in V.TYPE_KEYWORDS.items() for fold_word in _folded(words)]
-    hits = F.array(*[
-        F.when(folded_header.contains(word) & folded_header.rlike(_whole_word(word)),
+def type_keyword(folded_header: Column) -> Column:
+    """(keyword, kind) of the first keyword, in rule order, that stands alone in the header."""
+    return F.coalesce(*[
+        F.when(folded_header.contains(word) & folded_header.rlike(rf"(?U)(?<!\w){any_of([word])}(?!\w)"),
                F.struct(F.lit(word).alias("keyword"), F.lit(name).alias("kind")))
-        for name, word in rules
+        for name, words in V.TYPE_KEYWORDS.items() for word in _folded(words)
     ])
 
-    def to_candidate(hit: Column) -> Column:
-        pattern = F.concat(F.lit(r"(?U)(?<!\w)\Q"), hit["keyword"], F.lit(r"\E(?!\w)"))
-        top = F.slice(lines, 1, V.HEADER_LINES)
-        same_line = first(F.filter(top, lambda x: let(
-            fold(x), lambda f: f.contains(hit["keyword"]) & F.regexp_like(f, pattern))))
-        return candidate(hit["kind"], quote(F.coalesce(same_line, header)), V.TYPE_CONFIDENCE, 0)
 
-    return let(first(F.array_compact(hits)), to_candidate)
+def contract_type(hit: Column, lines: Column, header: Column) -> Column:
+    """Candidate of a keyword found by :func:`type_keyword`, quoting its first line."""
+    pattern = F.concat(F.lit(r"(?U)(?<!\w)\Q"), hit["keyword"], F.lit(r"\E(?!\w)"))
+    top = F.slice(lines, 1, V.HEADER_LINES)
+    same_line = first(F.filter(top, lambda x: let(
+        fold_ref(x), lambda f: f.contains(hit["keyword"]) & F.regexp_like(f, pattern))))
+    return candidate(hit["kind"], quote(F.coalesce(same_line, header)), V.TYPE_CONFIDENCE, 0)
 
 
 def _folded(words: list[str]) -> list[str]:
@@ -89,18 +90,16 @@ def _folded(words: list[str]) -> list[str]:
     return list(dict.fromkeys(w.lower() for w in plain))
 
 
-def _whole_word(word: str) -> str:
-    return rf"(?U)(?<!\w){any_of([word])}(?!\w)"
-
-
-def labelled_date(text: Column, labels: list[str], pos: int) -> Column:
+def labelled_date(text: Column, plain: Column, labels: list[str], pos: int) -> Column:
     """First date that parses and stands next to one of the labels."""
-    start = starting_with("".join(label[0] for label in labels))
-    pattern = rf"(?sU){start}(?i)\b(?:{any_of(labels)})\b[^\n\r:\d]{{0,40}}[:\-]?\s*({V.DATE_PATTERN})"
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parsed = F.transform(matches, lambda m: F.struct(
-        m.alias("quote"), parse_date(F.regexp_extract(m, pattern, 1)).alias("value")))
-    found = first(F.filter(parsed, lambda x: x["value"].isNotNull()))
+    def parsed(is_plain: bool) -> Column:
+        start = flags("s", is_plain) + starting_with("".join(label[0] for label in labels), is_plain)
+        known = [label for label in labels if label.isascii() or not is_plain]
+        pattern = rf"{start}(?i)\b(?:{any_of(known)})\b[^\n\r:\d]{{0,40}}[:\-]?\s*({V.DATE_PATTERN})"
+        return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(
+            m.alias("quote"), parse_date(F.regexp_extract(m, pattern, 1)).alias("value")))
+
+    found = first(F.filter(by_script(plain, parsed), lambda x: x["value"].isNotNull()))
     return let(found, lambda x: candidate(x["value"], quote(x["quote"]), V.DATE_CONFIDENCE, pos))
 
 
@@ -108,52 +107,61 @@ def _party(raw: Column) -> Column:
     return F.btrim(squeeze(raw), F.lit(" -:"))
 
 
-def counterparty_name(text: Column, pos: int = 1) -> Column:
+def counterparty_name(text: Column, plain: Column, pos: int = 1) -> Column:
     """Role-labelled party, else the second party of a two-party definition."""
-    role = rf"(?imdU)^\s*(?:{any_of(V.ROLE_LABELS)})\s*[:\-]\s*([^\n,;()]+(?:\([^)\n]+\))?)"
-    matches = F.regexp_extract_all(text, F.lit(role), F.lit(0))
-    named = F.transform(matches, lambda m: F.struct(
-        m.alias("quote"), _party(F.regexp_extract(m, role, 1)).alias("name")))
-    labelled = let(
-        first(F.filter(named, lambda x: F.length(x["name"]) >= 3)),
-        lambda x: candidate(x["name"], quote(x["quote"]), V.ROLE_CONFIDENCE, pos, note=V.ROLE_NOTE),
-    )
     window = F.substring(text, 1, V.PARTY_WINDOW_CHARS)
-    paired = []
-    for start, body in zip("be", V.PAIR_PATTERNS):
-        pattern = "(?sdU)" + starting_with(start) + "(?i)" + body
 
-        def second_party(m: Column) -> Column:
-            name = let(_party(F.regexp_extract(m, pattern, 2)), lambda n: F.when(F.length(n) >= 3, n))
-            return candidate(name, quote(m), V.PAIR_CONFIDENCE, pos, note=V.PAIR_NOTE)
+    def rules(is_plain: bool) -> Column:
+        role = flags("imd", is_plain) + rf"^\s*(?:{any_of(V.ROLE_LABELS)})\s*[:\-]\s*([^\n,;()]+(?:\([^)\n]+\))?)"
+        named = F.transform(F.regexp_extract_all(text, F.lit(role), F.lit(0)), lambda m: F.struct(
+            m.alias("quote"), _party(F.regexp_extract(m, role, 1)).alias("name")))
+        labelled = let(
+            first(F.filter(named, lambda x: F.length(x["name"]) >= 3)),
+            lambda x: candidate(x["name"], quote(x["quote"]), V.ROLE_CONFIDENCE, pos, note=V.ROLE_NOTE),
+        )
+        paired = []
+        for initial, body in zip("be", V.PAIR_PATTERNS):
+            pattern = flags("sd", is_plain) + starting_with(initial, is_plain) + "(?i)" + body
+
+            def second_party(m: Column) -> Column:
+                name = let(_party(F.regexp_extract(m, pattern, 2)), lambda n: F.when(F.length(n) >= 3, n))
+                return let(name, lambda n: candidate(n, quote(m), V.PAIR_CONFIDENCE, pos, note=V.PAIR_NOTE))
+
+            paired.append(let(F.regexp_extract(window, pattern, 0), second_party))
+        return F.coalesce(labelled, *paired)
 
-        paired.append(let(F.regexp_extract(window, pattern, 0), second_party))
-    return F.coalesce(labelled, *paired)
+    return by_script(plain, rules)
 
 
-def counterparty_signatory(text: Column, pos: int = 2) -> Column:
+def counterparty_signatory(text: Column, plain: Column, pos: int = 2) -> Column:
     """Name in the first signature block of either shape, two words at least."""
-    has_name_label = text.rlike(r"(?U)" + starting_with("bn") + r"(?i)\b(?:by|name|nom)\s*[:\-]")
-    starts = ("(?sU)" + starting_with("fop") + "(?i)", "(?ismdU)")
-    blocks = []
-    for start, body in zip(starts, V.SIGNATORY_PATTERNS):
-        pattern = start + body
+    def rules(is_plain: bool) -> Column:
+        label = flags("", is_plain) + starting_with("bn", is_plain) + r"(?i)\b(?:by|name|nom)\s*[:\-]"
+        starts = (flags("s", is_plain) + starting_with("fop", is_plain) + "(?i)", flags("ismd", is_plain))
+        blocks = []
+        for start, body in zip(starts, V.SIGNATORY_PATTERNS):
+            pattern = start + body
 
-        def person(m: Column) -> Column:
-            name = let(_party(F.regexp_extract(m, pattern, 1)),
-                       lambda n: F.when(F.size(F.split(n, " ")) >= 2, n))
-            return candidate(name, quote(m), V.SIGNATORY_CONFIDENCE, pos)
+            def person(m: Column) -> Column:
+                name = let(_party(F.regexp_extract(m, pattern, 1)),
+                           lambda n: F.when(F.size(F.split(n, " ")) >= 2, n))
+                return let(name, lambda n: candidate(n, quote(m), V.SIGNATORY_CONFIDENCE, pos))
 
-        blocks.append(let(F.regexp_extract(text, pattern, 0), person))
-    return F.when(has_name_label, F.coalesce(*blocks))
+            blocks.append(let(F.regexp_extract(text, pattern, 0), person))
+        return F.when(text.rlike(label), F.coalesce(*blocks))
 
+    return by_script(plain, rules)
 
-def currency(text: Column, pos: int = _LATE + 1) -> Column:
+
+def currency(text: Column, plain: Column, pos: int = _LATE + 1) -> Column:
     """The only currency of the document, null when there are several."""
     starts = "".join(dict.fromkeys(token[0] for token in V.CURRENCY_CODES))
-    pattern = f"(?U)(?=[{starts}])(?:{V.CURRENCY_TOKENS})"
-    tokens = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    codes = F.array_distinct(F.transform(tokens, currency_code))
+
+    def tokens(is_plain: bool) -> Column:
+        pattern = flags("", is_plain) + f"(?=[{starts}])(?:{V.CURRENCY_TOKENS})"
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    codes = F.array_distinct(F.transform(F.array_distinct(by_script(plain, tokens)), currency_code))
     code = let(codes, lambda x: F.when(F.size(x) == 1, first(x)))
     return let(code, lambda c: candidate(c, c, V.CURRENCY_CONFIDENCE, pos))
 
@@ -182,32 +190,39 @@ def term_years(clauses: Column) -> Column:
     return first(F.filter(F.transform(clauses, years), lambda x: x["years"].isNotNull()))
 
 
-def total_value(text: Column, term: Column) -> Column:
-    """(value candidate, currency candidate) of an explicitly labelled total."""
+def total_value(text: Column, plain: Column, term: Column) -> Column:
+    """(total, currency) candidates of an explicitly labelled total."""
     labels = any_of(V.TOTAL_LABELS)
-    start = "(?sU)" + starting_with("".join(label[0] for label in V.TOTAL_LABELS)) + "(?i)"
-    shapes = [
-        (rf"{start}\b(?:{labels})\b[^\n]{{0,30}}?({V.TOTAL_CURRENCY})\s*({V.TOTAL_AMOUNT})", 1, 2),
-        (rf"{start}\b(?:{labels})\b[^\n]{{0,30}}?({V.TOTAL_AMOUNT})\s*({V.TOTAL_CURRENCY})", 2, 1),
-    ]
 
     def read(m: Column, pattern: str, currency_group: int, amount_group: int) -> Column:
         amount = parse_number(F.regexp_extract(m, pattern, amount_group))
         yearly = fold(m).contains(V.TOTAL_ANNUAL_CUE)
-        value = F.when(yearly, amount * term["years"]).otherwise(amount)
-        derived = F.coalesce(yearly & (term["years"] != 1), F.lit(False))
+        code = currency_code(F.regexp_extract(m, pattern, currency_group))
+        facts = F.struct(m.alias("m"), amount.alias("amount"), yearly.alias("yearly"), code.alias("code"))
+        return F.when(m != "", let(facts, built))
+
+    def built(x: Column) -> Column:
+        derived = F.coalesce(x["yearly"] & (term["years"] != 1), F.lit(False))
         note = F.when(derived, F.format_string(V.TOTAL_DERIVED_NOTE, term["clause"])).when(
-            yearly, F.lit(V.TOTAL_ONE_YEAR_NOTE))
-        evidence = F.when(yearly, quote(F.concat(m, F.lit(" | "), term["clause"]))).otherwise(quote(m))
-        code = F.when(value.isNotNull(), currency_code(F.regexp_extract(m, pattern, currency_group)))
-        return F.when(m != "", F.struct(
+            x["yearly"], F.lit(V.TOTAL_ONE_YEAR_NOTE))
+        value = F.when(x["yearly"], x["amount"] * term["years"]).otherwise(x["amount"])
+        evidence = quote(F.when(x["yearly"], F.concat(x["m"], F.lit(" | "), term["clause"])).otherwise(x["m"]))
+        return F.when(value.isNotNull(), F.struct(
             candidate(value, evidence, V.TOTAL_CONFIDENCE, 0, note=note, derived=derived).alias("total"),
-            candidate(code, evidence, V.TOTAL_CURRENCY_CONFIDENCE, 1).alias("currency"),
+            candidate(x["code"], evidence, V.TOTAL_CURRENCY_CONFIDENCE, 1).alias("currency"),
         ))
 
-    found = [let(F.regexp_extract(text, p, 0), lambda m: read(m, p, c, a)) for p, c, a in shapes]
-    usable = [F.when(x["total"].isNotNull(), x) for x in found]
-    return F.coalesce(*usable)
+    def rules(is_plain: bool) -> Column:
+        start = (flags("s", is_plain) + starting_with("".join(label[0] for label in V.TOTAL_LABELS), is_plain)
+                 + rf"(?i)\b(?:{labels})\b[^\n]{{0,30}}?")
+        shapes = [
+            (rf"{start}({V.TOTAL_CURRENCY})\s*({V.TOTAL_AMOUNT})", 1, 2),
+            (rf"{start}({V.TOTAL_AMOUNT})\s*({V.TOTAL_CURRENCY})", 2, 1),
+        ]
+        return F.coalesce(*[
+            let(F.regexp_extract(text, p, 0), lambda m: read(m, p, c, a)) for p, c, a in shapes])
+
+    return by_script(plain, rules)
 
 
 def indexation(clauses: Column) -> Column:
@@ -237,11 +252,13 @@ def clause_hits(clauses: Column, fields: Iterable[str] = CLAUSE_FIELDS) -> Colum
     """Per clause, the value each requested field would take from it."""
     wanted = set(fields)
 
-    def notice(f: Column, cues: list[str]) -> Column:
-        return F.when(has_any(f, cues) & ~has_any(f, V.MONTH_WORDS), _first_group(f, V.NOTICE_PATTERNS)).try_cast("int")
+    def notice(c: Column, cues: list[str]) -> Column:
+        f = c["folded"]
+        return F.when(has_any(f, cues) & ~has_any(f, V.MONTH_WORDS), _first_group(c, V.NOTICE_PATTERNS)).try_cast("int")
 
-    def renewal(f: Column) -> Column:
-        return F.when(_matches(f, V.RENEWAL_NEGATIVE), "false").when(_matches(f, V.RENEWAL_POSITIVE), "true")
+    def renewal(c: Column) -> Column:
+        stated = F.when(_matches(c, V.RENEWAL_NEGATIVE), "false").when(_matches(c, V.RENEWAL_POSITIVE), "true")
+        return F.when(has_any(c["folded"], V.RENEWAL_STEMS), stated)
 
     def term(c: Column) -> Column:
         f = c["folded"]
@@ -250,53 +267,63 @@ def clause_hits(clauses: Column, fields: Iterable[str] = CLAUSE_FIELDS) -> Colum
             return F.when(value.isNotNull(), F.struct(value.alias("value"), F.lit(confidence).alias("confidence")))
 
         def span(pattern: str) -> Column:
-            pattern = "(?U)" + pattern
-            number, unit, base = (F.regexp_extract(f, pattern, n) for n in (1, 2, 3))
-            months = unit.startswith("month") | (unit == "mois")
-            text = F.concat(
-                number.try_cast("int").cast("string"),
-                F.when(months, " months from ").otherwise(" years from "),
-                F.when(base.contains("effe"), "Effective Date").otherwise("Start Date"),
-            )
-            return F.when(number != "", text)
+            parts = by_script(c["plain"], lambda plain: F.struct(*[
+                F.regexp_extract(f, flags("", plain) + pattern, n).alias(name)
+                for n, name in enumerate(("number", "unit", "base"), start=1)]))
+            return let(parts, lambda x: F.when(x["number"] != "", F.concat(
+                x["number"].try_cast("int").cast("string"),
+                F.when(x["unit"].startswith("month") | (x["unit"] == "mois"), " months from ").otherwise(" years from "),
+                F.when(x["base"].contains("effe"), "Effective Date").otherwise("Start Date"),
+            )))
 
         until = parse_date(F.regexp_extract(c["clause"], "(?iU)" + V.TERM_UNTIL, 1))
         return F.when(has_any(f, V.TERM_CUES), F.coalesce(
             F.when(has_any(f, V.TERM_INDEFINITE), built(F.lit("indefinite"), V.TERM_INDEFINITE_CONFIDENCE)),
-            built(span(V.TERM_ENGLISH), V.TERM_CONFIDENCE),
-            built(span(V.TERM_FRENCH), V.TERM_CONFIDENCE),
-            F.when(has_any(f, ["until"]), built(F.concat(F.lit("until "), until), V.TERM_UNTIL_CONFIDENCE)),
+            F.when(f.contains("from"), let(span(V.TERM_ENGLISH), lambda v: built(v, V.TERM_CONFIDENCE))),
+            F.when(f.contains("duree"), let(span(V.TERM_FRENCH), lambda v: built(v, V.TERM_CONFIDENCE))),
+            F.when(f.contains("until"), let(
+                F.concat(F.lit("until "), until), lambda v: built(v, V.TERM_UNTIL_CONFIDENCE))),
         ))
 
-    def periods(f: Column) -> Column:
-        every = [p for patterns in V.PERIODICITY_PATTERNS.values() for p in patterns]
+    def periods(c: Column) -> Column:
+        f = c["folded"]
         named = F.array_compact(F.array(*[
-            F.when(_matches(f, patterns), name) for name, patterns in V.PERIODICITY_PATTERNS.items()
+            F.when(has_any(f, V.PERIODICITY_STEMS[name]) & _matches(c, patterns), name)
+            for name, patterns in V.PERIODICITY_PATTERNS.items()
         ]))
-        usable = has_any(f, V.PAYMENT_CUES) & ~has_any(f, V.PRICE_CHANGE_CUES) & _matches(f, every)
+        usable = c["pay"] & ~has_any(f, V.PRICE_CHANGE_CUES)
         return F.when(usable, named).otherwise(F.array().cast("array<string>"))
 
-    def hits(c: Column, i: Column) -> Column:
-        f = c["folded"]
-        columns = [c["clause"].alias("clause"), i.alias("idx")]
-        if "auto_renewal" in wanted:
-            columns.append(renewal(f).alias("auto_renewal"))
-        if "renewal_notice_days" in wanted:
-            columns.append(notice(f, V.RENEWAL_NOTICE_CUES).alias("renewal_notice_days"))
-        if "termination_notice_days" in wanted:
-            columns.append(notice(f, V.TERMINATION_NOTICE_CUES).alias("termination_notice_days"))
-        if "contract_term" in wanted:
-            columns.append(term(c).alias("contract_term"))
-        if "payment_terms_days" in wanted:
-            days = F.when(has_any(f, V.PAYMENT_CUES), _first_group(f, V.PAYMENT_TERMS))
-            columns.append(days.try_cast("int").alias("payment_terms_days"))
-        if "payment_periodicity" in wanted:
-            columns.append(periods(f).alias("payment_periodicity"))
-        return F.struct(*columns)
-
-    return F.transform(clauses, hits)
+    rules = {
+        "auto_renewal": renewal,
+        "renewal_notice_days": lambda c: notice(c, V.RENEWAL_NOTICE_CUES),
+        "termination_notice_days": lambda c: notice(c, V.TERMINATION_NOTICE_CUES),
+        "contract_term": term,
+        "payment_terms_days": lambda c: F.when(c["pay"], _first_group(c, V.PAYMENT_TERMS)).try_cast("int"),
+        "payment_periodicity": periods,
+    }
 
+    def hits(c: Column) -> Column:
+        return F.struct(c["idx"], c["clause"], *[rules[f](c).alias(f) for f in CLAUSE_FIELDS if f in wanted])
 
+    def facts(c: Column) -> Column:
+        pay = has_any(c["folded"], V.PAYMENT_CUES)
+        return F.struct(c["idx"], c["clause"], c["folded"], is_ascii(c["folded"]).alias("plain"), pay.alias("pay"))
+
+    # every rule needs one of its cue words, so one cheap test drops most clauses
+    cues = [cue for field in CLAUSE_FIELDS if field in wanted for cue in _GATES[field]]
+    relevant = F.filter(clauses, lambda c: c["folded"].rlike(cue_pattern(cues)))
+    return F.transform(F.transform(relevant, facts), hits)
+
+
+_GATES = {
+    "auto_renewal": V.RENEWAL_STEMS,
+    "renewal_notice_days": V.RENEWAL_NOTICE_CUES,
+    "termination_notice_days": V.TERMINATION_NOTICE_CUES,
+    "contract_term": V.TERM_CUES,
+    "payment_terms_days": V.PAYMENT_CUES,
+    "payment_periodicity": V.PAYMENT_CUES,
+}
 _CLAUSE_CONFIDENCE = {
     "auto_renewal": V.RENEWAL_CONFIDENCE,
     "renewal_notice_days": V.NOTICE_CONFIDENCE,
@@ -344,17 +371,18 @@ def extract_wide(contracts: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     ``keep`` names further input columns to carry along (for example the lines).
     """
     ready = prepare(contracts).withColumn("hits", clause_hits(F.col("clauses")))
-    text = F.col("text")
+    ready = ready.withColumn("type_hit", type_keyword(F.col("folded_header")))
+    text, plain = F.col("text"), F.col("plain")
     columns = {
-        "primary_contract_type": contract_type(F.col("lines"), F.col("header"), F.col("folded_header")),
-        "counterparty_name": counterparty_name(text),
-        "counterparty_signatory": counterparty_signatory(text),
+        "primary_contract_type": contract_type(F.col("type_hit"), F.col("lines"), F.col("header")),
+        "counterparty_name": counterparty_name(text, plain),
+        "counterparty_signatory": counterparty_signatory(text, plain),
     }
     for pos, (field, labels) in enumerate(V.DATE_LABELS.items(), start=3):
-        columns[field] = labelled_date(text, labels, pos)
+        columns[field] = labelled_date(text, plain, labels, pos)
     for field in CLAUSE_FIELDS:
         columns[field] = clause_candidate(F.col("hits"), field)
-    columns["currency"] = currency(text)
+    columns["currency"] = currency(text, plain)
     wide = ready.select(ID, *keep, *[columns[f].alias(f) for f in V.TEXT_FIRST_FIELDS])
     mixed = F.col("payment_periodicity.note") == V.PERIODICITY_MIXED_NOTE
     warning = F.when(mixed, F.array(F.lit(V.PERIODICITY_MIXED_WARNING))).otherwise(F.array().cast("array<string>"))
@@ -377,25 +405,28 @@ def extract_candidates(contracts: DataFrame) -> DataFrame:
 
 def extract_field(contracts: DataFrame, field: str) -> DataFrame:
     """(contract_id, candidate) for one field, computing only what it needs."""
-    text = F.col("text")
-    if field in CLAUSE_FIELDS:
-        ready = with_clauses(contracts).withColumn("hits", clause_hits(F.col("clauses"), [field]))
+    text, plain, clauses = F.col("text"), F.col("plain"), F.col("clauses")
+    whole_text = {
+        "counterparty_name": counterparty_name,
+        "counterparty_signatory": counterparty_signatory,
+        "currency": currency,
+    }
+    if field == "primary_contract_type":
+        ready = with_header(with_lines(contracts)).withColumn("type_hit", type_keyword(F.col("folded_header")))
+        column = contract_type(F.col("type_hit"), F.col("lines"), F.col("header"))
+    elif field in CLAUSE_FIELDS:
+        ready = with_clauses(contracts).withColumn("hits", clause_hits(clauses, [field]))
         column = clause_candidate(F.col("hits"), field)
-    elif field == "primary_contract_type":
-        ready = with_header(with_lines(contracts))
-        column = contract_type(F.col("lines"), F.col("header"), F.col("folded_header"))
-    elif field in V.DATE_LABELS:
-        ready, column = contracts, labelled_date(text, V.DATE_LABELS[field], 0)
-    elif field in ("counterparty_contact_email", "indexation"):
-        ready = with_clauses(contracts)
-        column = (contact_email if field == "counterparty_contact_email" else indexation)(F.col("clauses"))
+    elif field == "counterparty_contact_email":
+        ready, column = with_clauses(contracts), contact_email(clauses)
+    elif field == "indexation":
+        ready, column = with_clauses(contracts), indexation(clauses)
     else:
-        rule = {
-            "counterparty_name": counterparty_name,
-            "counterparty_signatory": counterparty_signatory,
-            "currency": currency,
-        }[field]
-        ready, column = contracts, rule(text)
+        ready = contracts.withColumn("plain", is_ascii(text))
+        if field in V.DATE_LABELS:
+            column = labelled_date(text, plain, V.DATE_LABELS[field], 0)
+        else:
+            column = whole_text[field](text, plain)
     return ready.select(ID, column.alias("candidate"))
 
 
@@ -407,7 +438,7 @@ def extract_term_years(contracts: DataFrame) -> DataFrame:
 def extract_total_value(contracts: DataFrame) -> DataFrame:
     """(contract_id, total_contract_value, currency) candidates."""
     ready = with_clauses(contracts).select(ID, "text", term_years(F.col("clauses")).alias("term"))
-    found = ready.select(ID, total_value(F.col("text"), F.col("term")).alias("t"))
+    found = ready.select(ID, total_value(F.col("text"), is_ascii(F.col("text")), F.col("term")).alias("t"))
     return found.select(
         ID,
         F.col("t.total").alias("total_contract_value"),

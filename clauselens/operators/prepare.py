@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clauselens.functions import vocab as V
-from clauselens.functions.text import clean_markdown, fold_ref, split_clauses, split_lines, split_paragraphs
+from clauselens.functions.text import clean_markdown, fold_ref, is_ascii, split_clauses, split_lines, split_paragraphs
 
 ID = "contract_id"
 
@@ -26,10 +26,10 @@ def with_lines(contracts: DataFrame) -> DataFrame:
 
 
 def with_clauses(contracts: DataFrame) -> DataFrame:
-    """Add ``clauses``: array of (clause, folded) in document order."""
-    pieces = contracts.withColumn("pieces", split_clauses(F.col("text")))
-    pairs = F.transform("pieces", lambda c: F.struct(c.alias("clause"), fold_ref(c).alias("folded")))
-    return pieces.withColumn("clauses", pairs).drop("pieces")
+    """Add ``clauses``: array of (idx, clause, folded) in document order."""
+    folded = F.transform(split_clauses(F.col("text")), lambda c, i: F.struct(
+        i.alias("idx"), c.alias("clause"), fold_ref(c).alias("folded")))
+    return contracts.withColumn("clauses", folded)
 
 
 def with_header(contracts: DataFrame) -> DataFrame:
@@ -41,15 +41,15 @@ def with_header(contracts: DataFrame) -> DataFrame:
 
 def prepare(contracts: DataFrame) -> DataFrame:
     """Everything the extraction rules look at, computed once per document."""
-    return with_header(with_clauses(with_lines(contracts)))
+    return with_header(with_clauses(with_lines(contracts))).withColumn("plain", is_ascii(F.col("text")))
 
 
 def to_clauses(contracts: DataFrame) -> DataFrame:
     """Long table (contract_id, clause_idx, clause, folded)."""
     return (
         with_clauses(contracts)
-        .select(ID, F.posexplode("clauses").alias("clause_idx", "c"))
-        .select(ID, "clause_idx", "c.clause", "c.folded")
+        .select(ID, F.explode("clauses").alias("c"))
+        .select(ID, F.col("c.idx").alias("clause_idx"), "c.clause", "c.folded")
     )
 
 

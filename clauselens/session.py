@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the JVM never compiles methods beyond 8000 bytes of bytecode; split them instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # plain JVM lower-casing has a fast path for ASCII text
     "spark.sql.icu.caseMappings.enabled": "false",
     # a repeated key in a model answer keeps its last value instead of rejecting the answer
