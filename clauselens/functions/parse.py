@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clauselens.functions import vocab as V
-from clauselens.functions.text import any_of, fold, let, squeeze
+from clauselens.functions.text import any_of, fold_latin, let, squeeze
 
 _YMD = r"^([0-9]{4})[/-]([0-9]{1,2})[/-]([0-9]{1,2})\z"
 _AB_Y = r"^([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4})\z"
@@ -23,7 +23,7 @@ def _iso(parts: Column) -> Column:
 
 def _month_number(name: Column) -> Column:
     months = F.create_map(*[F.lit(x) for pair in V.MONTHS.items() for x in pair])
-    return F.try_element_at(months, fold(name)).cast("string")
+    return F.try_element_at(months, fold_latin(name)).cast("string")
 
 
 def parse_date(raw: Column) -> Column:

@@ -152,6 +152,14 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(source + dropped), "".join(target), longer
 
 
+def fold_latin(c: Column) -> Column:
+    """:func:`fold` for words of Latin-1 letters."""
+    letters = [chr(cp) for cp in range(0xC0, 0x100)]
+    plain = {ch: unicodedata.normalize("NFKD", ch)[0] for ch in letters}
+    changed = [ch for ch in letters if plain[ch] != ch]
+    return F.lower(F.translate(c, "".join(changed), "".join(plain[ch] for ch in changed)))
+
+
 # blocks of the characters that fold into more than one (a superset, tested first)
 _LONGER_BLOCKS = r"[\u00bc-\u00be\u0132-\u01f3\u2010-\u218f\ufb00-\ufb06]"
 
@@ -164,9 +172,9 @@ def fold(c: Column) -> Column:
 def fold_ref(c: Column) -> Column:
     """:func:`fold` for a plain column or lambda variable; ASCII takes the short way."""
     source, target, longer = _fold_tables()
-    expanded = c
-    for ch, folded in longer.items():
-        expanded = F.replace(expanded, F.lit(ch), F.lit(folded))
+    forms = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
+    expanded = F.array_join(F.transform(
+        F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(forms, ch), ch)), "")
     has_longer = c.rlike(_LONGER_BLOCKS)
     folded = F.when(has_longer, F.translate(expanded, source, target)).otherwise(F.translate(c, source, target))
     return F.lower(F.when(is_ascii(c), c).otherwise(folded))

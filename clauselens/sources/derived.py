@@ -227,11 +227,11 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = c % 3 != 0
     return table(spark, sf_dir, "customer").select(
         c.alias("contract_id"),
-        (1 + c % 5).cast("string").alias("risk_vector_termination_risk"),
-        (1 + c % 4).cast("string").alias("risk_vector_data_sensitivity"),
-        (1 + c % 3 * 2).cast("string").alias("risk_vector_payment_risk"),
-        F.when(c % 7 != 0, 1 + c % 5).cast("string").alias("risk_vector_auto_renewal_risk"),
-        (1 + (c + 2) % 5).cast("string").alias("risk_vector_liability_cap_adequacy"),
+        (1 + c % 6).cast("int").alias("risk_vector_termination_risk"),
+        (1 + c % 4).cast("int").alias("risk_vector_data_sensitivity"),
+        (c % 3 * 2).cast("int").alias("risk_vector_payment_risk"),
+        F.when(c % 7 != 0, 1 + c % 5).cast("int").alias("risk_vector_auto_renewal_risk"),
+        (1 + (c + 2) % 5).cast("int").alias("risk_vector_liability_cap_adequacy"),
         label(c % 4, ["SUPPLIER", "CUSTOMER", "BALANCED", "UNCLEAR"]).alias("risk_vector_counterparty_leverage"),
         label(c % 4, ["SUPPLIER", "CUSTOMER", "JOINT", "UNCLEAR"]).alias("risk_vector_ip_ownership_risk"),
         label(c % 5, ["MUTUAL", "UNILATERAL_SUPPLIER", "UNILATERAL_CUSTOMER", "NONE", "UNCLEAR"])
