@@ -92,14 +92,15 @@ def _folded(words: list[str]) -> list[str]:
 
 def labelled_date(text: Column, plain: Column, labels: list[str], pos: int) -> Column:
     """First date that parses and stands next to one of the labels."""
-    def parsed(is_plain: bool) -> Column:
+    def pattern(is_plain: bool) -> str:
         start = flags("s", is_plain) + starting_with("".join(label[0] for label in labels), is_plain)
         known = [label for label in labels if label.isascii() or not is_plain]
-        pattern = rf"{start}(?i)\b(?:{any_of(known)})\b[^\n\r:\d]{{0,40}}[:\-]?\s*({V.DATE_PATTERN})"
-        return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(
-            m.alias("quote"), parse_date(F.regexp_extract(m, pattern, 1)).alias("value")))
+        return rf"{start}(?i)\b(?:{any_of(known)})\b[^\n\r:\d]{{0,40}}[:\-]?\s*({V.DATE_PATTERN})"
 
-    found = first(F.filter(by_script(plain, parsed), lambda x: x["value"].isNotNull()))
+    matches = by_script(plain, lambda p: F.regexp_extract_all(text, F.lit(pattern(p)), F.lit(0)))
+    parsed = F.transform(matches, lambda m: F.struct(
+        m.alias("quote"), parse_date(F.regexp_extract(m, pattern(False), 1)).alias("value")))
+    found = first(F.filter(parsed, lambda x: x["value"].isNotNull()))
     return let(found, lambda x: candidate(x["value"], quote(x["quote"]), V.DATE_CONFIDENCE, pos))
 
 
@@ -109,48 +110,48 @@ def _party(raw: Column) -> Column:
 
 def counterparty_name(text: Column, plain: Column, pos: int = 1) -> Column:
     """Role-labelled party, else the second party of a two-party definition."""
+    def role(is_plain: bool) -> str:
+        labels = any_of(V.ROLE_LABELS)
+        return flags("imd", is_plain) + rf"^\s*(?:{labels})\s*[:\-]\s*([^\n,;()]+(?:\([^)\n]+\))?)"
+
+    matches = by_script(plain, lambda p: F.regexp_extract_all(text, F.lit(role(p)), F.lit(0)))
+    named = F.transform(matches, lambda m: F.struct(
+        m.alias("quote"), _party(F.regexp_extract(m, role(False), 1)).alias("name")))
+    labelled = let(
+        first(F.filter(named, lambda x: F.length(x["name"]) >= 3)),
+        lambda x: candidate(x["name"], quote(x["quote"]), V.ROLE_CONFIDENCE, pos, note=V.ROLE_NOTE),
+    )
     window = F.substring(text, 1, V.PARTY_WINDOW_CHARS)
+    paired = [labelled]
+    for initial, body in zip("be", V.PAIR_PATTERNS):
+        def pattern(is_plain: bool) -> str:
+            return flags("sd", is_plain) + starting_with(initial, is_plain) + "(?i)" + body
 
-    def rules(is_plain: bool) -> Column:
-        role = flags("imd", is_plain) + rf"^\s*(?:{any_of(V.ROLE_LABELS)})\s*[:\-]\s*([^\n,;()]+(?:\([^)\n]+\))?)"
-        named = F.transform(F.regexp_extract_all(text, F.lit(role), F.lit(0)), lambda m: F.struct(
-            m.alias("quote"), _party(F.regexp_extract(m, role, 1)).alias("name")))
-        labelled = let(
-            first(F.filter(named, lambda x: F.length(x["name"]) >= 3)),
-            lambda x: candidate(x["name"], quote(x["quote"]), V.ROLE_CONFIDENCE, pos, note=V.ROLE_NOTE),
-        )
-        paired = []
-        for initial, body in zip("be", V.PAIR_PATTERNS):
-            pattern = flags("sd", is_plain) + starting_with(initial, is_plain) + "(?i)" + body
-
-            def second_party(m: Column) -> Column:
-                name = let(_party(F.regexp_extract(m, pattern, 2)), lambda n: F.when(F.length(n) >= 3, n))
-                return let(name, lambda n: candidate(n, quote(m), V.PAIR_CONFIDENCE, pos, note=V.PAIR_NOTE))
-
-            paired.append(let(F.regexp_extract(window, pattern, 0), second_party))
-        return F.coalesce(labelled, *paired)
+        def second_party(m: Column) -> Column:
+            name = let(_party(F.regexp_extract(m, pattern(False), 2)), lambda n: F.when(F.length(n) >= 3, n))
+            return let(name, lambda n: candidate(n, quote(m), V.PAIR_CONFIDENCE, pos, note=V.PAIR_NOTE))
 
-    return by_script(plain, rules)
+        paired.append(let(by_script(plain, lambda p: F.regexp_extract(window, pattern(p), 0)), second_party))
+    return F.coalesce(*paired)
 
 
 def counterparty_signatory(text: Column, plain: Column, pos: int = 2) -> Column:
     """Name in the first signature block of either shape, two words at least."""
-    def rules(is_plain: bool) -> Column:
-        label = flags("", is_plain) + starting_with("bn", is_plain) + r"(?i)\b(?:by|name|nom)\s*[:\-]"
-        starts = (flags("s", is_plain) + starting_with("fop", is_plain) + "(?i)", flags("ismd", is_plain))
-        blocks = []
-        for start, body in zip(starts, V.SIGNATORY_PATTERNS):
-            pattern = start + body
+    def name_label(is_plain: bool) -> str:
+        return flags("", is_plain) + starting_with("bn", is_plain) + r"(?i)\b(?:by|name|nom)\s*[:\-]"
 
-            def person(m: Column) -> Column:
-                name = let(_party(F.regexp_extract(m, pattern, 1)),
-                           lambda n: F.when(F.size(F.split(n, " ")) >= 2, n))
-                return let(name, lambda n: candidate(n, quote(m), V.SIGNATORY_CONFIDENCE, pos))
+    blocks = []
+    for letters, initials, body in zip(("s", "ismd"), ("fop", ""), V.SIGNATORY_PATTERNS):
+        def pattern(is_plain: bool) -> str:
+            return flags(letters, is_plain) + (starting_with(initials, is_plain) if initials else "") + "(?i)" + body
 
-            blocks.append(let(F.regexp_extract(text, pattern, 0), person))
-        return F.when(text.rlike(label), F.coalesce(*blocks))
+        def person(m: Column) -> Column:
+            name = let(_party(F.regexp_extract(m, pattern(False), 1)),
+                       lambda n: F.when(F.size(F.split(n, " ")) >= 2, n))
+            return let(name, lambda n: candidate(n, quote(m), V.SIGNATORY_CONFIDENCE, pos))
 
-    return by_script(plain, rules)
+        blocks.append(let(by_script(plain, lambda p: F.regexp_extract(text, pattern(p), 0)), person))
+    return F.when(by_script(plain, lambda p: text.rlike(name_label(p))), F.coalesce(*blocks))
 
 
 def currency(text: Column, plain: Column, pos: int = _LATE + 1) -> Column:
@@ -212,17 +213,19 @@ def total_value(text: Column, plain: Column, term: Column) -> Column:
             candidate(x["code"], evidence, V.TOTAL_CURRENCY_CONFIDENCE, 1).alias("currency"),
         ))
 
-    def rules(is_plain: bool) -> Column:
+    def patterns(is_plain: bool) -> list[tuple[str, int, int]]:
         start = (flags("s", is_plain) + starting_with("".join(label[0] for label in V.TOTAL_LABELS), is_plain)
                  + rf"(?i)\b(?:{labels})\b[^\n]{{0,30}}?")
-        shapes = [
+        return [
             (rf"{start}({V.TOTAL_CURRENCY})\s*({V.TOTAL_AMOUNT})", 1, 2),
             (rf"{start}({V.TOTAL_AMOUNT})\s*({V.TOTAL_CURRENCY})", 2, 1),
         ]
-        return F.coalesce(*[
-            let(F.regexp_extract(text, p, 0), lambda m: read(m, p, c, a)) for p, c, a in shapes])
 
-    return by_script(plain, rules)
+    shapes = []
+    for i, (pattern, currency_group, amount_group) in enumerate(patterns(False)):
+        match = by_script(plain, lambda p: F.regexp_extract(text, patterns(p)[i][0], 0))
+        shapes.append(let(match, lambda m: read(m, pattern, currency_group, amount_group)))
+    return F.coalesce(*shapes)
 
 
 def indexation(clauses: Column) -> Column:

@@ -7,7 +7,7 @@ arrays into long tables for callers who want rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clauselens.functions import vocab as V
@@ -25,11 +25,14 @@ def with_lines(contracts: DataFrame) -> DataFrame:
     return contracts.withColumn("lines", split_lines(F.col("text")))
 
 
-def with_clauses(contracts: DataFrame) -> DataFrame:
-    """Add ``clauses``: array of (idx, clause, folded) in document order."""
-    folded = F.transform(split_clauses(F.col("text")), lambda c, i: F.struct(
+def clauses_of(text: Column) -> Column:
+    """Array of (idx, clause, folded) in document order."""
+    return F.transform(split_clauses(text), lambda c, i: F.struct(
         i.alias("idx"), c.alias("clause"), fold_ref(c).alias("folded")))
-    return contracts.withColumn("clauses", folded)
+
+
+def with_clauses(contracts: DataFrame) -> DataFrame:
+    return contracts.withColumn("clauses", clauses_of(F.col("text")))
 
 
 def with_header(contracts: DataFrame) -> DataFrame:
@@ -44,18 +47,18 @@ def prepare(contracts: DataFrame) -> DataFrame:
     return with_header(with_clauses(with_lines(contracts))).withColumn("plain", is_ascii(F.col("text")))
 
 
+# The long tables explode the array expression itself.  Exploding a computed column
+# would let the optimizer infer a filter on it and evaluate the expression twice.
+
 def to_clauses(contracts: DataFrame) -> DataFrame:
     """Long table (contract_id, clause_idx, clause, folded)."""
-    return (
-        with_clauses(contracts)
-        .select(ID, F.explode("clauses").alias("c"))
-        .select(ID, F.col("c.idx").alias("clause_idx"), "c.clause", "c.folded")
-    )
+    rows = contracts.select(ID, F.explode(clauses_of(F.col("text"))).alias("c"))
+    return rows.select(ID, F.col("c.idx").alias("clause_idx"), "c.clause", "c.folded")
 
 
 def to_lines(contracts: DataFrame) -> DataFrame:
     """Long table (contract_id, line_idx, line, folded)."""
-    lines = with_lines(contracts).select(ID, F.posexplode("lines").alias("line_idx", "line"))
+    lines = contracts.select(ID, F.posexplode(split_lines(F.col("text"))).alias("line_idx", "line"))
     return lines.withColumn("folded", fold_ref(F.col("line")))
 
 

@@ -387,7 +387,17 @@ def score_records(records: DataFrame, weights: Weights | None = None) -> DataFra
     return with_explanation(with_flags(with_score(with_vector(records), weights)), weights)
 
 
-def average_contributions(scored: DataFrame) -> DataFrame:
+def explanation_rows(scored: DataFrame, weights: Weights | None = None) -> DataFrame:
+    """Long explanation (contract_id, term, contribution), the sum included; needs ``vector``."""
+    parts = {name: F.round(c, 6) for name, c in _terms(weights).items()}
+    listed = scored.select(ID, F.array(*parts.values()).alias("parts"))
+    cells = {n: F.element_at("parts", i) for i, n in enumerate(parts, start=1)}
+    cells["_composite_score"] = F.round(sum(cells.values(), F.lit(0.0)), 4)
+    rows = F.array(*[F.struct(F.lit(n).alias("term"), c.alias("contribution")) for n, c in cells.items()])
+    return listed.select(ID, F.explode(rows).alias("x")).select(ID, "x.*")
+
+
+def average_contributions(scored: DataFrame, weights: Weights | None = None) -> DataFrame:
     """Fleet view: mean contribution per term over all records."""
-    rows = scored.select(F.explode("explanation").alias("term", "contribution"))
+    rows = explanation_rows(scored, weights)
     return rows.groupBy("term").agg(F.avg("contribution").alias("mean_contribution"), F.count("*").alias("records"))

@@ -15,15 +15,18 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # plain JVM lower-casing has a fast path for ASCII text
     "spark.sql.icu.caseMappings.enabled": "false",
+    # call sites are not recorded for every column, which makes large plans slow to write down
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # a repeated key in a model answer keeps its last value instead of rejecting the answer
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to an existing session (cluster or local)."""
+    """Apply the settings that can change at run time to an existing session."""
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 

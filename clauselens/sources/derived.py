@@ -291,8 +291,40 @@ def classification_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = (
         F.when(c % 10 == 1, F.concat(F.lit(f"{FENCE}json\n"), F.col("body"), F.lit(f"\n{FENCE}")))
         .when(c % 10 == 2, F.concat(F.lit("<think>is it {this}?</think> "), F.col("body"), F.lit(" Hope it helps.")))
-        .when(c % 10 == 3, F.substring("body", 1, 25))
+        .when(c % 10 == 3, F.substring("body", 1, 1))
         .when(c % 10 == 7, F.lit(None))
         .otherwise(F.col("body"))
     )
     return rows.select(c.alias("contract_id"), "model", "call", content.alias("content"), "elapsed_s")
+
+
+def raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(contract_id, field, kind, raw): dates, amounts and currencies of orders in many spellings."""
+    k, day = F.col("k"), F.col("day")
+    spelled = _pick(k % 8, ["ymd", "dmy", "mdy", "d month y", "d mois y", "month d, y", "ordinal", "short"])
+    date = (
+        F.when(spelled == "ymd", F.date_format(day, "yyyy/M/d"))
+        .when(spelled == "dmy", F.date_format(day, "dd/MM/yyyy"))
+        .when(spelled == "mdy", F.date_format(day, "MM-dd-yyyy"))
+        .when(spelled == "d month y", F.date_format(day, "d MMMM yyyy"))
+        .when(spelled == "d mois y", F.concat_ws(
+            " ", F.dayofmonth(day).cast("string"), _pick(F.month(day) - 1, FRENCH_MONTHS), F.year(day).cast("string")))
+        .when(spelled == "month d, y", F.date_format(day, "(MMMM d, yyyy)."))
+        .when(spelled == "ordinal", F.date_format(day, "d'th' MMMM  yyyy"))
+        .otherwise(F.date_format(day, "MMMM yyyy"))
+    )
+    money = F.format_number("o_totalprice", 2)
+    amount = (
+        F.when(k % 5 == 0, F.concat(F.lit("EUR "), money))
+        .when(k % 5 == 1, F.translate(money, ",.", ".,"))
+        .when(k % 5 == 2, F.translate(money, ",", " "))
+        .when(k % 5 == 3, F.format_number("o_totalprice", 0))
+        .otherwise("to be agreed")
+    )
+    token = _pick(k % 12, ["EUR", "usd", "GBP", "CHF", "CAD", "AUD", "JPY", "US$", "C$", "€", "£", "$"])
+    cells = F.array(*[
+        F.struct(F.lit(f).alias("field"), F.lit(t).alias("kind"), raw.alias("raw"))
+        for f, t, raw in (("order_date", "date", date), ("order_total", "number", amount), ("order_currency", "currency", token))
+    ])
+    rows = _order_facts(spark, sf_dir).select(k.alias("contract_id"), F.explode(cells).alias("x"))
+    return rows.select("contract_id", "x.*")
