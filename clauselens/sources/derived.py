@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from clauselens.sources.contracts import fan_out
+from clauselens.sources.contracts import fan_out, spread
 
 FRENCH_MONTHS = [
     "janvier", "février", "mars", "avril", "mai", "juin",
@@ -36,7 +36,7 @@ def _pick(index: Column, values: list[str]) -> Column:
 def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+    joined = spread(orders, "o_orderkey").join(customer, orders.o_custkey == customer.c_custkey, "left")
     return joined.select(
         F.col("o_orderkey").alias("k"), "c_name", "o_totalprice", F.to_date("o_orderdate").alias("day"))
 
@@ -91,7 +91,8 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(contract_id, text) of the raw document table."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("contract_id"), "text")
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("contract_id"), "text")
+    return spread(rows, "contract_id")
 
 
 def extraction_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +258,7 @@ def classification_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     call is missing for c % 10 = 8.
     """
     c = F.col("c_custkey")
-    base = fan_out(table(spark, sf_dir, "customer").select("c_custkey"), MODELS)
+    base = fan_out(spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey"), MODELS)
     second = F.col("model") == MODELS[1]
     kind = F.to_json(F.struct(
         F.when(second & (c % 6 == 0), " SUPPLY_AND_TRADE ").otherwise(_pick(c % 3, ["SERVICES", "SUPPLY_AND_TRADE", "FINANCE_AND_TREASURY"]))
