@@ -174,7 +174,7 @@ SIMILARITY_OPTIONAL = {
 
 def similarity_columns(contract_value: Column) -> dict[str, Column]:
     def share(name: str, whole: float) -> Column:
-        return F.coalesce(F.least(F.col(name) / whole, F.lit(1.0)), F.lit(0.5))
+        return F.when(F.col(name).isNotNull(), F.least(F.col(name) / whole, F.lit(1.0))).otherwise(0.5)
 
     columns = {k: F.when(F.col(c), 1.0).otherwise(0.0) for k, c in SIMILARITY_FLAGS.items()}
     columns |= {
@@ -263,7 +263,8 @@ def _days(c: Column, whole: float = 90.0) -> Column:
 
 
 def _carveouts(c: Column) -> Column:
-    return F.coalesce(F.least(c.try_cast("int") / 3.0, F.lit(1.0)), F.lit(0.0))
+    # least() skips nulls, so the default goes inside
+    return F.least(F.coalesce(c.try_cast("int"), F.lit(0)) / 3.0, F.lit(1.0))
 
 
 def with_vector(records: DataFrame) -> DataFrame:

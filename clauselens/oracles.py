@@ -452,10 +452,10 @@ SIMILARITY = {
     "cap_mutual": flag01("cap_mutual"), "carveout_count_norm": "least(cap_carveout_count / 3.0::DOUBLE, 1.0)",
     "consequential_excluded": flag01("consequential_loss_excluded"),
     "termination_convenience": flag01("termination_for_convenience"),
-    "notice_period_norm": "coalesce(least(convenience_notice_days / 365.0::DOUBLE, 1.0), 0.5)",
+    "notice_period_norm": "CASE WHEN convenience_notice_days IS NULL THEN 0.5 ELSE least(convenience_notice_days / 365.0::DOUBLE, 1.0) END",
     "insolvency_trigger": flag01("insolvency_trigger"), "ip_assigned": flag01("ip_ownership_assigned"),
     "ip_exclusive": flag01("ip_licence_exclusive"), "ip_perpetual": flag01("ip_perpetual"), "auto_renewal": flag01("auto_renewal"),
-    "renewal_notice_norm": "coalesce(least(non_renewal_notice_days / 90.0::DOUBLE, 1.0), 0.5)",
+    "renewal_notice_norm": "CASE WHEN non_renewal_notice_days IS NULL THEN 0.5 ELSE least(non_renewal_notice_days / 90.0::DOUBLE, 1.0) END",
     "fr_notice_risk": flag01("fr_mandatory_notice_risk"), "dpa_present": flag01("dpa_present"),
     "cross_border": flag01("cross_border_transfer"), "warranty_given": flag01("warranty_given"),
     "as_is_disclaimer": flag01("as_is_disclaimer"), "dispute_arbitration": flag01("dispute_mechanism = 'arbitration'"),
@@ -533,7 +533,7 @@ VECTOR += [hot("ip", x, V.OWNERSHIP_LABELS) for x in V.OWNERSHIP_LABELS]
 VECTOR += [hot("scope", x, V.SCOPE_LABELS) for x in V.SCOPE_LABELS]
 VECTOR += [
     flag01("d_cap"), "CASE WHEN d_mult > 0 THEN d_mult / (d_mult + 4.0) ELSE 0.0 END", flag01("d_mutual"),
-    "coalesce(least(d_carve / 3.0::DOUBLE, 1.0), 0.0)", flag01("d_unc"), flag01("d_mind"),
+    "least(coalesce(d_carve, 0) / 3.0::DOUBLE, 1.0)", flag01("d_unc"), flag01("d_mind"),
     "CASE WHEN d_days > 0 THEN least(d_days / 90.0, 1.0) ELSE 0.0 END", flag01("d_late"), flag01("d_auto"),
     "CASE WHEN d_notice > 0 THEN least(d_notice / 90.0, 1.0) ELSE 0.0 END",
 ]

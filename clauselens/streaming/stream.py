@@ -17,7 +17,7 @@ from clauselens.sources.contracts import FILE_GLOB, with_contract_id
 def contract_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """(contract_id, text) of every contract file as it arrives."""
     reader = spark.readStream.option("pathGlobFilter", FILE_GLOB).option("maxFilesPerTrigger", files_per_batch)
-    return with_contract_id(reader.option("wholetext", True).text(folder))
+    return with_contract_id(reader.text(folder, wholetext=True))
 
 
 def extract_stream(contracts: DataFrame) -> DataFrame:
