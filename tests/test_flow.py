@@ -1,4 +1,5 @@
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,7 +182,7 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
     folder.mkdir()
     for i in range(3):
         (folder / f"c-{i}.txt").write_text(f"Lease agreement\nRent: net {10 + i}\n", encoding="utf-8")
-    query = write_stream(extract_stream(contract_stream(spark, str(folder))), str(tmp_path / "out"), "t", available_now=True)
+    query = write_stream(extract_stream(contract_stream(spark, str(folder))), str(tmp_path / "out"), f"test-{uuid.uuid4()}", available_now=True)
     assert query.awaitTermination(120)
     batch = extract_contracts(C.read_contracts(spark, str(folder)))
     got = C.read_records(spark, str(tmp_path / "out"), batch.schema)
