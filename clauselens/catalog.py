@@ -163,7 +163,7 @@ def composite_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def custom_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.with_score(K.with_vector(D.records(spark, sf_dir)), CUSTOM_WEIGHTS).select(ID, F.round("score", 3).alias("score"))
+    return K.with_score(K.with_vector(D.records(spark, sf_dir)), CUSTOM_WEIGHTS).select(ID, "score")
 
 
 def triage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,3 +90,22 @@ def law_category(raw: Column) -> Column:
     for name, words in V.LAW_CATEGORIES:
         category = category.when(lowered.rlike(any_of(words)), name)
     return category.otherwise("other")
+
+
+def round_exact(x: Column, digits: int) -> Column:
+    """Round a double by its exact binary value, halves to even.
+
+    ``round`` works on the decimal spelling, so it rounds 0.50245 up although the stored
+    number lies below the half.  The distance to that half is computed without error:
+    the number is split in two short halves whose products with the scale are exact.
+    """
+    scale = float(10**digits)
+
+    def settle(s: Column) -> Column:
+        high = s["x"].cast("float").cast("double")
+        units = F.round(s["q"] * scale)
+        distance = (high * scale - (units - 0.5)) + (s["x"] - high) * scale
+        down = (distance < 0) | ((distance == 0) & (F.pmod(units, F.lit(2.0)) == 1))
+        return F.when(down, F.round((units - 1) / scale, digits)).otherwise(s["q"])
+
+    return let(F.struct(x.alias("x"), F.round(x, digits).alias("q")), settle)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, NumericType, StringType
 
 from clauselens.functions import vocab as V
-from clauselens.functions.parse import law_category
+from clauselens.functions.parse import law_category, round_exact
 from clauselens.functions.text import let, strip
 from clauselens.operators.prepare import ID
 
@@ -319,15 +319,15 @@ def weight_columns(weights: Column) -> Weights:
 def with_score(scored: DataFrame, weights: Weights | None = None) -> DataFrame:
     """Add ``score``: weighted risk in 0..1, four decimals; needs ``vector``."""
     total = sum(_terms(weights).values(), F.lit(0.0))
-    return scored.withColumn("score", F.round(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)), 4))
+    return scored.withColumn("score", round_exact(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)), 4))
 
 
 def with_explanation(scored: DataFrame, weights: Weights | None = None) -> DataFrame:
     """Add ``explanation``: six-decimal contribution per term and their unclamped sum."""
-    parts = {name: F.round(c, 6) for name, c in _terms(weights).items()}
+    parts = {name: round_exact(c, 6) for name, c in _terms(weights).items()}
     listed = scored.withColumn("parts", F.array(*parts.values()))
     cells = [(F.lit(n), F.element_at("parts", i)) for i, n in enumerate(parts, start=1)]
-    total = F.round(sum((c for _, c in cells), F.lit(0.0)), 4)
+    total = round_exact(sum((c for _, c in cells), F.lit(0.0)), 4)
     mapped = F.create_map(*[x for pair in cells for x in pair], F.lit("_composite_score"), total)
     return listed.withColumn("explanation", mapped).drop("parts")
 
@@ -390,10 +390,10 @@ def score_records(records: DataFrame, weights: Weights | None = None) -> DataFra
 
 def explanation_rows(scored: DataFrame, weights: Weights | None = None) -> DataFrame:
     """Long explanation (contract_id, term, contribution), the sum included; needs ``vector``."""
-    parts = {name: F.round(c, 6) for name, c in _terms(weights).items()}
+    parts = {name: round_exact(c, 6) for name, c in _terms(weights).items()}
     listed = scored.select(ID, F.array(*parts.values()).alias("parts"))
     cells = {n: F.element_at("parts", i) for i, n in enumerate(parts, start=1)}
-    cells["_composite_score"] = F.round(sum(cells.values(), F.lit(0.0)), 4)
+    cells["_composite_score"] = round_exact(sum(cells.values(), F.lit(0.0)), 4)
     rows = F.array(*[F.struct(F.lit(n).alias("term"), c.alias("contribution")) for n, c in cells.items()])
     return listed.select(ID, F.explode(rows).alias("x")).select(ID, "x.*")
 

@@ -549,16 +549,21 @@ def term_columns(weights: dict[str, float]) -> dict[str, str]:
     return columns
 
 
+def exactly(x: str, digits: int) -> str:
+    """Rounding by the exact binary value, as printing does it."""
+    return f"CAST(printf('%.{digits}f', CAST({x} AS DOUBLE)) AS DOUBLE)"
+
+
 def scores(weights: dict[str, float], records: str = RECORDS) -> str:
     total = " + ".join(term_columns(weights).values())
-    return f"{records}, {WIDE}, sc AS (SELECT *, round(least(greatest({total}, 0.0), 1.0), 4) AS score FROM vec)"
+    return f"{records}, {WIDE}, sc AS (SELECT *, {exactly("least(greatest(" + total + ", 0.0), 1.0)", 4)} AS score FROM vec)"
 
 
 EXPLAINED = term_columns(V.DEFAULT_WEIGHTS)
 EXPLAIN = f"""{RECORDS}, {WIDE}, parts AS (
-  SELECT c, {', '.join(f'round({v}, 6) AS "{t}"' for t, v in EXPLAINED.items())} FROM vec), terms AS (
+  SELECT c, {', '.join(f'{exactly(v, 6)} AS "{t}"' for t, v in EXPLAINED.items())} FROM vec), terms AS (
   {' UNION ALL '.join(f"""SELECT c AS contract_id, '{t}' AS term, "{t}" AS contribution FROM parts""" for t in EXPLAINED)}
-  UNION ALL SELECT c, '_composite_score', round({' + '.join(f'"{t}"' for t in EXPLAINED)}, 4) FROM parts)"""
+  UNION ALL SELECT c, '_composite_score', {exactly(' + '.join(f'"{t}"' for t in EXPLAINED), 4)} FROM parts)"""
 
 
 def scored_text(template: str, column: str) -> str:
@@ -659,7 +664,7 @@ ORACLES: dict[str, str] = {
       {', '.join(f'round(v{i}, 9) AS "{n}"' for i, n in enumerate(V.VECTOR_LABELS))} FROM vec""",
     "composite_score": f"WITH {scores(V.DEFAULT_WEIGHTS)} SELECT c AS contract_id, score FROM sc",
     "custom_weights": f"""WITH {scores({**V.DEFAULT_WEIGHTS, 'termination_risk': 0.3, 'data_sensitivity': 0.25})}
-      SELECT c AS contract_id, round(score, 3) AS score FROM sc""",
+      SELECT c AS contract_id, score FROM sc""",
     "triage_flags": f"""WITH {scores(V.DEFAULT_WEIGHTS)}, fl AS ({FLAG_ROWS})
       SELECT c AS contract_id, CAST(len(flags) AS INTEGER) AS n_flags, array_to_string(flags, {NL}) AS flags FROM fl""",
     "explain": f"WITH {EXPLAIN} SELECT * FROM terms",

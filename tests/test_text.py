@@ -3,7 +3,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from clauselens.functions import text as T
-from clauselens.functions.parse import law_category, parse_date, parse_number, currency_code
+from clauselens.functions.parse import currency_code, law_category, parse_date, parse_number, round_exact
 from clauselens.operators import prepare as P
 
 
@@ -75,3 +75,10 @@ def test_long_tables_keep_order(spark):
 def test_dedupe_warnings(spark):
     row = spark.range(1).select(T.dedupe_warnings(F.array(*[F.lit(w) for w in (" b ", "a", "b", "", "  ")]))).first()
     assert row[0] == ["b", "a"]
+
+
+def test_exact_rounding(spark):
+    values = [k / 100000 for k in range(5, 100000, 10)] + [0.0, 1.0, 0.125, 0.31234567, 0.03125, 2.675]
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in frame.select(round_exact(F.col("x"), 4)).collect()] == [round(v, 4) for v in values]
+    assert [r[0] for r in frame.select(round_exact(F.col("x") / 64, 6)).collect()] == [round(v / 64, 6) for v in values]
