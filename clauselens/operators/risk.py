@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,27 +88,30 @@ def _key(claims: DataFrame, key: str, kind: str) -> Column:
     return F.col("family_projection")[key].cast(kind)
 
 
-def _chosen(claims: DataFrame, fields: dict, order: Column, extra: Column | None = None) -> list[Column]:
-    """Per family, the projection of its claim with the greatest ``order``, as a filtered max_by."""
+def _chosen(claims: DataFrame, fields: dict, choose: Callable, order: Column, extra: Column) -> list[Column]:
+    """Per family, the projection of the claim ``choose`` picks by ``order``, as one aggregate.
+
+    Claims of other families have a null order, which the aggregate ignores.
+    """
     families = dict.fromkeys(family for family, _, _ in fields.values())
     aggregates = []
     for family in families:
         parts = {k: _key(claims, k, t).alias(k) for f, k, t in fields.values() if f == family}
-        if extra is not None:
-            parts["_extra"] = extra.alias("_extra")
+        parts["_extra"] = extra.alias("_extra")
         mine = F.col("clause_family") == family
-        aggregates.append(F.max_by(F.struct(*parts.values()), F.when(mine, order)).alias(family))
+        aggregates.append(choose(F.struct(*parts.values()), F.when(mine, order)).alias(family))
     return aggregates
 
 
 def assemble(claims: DataFrame, contracts: DataFrame | None = None) -> DataFrame:
     """One wide risk vector per contract; the last claim of a family sets all its fields.
 
-    ``claims`` has (contract_id, seq, clause_family, family_confidence, family_projection).
-    Pass ``contracts`` to get a row for contracts without any claim.
+    ``claims`` has (contract_id, seq, clause_family, family_confidence, family_projection);
+    ``seq`` may be of any type that orders the claims of a contract.  Pass ``contracts`` to get a row for
+    contracts without any claim.
     """
     high = F.when(F.col("family_confidence") > 0.7, "HIGH").otherwise("MEDIUM")
-    last = claims.groupBy(ID).agg(*_chosen(claims, VECTOR_FIELDS, F.col("seq"), high))
+    last = claims.groupBy(ID).agg(*_chosen(claims, VECTOR_FIELDS, F.max_by, F.col("seq"), high))
     if contracts is not None:
         last = contracts.select(ID).join(last, ID, "left")
     flag = {n for n, (_, _, kind) in VECTOR_FIELDS.items() if kind == "boolean"}
@@ -206,9 +209,9 @@ def best_claims(claims: DataFrame) -> DataFrame:
     """Per contract, the most confident claim of each signal family, the earlier on ties."""
     wanted = list(dict.fromkeys(family for family, _, _ in SIGNALS.values()))
     fields = SIGNALS | {"_raw_notice": ("auto_renewal", "nonrenewal_notice_value", "double")}
-    order = F.struct(F.col("family_confidence"), -F.col("seq"))
+    order = F.struct((-F.col("family_confidence")).alias("rank"), F.col("seq"))
     return claims.filter(F.col("clause_family").isin(*wanted)).groupBy(ID).agg(
-        *_chosen(claims, fields, order, F.col("family_confidence")))
+        *_chosen(claims, fields, F.min_by, order, F.col("family_confidence")))
 
 
 def signal_columns() -> dict[str, Column]:
