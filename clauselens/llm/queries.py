@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauselens.llm import decontaminate, mixing, quality_rules, sharding
+from clauselens.llm import decontaminate, html_text, mixing, quality_rules, sharding, url_filter
 from clauselens.llm.common import table
 
 SHARD_NAMES = [f"shard-{i:02d}" for i in range(sharding.SHARDS)]
@@ -27,6 +27,18 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract_text(pages, keep=["page_id", "url"]).select("doc.*", "text", "n_chars")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict for the URL of every page."""
+    judged = url_filter.judge_urls(table(spark, sf_dir, "pages"), keep=["page_id"])
+    return judged.select("doc.page_id", "host", "path", "rule", "verdict")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot and shard of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
@@ -44,6 +56,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_decontaminate": op5_decontaminate,
+    "op6_html_text": op6_html_text,
+    "op8_url_filter": op8_url_filter,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
