@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauselens.llm import decontaminate, html_text, mixing, quality_rules, sharding, url_filter
+from clauselens.llm import decontaminate, html_text, mixing, quality_classifier, quality_rules, sharding, url_filter
 from clauselens.llm.common import table
 
 SHARD_NAMES = [f"shard-{i:02d}" for i in range(sharding.SHARDS)]
@@ -33,6 +33,15 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages, keep=["page_id", "url"]).select("doc.*", "text", "n_chars")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality_classifier.score_quality(docs, labels, keep=["doc_id"])
+    return scored.select(
+        "doc.doc_id", quality_classifier.held_out(F.col("doc.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict for the URL of every page."""
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages"), keep=["page_id"])
@@ -57,6 +66,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op5_decontaminate": op5_decontaminate,
     "op6_html_text": op6_html_text,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filter": op8_url_filter,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
