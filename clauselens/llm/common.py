@@ -91,3 +91,24 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x *= np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
     return x
+
+
+BYTE_CODES = mix64(np.arange(256))
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def word_spans(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, end) of the runs of bytes for which ``inside`` holds."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    return edge[0::2], edge[1::2]
+
+
+def word_hashes(data: np.ndarray, inside: np.ndarray, begin: np.ndarray, end: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """A polynomial hash of each word, from the end of the word; a byte with code 0 does not count."""
+    if not len(begin):
+        return np.zeros(0, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        place = np.repeat(end, end - begin) - np.flatnonzero(inside) - 1
+        powers = np.multiply.accumulate(np.full(int(place.max()) + 1, FACTOR, dtype=np.uint64))
+        worth = codes[data[inside]] * powers[place]
+        return np.add.reduceat(worth, np.concatenate([[0], np.cumsum(end - begin)[:-1]]))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clauselens.llm.common import in_chunks, mix64, text_bytes, with_text
+from clauselens.llm.common import BYTE_CODES, in_chunks, mix64, text_bytes, with_text, word_hashes, word_spans
 
 MOST_LABELS = 20_000
 SLOTS = 1 << 14
@@ -43,7 +43,8 @@ LETTER = UPPER | ((_BYTE >= 97) & (_BYTE <= 122)) | (_BYTE >= 128)
 SYMBOL = np.isin(_BYTE, list(b"#*$%&|<>{}[]\\^~=+_@/"))
 STOP = np.isin(_BYTE, list(b".,;:?!\"'()-"))
 LOWERED = np.where(UPPER, _BYTE + 32, _BYTE)
-FACTOR = np.uint64(0x9E3779B97F4A7C15 | 1)
+# only letters count, whatever their case
+LETTER_CODES = np.where(LETTER, BYTE_CODES[LOWERED], np.uint64(0))
 
 
 def index_vectors() -> np.ndarray:
@@ -59,9 +60,8 @@ def index_vectors() -> np.ndarray:
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(letters slot, shape slot, document) of every word of some texts."""
     data = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
-    gap = SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]]).astype(np.int8)))
-    begin, end = edge[0::2], edge[1::2]
+    solid = ~SPACE[data]
+    begin, end = word_spans(data, solid)
     none = np.zeros(0, dtype=np.int64)
     if not len(begin):
         return none, none, none
@@ -73,13 +73,7 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return total[end] - total[begin]
 
     letters, upper, symbols, stops = map(within, (LETTER, UPPER, SYMBOL, STOP))
-    with np.errstate(over="ignore"):
-        # place-weighted sums over the letters, from the end of the word: a polynomial hash of each word
-        place = np.repeat(end, end - begin) - np.flatnonzero(~gap)
-        powers = np.multiply.accumulate(np.full(int(place.max()) + 1, FACTOR, dtype=np.uint64))
-        inside = data[~gap]
-        worth = mix64(LOWERED.astype(np.uint64))[inside] * LETTER[inside] * powers[place]
-        letter_hash = np.add.reduceat(worth, np.concatenate([[0], np.cumsum(end - begin)[:-1]]))
+    letter_hash = word_hashes(data, solid, begin, end, LETTER_CODES)
     same = np.zeros(len(begin), dtype=np.int64)
     same[1:] = (letter_hash[1:] == letter_hash[:-1]) & (document[1:] == document[:-1])
     length = end - begin

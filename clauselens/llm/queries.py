@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauselens.llm import decontaminate, html_text, mixing, quality_classifier, quality_rules, sharding, url_filter
+from clauselens.llm import decontaminate, html_text, minhash_join, mixing, quality_classifier, quality_rules, sharding, url_filter
 from clauselens.llm.common import table
 
 SHARD_NAMES = [f"shard-{i:02d}" for i in range(sharding.SHARDS)]
@@ -17,6 +17,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.serve(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of near-duplicate links of every document."""
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -64,6 +69,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_minhash_join": op3_minhash_join,
     "op5_decontaminate": op5_decontaminate,
     "op6_html_text": op6_html_text,
     "op7_quality_classifier": op7_quality_classifier,
