@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauselens.llm import decontaminate, html_text, minhash_join, mixing, quality_classifier, quality_rules, sharding, url_filter
+from clauselens.llm import decontaminate, html_text, minhash_join, mixing, quality_classifier, quality_rules, sharding, suffix_dedup, url_filter
 from clauselens.llm.common import table
 
 SHARD_NAMES = [f"shard-{i:02d}" for i in range(sharding.SHARDS)]
@@ -17,6 +17,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.serve(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 50 bytes that an earlier one has."""
+    docs = table(spark, sf_dir, "documents")
+    cut = suffix_dedup.remove_repeats(docs, keep=["doc_id"], kept_text=False)
+    return cut.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of near-duplicate links of every document."""
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents"))
@@ -69,6 +76,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_minhash_join": op3_minhash_join,
     "op5_decontaminate": op5_decontaminate,
     "op6_html_text": op6_html_text,
