@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauselens.llm import decontaminate, html_text, minhash_join, mixing, quality_classifier, quality_rules, sharding, suffix_dedup, url_filter
+from clauselens.llm import decontaminate, html_text, minhash_join, mixing, pii, quality_classifier, quality_rules, sharding, suffix_dedup, url_filter
 from clauselens.llm.common import table
 
 SHARD_NAMES = [f"shard-{i:02d}" for i in range(sharding.SHARDS)]
@@ -29,6 +29,14 @@ def op3_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "doc.doc_id", *[f"n_{k}" for k in pii.PATTERNS], F.sha2(pii.joined_spans(F.col("base")), 256).alias("base_sha256"),
+        pii.joined_spans(F.col("spans")).alias("spans"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -78,6 +86,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_minhash_join": op3_minhash_join,
+    "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_html_text": op6_html_text,
     "op7_quality_classifier": op7_quality_classifier,
