@@ -13,8 +13,8 @@ SHARD_NAMES = [f"shard-{i:02d}" for i in range(sharding.SHARDS)]
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix of all documents takes of each."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.serve(docs).select("doc_id", "size", "source_size", "target", "taken")
+    served = mixing.serve(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return served.select("doc.doc_id", "size", "source_size", "target", "taken")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +70,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot and shard of every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return sharding.place(docs, "doc_id", SHARD_NAMES)
+    placed = sharding.place(table(spark, sf_dir, "documents"), "doc_id", SHARD_NAMES, keep=["doc_id", "source"])
+    return placed.select("doc.doc_id", "doc.source", "slot", "shard")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,8 @@ shard claims its next preferred slot that is still free, until the table is full
 nearly equal numbers of slots, and when a shard is added or removed, most slots keep their owner.
 A row's slot is the digest of its key modulo the size; the table is broadcast, so placement is one lookup.
 
-Cases: a null key is placed like the empty string; rows of equal keys share a shard; extra columns are
-left alone, and new columns that would clash with one are refused; the table of rows may be empty.
+Cases: a null key is placed like the empty string; rows of equal keys share a shard; the table of rows may be
+empty; new columns sit beside a struct of the row, so none can clash.
 """
 
 from __future__ import annotations
@@ -58,10 +58,11 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
     return (bits % slots).cast("int")
 
 
-def place(rows: DataFrame, key: str, shards: list[str], slots: int = SLOTS) -> DataFrame:
-    """The rows with ``slot`` and ``shard``; the broadcast table has ``slots`` small rows, a fixed number."""
-    if {"slot", "shard"} & set(rows.columns):
-        raise ValueError("the rows already have a column named slot or shard")
+def place(rows: DataFrame, key: str, shards: list[str], slots: int = SLOTS, keep: list[str] | None = None) -> DataFrame:
+    """(doc, slot, shard): doc holds the kept columns (default all).
+
+    The broadcast table has ``slots`` small rows, a fixed number, which proves its bound.
+    """
+    doc = F.struct(*[F.col(f"`{c}`") for c in (rows.columns if keep is None else keep)]).alias("doc")
     table = F.broadcast(lookup_table(rows.sparkSession, shards, slots))
-    placed = rows.withColumn("slot", slot_of(F.col(f"`{key}`"), slots)).join(table, "slot")
-    return placed.select(*[f"`{c}`" for c in rows.columns], "slot", "shard")
+    return rows.select(doc, slot_of(F.col(f"`{key}`"), slots).alias("slot")).join(table, "slot").select("doc", "slot", "shard")
