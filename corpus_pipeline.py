@@ -51,13 +51,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that is in service at the cut stays if most of it has been served.
     """
-    stream = mixing.mix(docs.withColumn("__size", mixing.word_count(F.col("text"))))
-    return stream.where(2 * F.col("words") > F.col("__size")).select(docs.columns)
+    return mixing.mix(docs).where("2 * words > size").select("doc.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its slot and shard."""
-    return sharding.place(docs, "doc_id", SHARD_NAMES)
+    """Every row with its slot and shard, which replace columns of these names."""
+    placed = sharding.place(docs, "doc_id", SHARD_NAMES)
+    return placed.select(*[f"doc.`{c}`" for c in docs.columns if c not in ("slot", "shard")], "slot", "shard")
 
 
 STAGES = [
