@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # rows per Arrow batch: bounds what a Python worker holds, also with long texts
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 # a word, as the contracts of most operators define it: a run without ASCII white space
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -23,6 +23,8 @@ def prepare(spark: SparkSession) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+        # columns of long texts: a reader's vectors hold so many rows at once
+        "spark.sql.parquet.columnarReaderBatchSize": str(BATCH_ROWS),
     }.items():
         spark.conf.set(key, value)
     return spark
@@ -53,14 +55,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words; null has none."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+    """Number of words; null has none.  Every word becomes one letter, so no array of words is made."""
+    marks = F.regexp_replace(F.regexp_replace(text, r"^[\x20\x09-\x0D]++", ""), r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+", "w")
+    return F.coalesce(F.length(marks), F.lit(0)).cast("long")
+
+
+# hash slots of a preselection: the proven bound of its broadcast
+FILTER_SLOTS = 1 << 20
+
+
+def slot_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_SLOTS)).cast("int")
+
+
+def preselected(rows: DataFrame, key: Column, wanted: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows whose key may be among the wanted keys (one column), or, with left_anti, those whose key is not.
+
+    Keys are compared by hash slot, so at most ``FILTER_SLOTS`` small rows are broadcast whatever the size
+    of either side.  An exact join has to follow for the rows that may be among them.
+    """
+    slots = F.broadcast(wanted.select(slot_of(F.col(f"`{wanted.columns[0]}`")).alias("__slot")).distinct())
+    return rows.withColumn("__slot", slot_of(key)).join(slots, "__slot", how).drop("__slot")
 
 
 def with_text(docs: DataFrame, text: str, keep: list[str] | None) -> DataFrame:
-    """(doc, text): the kept columns (default all) as one struct, so that no result column can clash with them."""
+    """(doc[, text]): the kept columns (default all) as one struct, so that no result column can clash with
+    them; the text stands beside it only if it is not kept."""
     kept = docs.columns if keep is None else keep
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(text).alias("text"))
+    beside = [] if text in kept else [F.col(f"`{text}`").alias("text")]
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), *beside)
+
+
+def text_column(batch: pa.RecordBatch, text: str) -> pa.Array:
+    """The texts of a batch of ``with_text``."""
+    return batch.column(1) if batch.num_columns > 1 else batch.column(0).field(text)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:
@@ -104,11 +132,13 @@ def word_spans(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def word_hashes(data: np.ndarray, inside: np.ndarray, begin: np.ndarray, end: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """A polynomial hash of each word, from the end of the word; a byte with code 0 does not count."""
+    """A polynomial hash of the bytes of each word, from its end; bytes with code 0 are skipped."""
     if not len(begin):
         return np.zeros(0, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        place = np.repeat(end, end - begin) - np.flatnonzero(inside) - 1
-        powers = np.multiply.accumulate(np.full(int(place.max()) + 1, FACTOR, dtype=np.uint64))
-        worth = codes[data[inside]] * powers[place]
+        worth = codes[data]
+        counted = np.concatenate([[0], np.cumsum(worth != 0)])
+        place = np.repeat(counted[end], end - begin) - counted[1:][inside]
+        powers = np.multiply.accumulate(np.full(int(place.max()) + 2, FACTOR, dtype=np.uint64))
+        worth = worth[inside] * powers[np.maximum(place, 0)]
         return np.add.reduceat(worth, np.concatenate([[0], np.cumsum(end - begin)[:-1]]))

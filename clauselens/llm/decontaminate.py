@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clauselens.llm.common import in_chunks, text_bytes, with_text
+from clauselens.llm.common import in_chunks, text_bytes, text_column, with_text
 
 WIDTH = 13
 # bytes of benchmark text that are sent to the executors at once; a larger benchmark is searched in several rounds
@@ -191,7 +191,7 @@ def find_contamination(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = Patterns(blocks[0].value, width) if len(blocks) == 1 else None
         for batch in batches:
-            texts = text_bytes(batch.column(1))
+            texts = text_bytes(text_column(batch, text))
             hits: list[np.ndarray | None] = [None] * len(texts)
             ids: list[set[str]] = [set() for _ in texts]
             for block in blocks:

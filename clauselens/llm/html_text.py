@@ -21,7 +21,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from clauselens.llm.common import with_text
+from clauselens.llm.common import text_column, with_text
 
 # fixed values: names of the language's tags, by their role here
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
@@ -230,7 +230,7 @@ def extract_text(pages: DataFrame, html: str = "html", keep: list[str] | None =
     """(doc, text, n_chars): doc holds the kept columns (default all); nothing is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h.as_py()) for h in batch.column(1)]
+            texts = [main_text(h.as_py()) for h in text_column(batch, html)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["doc", "text", "n_chars"])

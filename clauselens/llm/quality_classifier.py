@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clauselens.llm.common import BYTE_CODES, in_chunks, mix64, text_bytes, with_text, word_hashes, word_spans
+from clauselens.llm.common import BYTE_CODES, in_chunks, mix64, text_bytes, text_column, with_text, word_hashes, word_spans
 
 MOST_LABELS = 20_000
 SLOTS = 1 << 14
@@ -261,7 +261,7 @@ def score_quality(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, prior, network = model.value
         for batch in batches:
-            scores = network.score(shrunk(*pooled(text_bytes(batch.column(1)), vectors), prior))
+            scores = network.score(shrunk(*pooled(text_bytes(text_column(batch, text)), vectors), prior))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc", "score"])
 
     carried = with_text(docs, text, keep)

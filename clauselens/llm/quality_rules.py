@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from clauselens.llm.common import text_bytes, with_text
+from clauselens.llm.common import text_bytes, text_column, with_text
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -124,7 +124,7 @@ def clean_lines(
     """(doc, figures, kept, cleaned): doc holds the kept columns (default all); nothing is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [judge(t, max_loss) for t in text_bytes(batch.column(1))]
+            rows = [judge(t, max_loss) for t in text_bytes(text_column(batch, text))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([r[n] for r in rows], t) for n, t in FIELDS.items()]],
                 names=["doc", *FIELDS])

@@ -1,16 +1,23 @@
 """Substring deduplication with collection Burrows-Wheeler transforms.
 
 Every byte covered by a string of ``width`` bytes that also starts in a document with a smaller id is
-removed.  Strings are dealt out by content: a string's *anchor* is the smallest hash among its short
-substrings, so equal strings have equal anchors wherever they are.  Stretches of a document whose strings
-share an anchor (a few dozen bytes more than ``width``) travel together to the anchor's bucket.
-
-In a bucket, equal stretches become one, with the smallest id, and stretches whose surroundings of the
-anchor no other document has are left out.  The rest are a collection of short documents: its
-Burrows-Wheeler transform and common prefixes are built column by column from the right.  Every round
-inserts one symbol of each stretch into the transform, in one sequential pass over it; the passes'
-sequential files are arrays here, because a collection is bounded, and Spark's shuffle files between
-them.  Neighbouring suffixes with a common prefix of ``width`` bytes start with the same string.
+removed.  Strings are dealt out by content: a string's *anchor* is the smallest hash among its
+substrings of ``ANCHOR`` bytes, so equal strings have equal anchors wherever they are.  Stretches of a document
+whose strings share an anchor (a few bytes more than ``width``) travel together to the anchor's bucket.
+
+1. Documents are hashed into groups of a few megabytes.  Each group sends its sorted anchors, shortened
+   to 32 bits, to their buckets.
+2. A bucket answers each group with one bit for each anchor: does another group have it too?
+3. Each group sends the stretches whose anchors are shared; of equal ones only those of the smallest id.
+4. In a bucket, equal stretches become one, and the rest are a collection of short documents: its
+   Burrows-Wheeler transform and common prefixes are built column by column from the right.  Every
+   round inserts one symbol of each stretch into the transform, in one sequential pass over it.  The
+   passes' sequential files are arrays, because a collection is bounded; between the steps they are
+   Spark's shuffle files.  Neighbouring suffixes with a common prefix of ``width`` bytes start with the same
+   string, and the smallest id among them decides.
+5. The spans go back to the groups, where they are cut out.
+
+The documents are shuffled once, by group, for steps 1, 3 and 5.
 
 Cases: a null text is empty; a text shorter than ``width`` is kept whole; a document without an id has no place
 in the order, is kept whole and does not count for others; repeated rows of one id do not count against
@@ -28,12 +35,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clauselens.llm.common import BYTE_CODES, FACTOR, mix64, stored, text_bytes
+from clauselens.llm.common import BYTE_CODES, FACTOR, mix64
 
 WIDTH = 50
-ANCHOR = 12  # bytes of the substrings that anchors are chosen from
+ANCHOR = 24  # bytes of the substrings that anchors are chosen from; long enough to be rare in text
 RUN = WIDTH - ANCHOR + 1  # strings in one stretch at most; only in periodic texts do more share an anchor
-CHUNK_BYTES = 4_000_000
+BLOCK = 1 << 16  # positions that are hashed at once
+GROUP_BYTES = 2_000_000  # text of the documents in one group
 COLLECTION = 8_000  # stretches in one collection, but for a larger group of one anchor
 
 
@@ -67,28 +75,53 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(part[:len(part) - rest], part[rest:]) if rest else part
 
 
-def anchors(data: np.ndarray, width: int = WIDTH) -> np.ndarray:
+def in_blocks(function, data: np.ndarray, reach: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first position, values) of a function of ``reach`` bytes at each position; blocks stay in the CPU's cache."""
+    for lo in range(0, len(data) - reach + 1, BLOCK):
+        yield lo, function(data[lo:lo + BLOCK + reach - 1])
+
+
+def picked(function, data: np.ndarray, reach: int, at: np.ndarray) -> np.ndarray:
+    """Values of a function of ``reach`` bytes at some ascending positions."""
+    out = np.empty(len(at), dtype=np.uint64)
+    for lo, values in in_blocks(function, data, reach):
+        a, b = np.searchsorted(at, (lo, lo + len(values)))
+        out[a:b] = values[at[a:b] - lo]
+    return out
+
+
+def anchors(data: np.ndarray, width: int) -> np.ndarray:
     """Anchor of the string of ``width`` bytes at each position."""
-    if len(data) < width:
-        return np.zeros(0, dtype=np.uint64)
     return sliding_min(mix64(rolling(data, ANCHOR)), width - ANCHOR + 1)
 
 
 def stretches(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, ...]:
     """(joined bytes, anchor, text number, start in the joined bytes, strings) of the stretches of some texts."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    anchor = anchors(data, width)
-    owner = np.repeat(np.arange(len(texts)), sizes)[:len(anchor)]
-    inside = np.arange(len(anchor)) + width <= np.cumsum(sizes)[owner]
-    new = np.ones(len(anchor), dtype=bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
-    place = np.arange(len(anchor)) - np.maximum.accumulate(np.where(new, np.arange(len(anchor)), 0))
-    begin = np.flatnonzero((new | (place % RUN == 0)) & inside)
-    # a stretch ends before the next one, or with its text's last whole string
-    last = np.cumsum(sizes)[owner[begin]] - width + 1
-    strings = np.minimum(np.append(begin[1:], len(anchor)), last) - begin
-    return data, anchor[begin], owner[begin], begin, strings
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+    found, values, before = [], [], None
+    for lo, anchor in in_blocks(lambda part: anchors(part, width), data, width):
+        new = np.empty(len(anchor), dtype=bool)
+        new[0] = before is None or anchor[0] != before
+        np.not_equal(anchor[1:], anchor[:-1], out=new[1:])
+        borders = ends[np.searchsorted(ends, lo):np.searchsorted(ends, lo + len(anchor))] - lo
+        new[borders] = True
+        at = np.flatnonzero(new)
+        found.append(at + lo)
+        values.append(anchor[at])
+        before = anchor[-1]
+    if not found:
+        none = np.zeros(0, dtype=np.int64)
+        return data, none.astype(np.uint64), none, none, none
+    begin, anchor = np.concatenate(found), np.concatenate(values)
+    # a stretch ends before the next one, or with its text's last whole string; long ones are cut
+    owner = np.searchsorted(ends, begin, side="right")
+    strings = np.minimum(np.append(begin[1:], len(data)), ends[owner] - width + 1) - begin
+    parts = np.maximum(-(-strings // RUN), 0)
+    first = np.repeat(np.cumsum(parts) - parts, parts)
+    shift = (np.arange(len(first)) - first) * RUN
+    anchor, owner, begin, strings = (np.repeat(v, parts) for v in (anchor, owner, begin, strings))
+    return data, anchor, owner, begin + shift, np.minimum(strings - shift, RUN)
 
 
 def gathered(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -97,14 +130,12 @@ def gathered(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndar
     return data[shift + np.arange(int(length.sum()))]
 
 
-def content_hash(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Hash of whole stretches: overlapping pieces of 32 bytes cover them."""
-    piece = rolling(data, 32)
+def content_hash(data: np.ndarray, start: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
+    """Hash of whole stretches, in ascending order: their first and last string cover them."""
+    strings = lambda part: rolling(part, width)
     with np.errstate(over="ignore"):
-        total = length.astype(np.uint64)
-        for at in (start, start + 18, start + length - 32, start + np.minimum(length - 32, 36), start + np.minimum(length - 32, 50)):
-            total = mix64(total * FACTOR + piece[at])
-    return total
+        total = mix64(length.astype(np.uint64) * FACTOR + picked(strings, data, width, start))
+        return mix64(total * FACTOR + picked(strings, data, width, start + length - width))
 
 
 class Collection:
@@ -214,7 +245,7 @@ def runs(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def spans_of(ids: np.ndarray, start: np.ndarray, strings: np.ndarray, least: np.ndarray, width: int):
-    """(id, begin, end) of the runs of strings that a smaller id has; least: for every string of every occurrence."""
+    """(number of the occurrence, begin, end) of the runs of strings that a smaller id has; least: for every string."""
     number = np.repeat(np.arange(len(ids)), strings)
     place = np.arange(len(number)) - np.repeat(np.cumsum(strings) - strings, strings)
     gone = least < ids[number]
@@ -222,7 +253,7 @@ def spans_of(ids: np.ndarray, start: np.ndarray, strings: np.ndarray, least: np.
     begin = gone & np.append(True, ~gone[:-1] | (number[1:] != number[:-1]))[:len(gone)]
     end = gone & np.append(~gone[1:] | (number[1:] != number[:-1]), True)[:len(gone)]
     b, e = np.flatnonzero(begin), np.flatnonzero(end)
-    return ids[number[b]], start[number[b]] + place[b], start[number[b]] + place[e] + width
+    return number[b], start[number[b]] + place[b], start[number[b]] + place[e] + width
 
 
 PACK, UNPACK = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
@@ -236,93 +267,91 @@ def unpack(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(UNPACK.decompress(data), dtype=kind)
 
 
-def resolve(texts: np.ndarray, strings: np.ndarray, ids: np.ndarray, place: np.ndarray, width: int = WIDTH):
-    """(id, begin, end) of removed runs among the stretches of one bucket."""
-    length = strings + width - 1
-    start = np.cumsum(length) - length
-    value = mix64(rolling(texts, ANCHOR))
-    # the anchor's place: the first smallest of the first string's substrings
-    reach = width - ANCHOR + 1
-    grid = value[start[:, None] + np.arange(reach)]
-    at = grid.argmin(1)
-    anchor = grid[np.arange(len(at)), at]
-    del grid
-    # a string around the anchor has a good part of its bytes on one side of it
-    side = (width - ANCHOR) // 2
-    piece = rolling(texts, ANCHOR + side)
-    kept = np.zeros(len(ids), dtype=bool)
-    for tag, begin in ((1, at - side), (2, at)):
-        fits = np.flatnonzero((begin >= 0) & (begin + ANCHOR + side <= length))
-        with np.errstate(over="ignore"):
-            key = mix64(piece[start[fits] + begin[fits]] + np.uint64(tag))
-        kept[fits[shared(key, ids[fits])]] = True
-    take = np.flatnonzero(kept)
-    start, length, strings, ids, place, anchor = (v[take] for v in (start, length, strings, ids, place, anchor))
-    # equal stretches become one with the smallest id; anchors lie together
-    content = content_hash(texts, start, length)
-    order = np.lexsort((ids, content, anchor))
-    start, length, strings, ids, place, anchor, content = (
-        v[order] for v in (start, length, strings, ids, place, anchor, content))
-    first = np.flatnonzero(np.append(True, (content[1:] != content[:-1]) | (anchor[1:] != anchor[:-1]))[:len(ids)])
-    which = np.zeros(len(ids), dtype=np.int64)
-    which[first[1:]] = 1
-    which = np.cumsum(which)
-    least = smallest_ids(texts, start[first], strings[first], ids[first], anchor[first], width)
-    offset = np.cumsum(strings[first]) - strings[first]
-    every = least[np.repeat(offset[which] - (np.cumsum(strings) - strings), strings) + np.arange(int(strings.sum()))]
-    return spans_of(ids, place, strings, every, width)
-
-
-def shared(key: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Is the key found with another id too?"""
-    order = np.argsort(key, kind="stable")
-    k, i = key[order], ids[order]
-    if not len(k):
-        return np.zeros(0, dtype=bool)
-    border = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-    size = np.diff(np.append(border, len(k)))
-    differ = np.minimum.reduceat(i, border) != np.maximum.reduceat(i, border)
-    out = np.zeros(len(key), dtype=bool)
-    out[order] = np.repeat(differ, size)
-    return out
+BUCKETS_A_PARTITION = 2
+DEALT = "g long, bucket int, texts binary, strings binary, ids binary, place binary, done binary"
+KINDS = [pa.int64(), pa.int32()] + [pa.binary()] * 5
+
+
+def codes(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of an anchor and its 32 bits there, as one number."""
+    bits = mix64(anchor)
+    return (bits % np.uint64(buckets)) << np.uint64(32) | bits >> np.uint64(32)
+
+
+def sorted_anchors(texts: list[bytes], buckets: int, width: int = WIDTH) -> Iterator[tuple[int, bytes]]:
+    """(bucket, sorted 32-bit anchors) of the documents of a group."""
+    every = np.unique(codes(stretches(texts, width)[1], buckets))
+    edges = np.searchsorted(every, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+    for b in np.flatnonzero(np.diff(edges)):
+        part = (every[edges[b]:edges[b + 1]] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        yield int(b), pack(np.diff(part, prepend=np.uint32(0)))
 
 
-BUCKETS_A_PARTITION = 8
-FILTER_SLOTS = 1 << 20
-BLOB_SCHEMA = "bucket int, texts binary, strings binary, ids binary, place binary, done binary"
+def shared_bits(groups: list[bytes]) -> list[bytes]:
+    """For the anchors of each group in a bucket: has another group the same?"""
+    parts = [np.cumsum(unpack(g, np.uint32), dtype=np.uint32) for g in groups]
+    _, inverse, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    edges = np.cumsum([len(p) for p in parts])[:-1]
+    return [np.packbits(b).tobytes() for b in np.split(count[inverse] > 1, edges)]
 
 
-def dealt(texts: list[bytes], ids: np.ndarray, buckets: int, width: int = WIDTH) -> Iterator[tuple]:
-    """Rows of ``BLOB_SCHEMA`` for some documents.
+def dealt(texts: list[bytes], ids: np.ndarray, bits: dict[int, bytes], buckets: int, width: int = WIDTH) -> Iterator[tuple]:
+    """(bucket, texts, strings, ids, places, spans) of the stretches of a group with shared anchors.
 
     Of equal stretches only those of the smallest id go on; the others' strings are gone already, and
-    only their spans are sent.  So a passage that all documents share is sent once for each chunk of documents.
+    only their spans are sent.  So a passage that all documents share is sent once for each group.
     """
     data, anchor, owner, begin, strings = stretches(texts, width)
     if not len(anchor):
         return
-    length = strings + width - 1
+    every, inverse = np.unique(codes(anchor, buckets), return_inverse=True)
+    size = np.bincount((every >> np.uint64(32)).astype(np.int64), minlength=buckets)
+    shared = np.concatenate([
+        np.unpackbits(np.frombuffer(bits[b], dtype=np.uint8), count=size[b]) for b in np.flatnonzero(size).tolist()])
+    own = ids[owner]
+    low, high = np.full(len(every), np.iinfo(np.int64).max), np.full(len(every), np.iinfo(np.int64).min)
+    np.minimum.at(low, inverse, own)
+    np.maximum.at(high, inverse, own)
+    take = np.flatnonzero((shared.astype(bool) | (low != high))[inverse])
     base = np.cumsum([0] + [len(t) for t in texts])
-    own, place = ids[owner], begin - base[owner]
-    content = content_hash(data, begin, length)
+    bucket = (every >> np.uint64(32)).astype(np.int64)[inverse[take]]
+    begin, strings, own, place = begin[take], strings[take], own[take], begin[take] - base[owner[take]]
+    length = strings + width - 1
+    content = content_hash(data, begin, length, width)
     order = np.lexsort((own, content))
-    first = np.append(True, content[order][1:] != content[order][:-1])
+    first = np.append(True, content[order][1:] != content[order][:-1])[:len(order)]
     least = np.empty(len(order), dtype=np.int64)
     least[order] = own[order][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
     gone = np.flatnonzero(own > least)
     spans = merged(own[gone], place[gone], place[gone] + length[gone])
-    target = (mix64(spans[0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    bucket = (mix64(anchor) % np.uint64(buckets)).astype(np.int64)
+    home = int(mix64(ids[:1].view(np.uint64))[0] % np.uint64(buckets))  # the spans may take any way
     bucket[gone] = -1
     by = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
-    by_target = np.argsort(target, kind="stable")
-    target_edges = np.searchsorted(target[by_target], np.arange(buckets + 1))
     for b in range(buckets):
-        at, sent = by[edges[b]:edges[b + 1]], by_target[target_edges[b]:target_edges[b + 1]]
-        if len(at) or len(sent):
+        at = by[edges[b]:edges[b + 1]]
+        sent = spans if b == home else [s[:0] for s in spans]
+        if len(at) or len(sent[0]):
             yield (b, pack(gathered(data, begin[at], length[at])), pack(strings[at].astype(np.uint8)),
-                   pack(np.diff(own[at], prepend=0)), pack(place[at]), pack(np.stack([s[sent] for s in spans])))
+                   pack(np.diff(own[at], prepend=0)), pack(place[at].astype(np.uint32)), pack(np.stack(sent)))
+
+
+def resolve(texts: np.ndarray, strings: np.ndarray, ids: np.ndarray, place: np.ndarray, width: int = WIDTH):
+    """(number of the stretch, begin, end) of removed runs among the stretches of one bucket."""
+    length = strings + width - 1
+    start = np.cumsum(length) - length
+    anchor = picked(lambda part: anchors(part, width), texts, width, start)
+    # equal stretches become one with the smallest id; anchors lie together
+    content = content_hash(texts, start, length, width)
+    order = np.lexsort((ids, content, anchor))
+    start, length, strings, anchor, content = (v[order] for v in (start, length, strings, anchor, content))
+    new = np.append(True, (content[1:] != content[:-1]) | (anchor[1:] != anchor[:-1]))
+    first, which = np.flatnonzero(new), np.cumsum(new) - 1
+    least = smallest_ids(texts, start[first], strings[first], ids[order][first], anchor[first], width)
+    offset = np.cumsum(strings[first]) - strings[first]
+    every = least[np.repeat(offset[which] - (np.cumsum(strings) - strings), strings) + np.arange(int(strings.sum()))]
+    number, begin, end = spans_of(ids[order], place[order], strings, every, width)
+    return order[number], begin, end
 
 
 def merged(ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -339,94 +368,97 @@ def merged(ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return ids[new], begin[new], far[last]
 
 
-def removed_spans(docs: DataFrame, doc_id: str, text: str, width: int = WIDTH) -> DataFrame:
-    """(id, spans): for each document that loses bytes, its spans as (begin, end) structs in order."""
-    spark = docs.sparkSession
-    buckets = BUCKETS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    names = [f.split()[0] for f in BLOB_SCHEMA.split(", ")]
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, held = [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            rows = list(dealt(texts, np.array(ids, dtype=np.int64), buckets, width))
-            kinds = [pa.int32()] + [pa.binary()] * 5
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
-
-        for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-                if len(t) < width:
-                    continue
-                if held and held + len(t) > CHUNK_BYTES:
-                    yield flush()
-                    ids, texts, held = [], [], 0
-                ids.append(i)
-                texts.append(t)
-                held += len(t)
-        if texts:
-            yield flush()
-
-    def settle(rows: pa.Table) -> pa.Table:
-        columns = {c: rows.column(c).to_pylist() for c in names[1:]}
-        texts = np.concatenate([unpack(b, np.uint8) for b in columns["texts"]])
-        strings = np.concatenate([unpack(b, np.uint8) for b in columns["strings"]]).astype(np.int64)
-        ids = np.concatenate([np.cumsum(unpack(b, np.int64)) for b in columns["ids"]])
-        place = np.concatenate([unpack(b, np.int64) for b in columns["place"]])
-        done = np.concatenate([unpack(b, np.int64).reshape(3, -1) for b in columns["done"]], axis=1)
-        found = resolve(texts, strings, ids, place, width) if len(ids) else (np.zeros(0, np.int64),) * 3
-        every = merged(*[np.concatenate([a, b]) for a, b in zip(found, done)])
-        return pa.table(dict(zip(("id", "begin", "end"), map(pa.array, every))))
-
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).where(
-        "id is not null and text is not null")
-    blobs = rows.mapInArrow(deal, BLOB_SCHEMA)
-    spans = blobs.groupBy("bucket").applyInArrow(settle, "id long, begin long, end long")
-    return spans.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+def cut_out(data: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[bytes, int]:
+    """(what is left, number of removed runs) of a text and its merged spans."""
+    kept, at, number = [], 0, 0
+    for b, e in zip(begin.tolist(), end.tolist()):
+        if b < len(data):
+            kept.append(data[at:b])
+            at, number = e, number + 1
+    return b"".join([*kept, data[at:]]), number
 
 
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, width: int = WIDTH,
     kept_text: bool = True,
 ) -> DataFrame:
-    """(doc, n_bytes, n_removed, n_spans, kept_sha256[, kept]): doc holds the kept columns (default all).
-
-    Documents that lose nothing need no join with their text; a table of ``FILTER_SLOTS`` hash slots at
-    most, the proven bound of the broadcast, keeps most of them out of the shuffle.
-    """
-    spans = stored(removed_spans(docs, doc_id, text, width))
+    """(doc, n_bytes, n_removed, n_spans, kept_sha256[, kept]): doc holds the kept columns (default all)."""
+    spark = docs.sparkSession
     doc = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("doc")
     rows = docs.select(doc, F.col(f"`{doc_id}`").cast("long").alias("id"),
                        F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("text"))
-    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_SLOTS)).cast("int").alias("slot")
-    slots = F.broadcast(spans.select(slot).distinct())
-    touched = rows.withColumn("slot", slot).join(slots, "slot", "left_semi").drop("slot").join(spans, "id")
-    fields = f"doc {rows.schema['doc'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[] for _ in range(5)]
-            for data, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                kept, at, number = [], 0, 0
-                for s in spans:
-                    begin, end = min(s["begin"], len(data)), min(s["end"], len(data))
-                    if end <= at:
-                        continue
-                    number += begin > at or number == 0
-                    kept.append(data[at:begin])
-                    at = end
-                kept = b"".join([*kept, data[at:]])
-                for o, v in zip(out, (len(data), len(data) - len(kept), number, hashlib.sha256(kept).hexdigest(), kept)):
-                    o.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            columns = [batch.column(0), *[pa.array(o, k) for o, k in zip(out, kinds)]]
-            n = 6 if kept_text else 5
-            yield pa.RecordBatch.from_arrays(columns[:n], names=names[:n])
-
-    changed = touched.select("doc", "text", "spans").mapInArrow(cut, fields + (", kept binary" if kept_text else ""))
-    same = rows.select(
-        "id", "doc", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    groups = max(1, -(-size // GROUP_BYTES))
+    buckets = BUCKETS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    named = rows.where("id is not null").withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups)))
+    grouped = named.groupBy("g")
+    result = f"doc {rows.schema['doc'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    result += ", kept binary" if kept_text else ""
+
+    def numbers(table: pa.Table) -> tuple[int, list[bytes], np.ndarray]:
+        return table.column("g")[0].as_py(), table.column("text").to_pylist(), table.column("id").to_numpy()
+
+    def anchors_of(table: pa.Table) -> pa.Table:
+        g, texts, _ = numbers(table)
+        found = list(sorted_anchors(texts, buckets, width))
+        return pa.table({"g": pa.array([g] * len(found), pa.int64()), "bucket": pa.array([b for b, _ in found], pa.int32()),
+                         "anchors": pa.array([a for _, a in found], pa.binary())})
+
+    def answer(table: pa.Table) -> pa.Table:
+        return pa.table({"g": table.column("g"), "bucket": table.column("bucket"), "bits": pa.array(
+            shared_bits(table.column("anchors").to_pylist()), pa.binary())})
+
+    def deal(table: pa.Table, bits: pa.Table) -> pa.Table:
+        if not len(table):
+            return pa.table({f.split()[0]: pa.array([], k) for f, k in zip(DEALT.split(", "), KINDS)})
+        g, texts, ids = numbers(table)
+        known = dict(zip(bits.column("bucket").to_pylist(), bits.column("bits").to_pylist()))
+        found = list(dealt(texts, ids, known, buckets, width))
+        columns = [[g] * len(found), *([r[k] for r in found] for k in range(6))]
+        return pa.table({f.split()[0]: pa.array(c, k) for f, c, k in zip(DEALT.split(", "), columns, KINDS)})
+
+    def settle(table: pa.Table) -> pa.Table:
+        columns = {c: [unpack(b, kind) for b in table.column(c).to_pylist()] for c, kind in (
+            ("texts", np.uint8), ("strings", np.uint8), ("ids", np.int64), ("place", np.uint32), ("done", np.int64))}
+        group = np.repeat(table.column("g").to_numpy(), [len(x) for x in columns["ids"]])
+        ids = np.concatenate([np.cumsum(x) for x in columns["ids"]])
+        strings, place = (np.concatenate(columns[c]).astype(np.int64) for c in ("strings", "place"))
+        number, begin, end = (np.zeros(0, np.int64),) * 3
+        if len(ids):
+            number, begin, end = resolve(np.concatenate(columns["texts"]), strings, ids, place, width)
+        done = np.concatenate([x.reshape(3, -1) for x in columns["done"]], axis=1)
+        home = np.repeat(table.column("g").to_numpy(), [len(x) // 3 for x in columns["done"]])
+        group = np.concatenate([group[number], home])
+        spans = np.stack([np.concatenate([a, b]) for a, b in zip((ids[number], begin, end), done)])
+        order = np.argsort(group, kind="stable")
+        found, edges = np.unique(group[order], return_index=True)
+        parts = [np.stack(merged(*spans[:, at])) for at in np.split(order, edges[1:])] if len(found) else []
+        return pa.table({"g": pa.array(found, pa.int64()), "spans": pa.array([pack(p) for p in parts], pa.binary())})
+
+    def finish(table: pa.Table, spans: pa.Table) -> pa.Table:
+        parts = [unpack(b, np.int64).reshape(3, -1) for b in spans.column("spans").to_pylist()]
+        owner, begin, end = merged(*np.concatenate(parts, axis=1)) if parts else (np.zeros(0, np.int64),) * 3
+        ids = table.column("id").to_numpy() if len(table) else np.zeros(0, np.int64)
+        lo, hi = np.searchsorted(owner, ids, "left"), np.searchsorted(owner, ids, "right")
+        out: list[list] = [[] for _ in range(5)]
+        for data, a, b in zip(table.column("text").to_pylist(), lo.tolist(), hi.tolist()):
+            kept, number = cut_out(data, begin[a:b], end[a:b])
+            for o, v in zip(out, (len(data), len(data) - len(kept), number, hashlib.sha256(kept).hexdigest(), kept)):
+                o.append(v)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+        names = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+        columns = {n: pa.array(o, k) for n, o, k in zip(names, out, kinds)}
+        if not kept_text:
+            del columns["kept"]
+        return pa.table({"doc": table.column("doc"), **columns})
+
+    answers = grouped.applyInArrow(anchors_of, "g long, bucket int, anchors binary").groupBy("bucket").applyInArrow(
+        answer, "g long, bucket int, bits binary")
+    sent = grouped.cogroup(answers.groupBy("g")).applyInArrow(deal, DEALT)
+    spans = sent.groupBy("bucket").applyInArrow(settle, "g long, spans binary")
+    changed = grouped.cogroup(spans.groupBy("g")).applyInArrow(finish, result)
+    unnamed = rows.where("id is null").select(
+        "doc", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"),
         *([F.col("text").alias("kept")] if kept_text else []))
-    return changed.unionByName(same.join(spans.select("id"), "id", "left_anti").drop("id"))
+    return changed.unionByName(unnamed)
