@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clauselens.functions.text import let
-from clauselens.llm.common import WORD, stored
+from clauselens.llm.common import WORD, preselected, stored
 
 # fixed values: what is looked for, in the order of the kinds.  Runs are matched possessively and not
 # entered in their middle, which finds the same matches without trying every start in a long run.
@@ -39,7 +39,6 @@ SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
 BLOCK = 256
 TERM = r"[\p{L}\p{N}]++(?:[-_.'][\p{L}\p{N}]++)*+"
-FILTER_SLOTS = 1 << 20
 
 
 def running(lengths: Column) -> Column:
@@ -155,14 +154,10 @@ def disclosures(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
     pairs = stored(pairs.groupBy("name", "term").agg(
         F.sum("times").alias("n_both"), F.count("*").alias("support")).where(F.col("support") >= SUPPORT))
     # the corpus: lines with words, and for the terms in question the lines that hold them
-    slot = F.pmod(F.xxhash64("term"), F.lit(FILTER_SLOTS)).cast("int").alias("slot")
     every = docs.select(F.explode(F.split(F.col(f"`{text}`"), "\n")).alias("line"))
     total = every.where(F.col("line").rlike(WORD)).groupBy().agg(F.count("*").alias("n")).scalar()
-    counts = (
-        every.select(F.explode(line_terms(F.col("line"))).alias("term")).withColumn("slot", slot)
-        .join(F.broadcast(pairs.select(slot).distinct()), "slot", "left_semi")
-        .groupBy("term").agg(F.count("*").alias("n_term"))
-    )
+    words = every.select(F.explode(line_terms(F.col("line"))).alias("term"))
+    counts = preselected(words, F.col("term"), pairs.select("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     entity = held.groupBy("name").agg(F.sum("times").alias("n_entity"))
     reveals = F.log2(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log2(total / F.col("n_entity"))
     rated = pairs.join(counts, "term").join(entity, "name").withColumn("reveals", F.round(reveals, 9))
@@ -195,6 +190,9 @@ def find_personal_data(docs: DataFrame, text: str = "text", keep: list[str] | No
     words = F.filter(F.transform(matches(F.col("text"), TERM), span), lambda s: s["kind"].isNotNull() & ~F.exists(
         "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     added = texts.join(hit, "digest").select(F.col("digest"), words.alias("added"))
-    rows = found.drop("text", "names").join(added, "digest", "left")
+    columns = ["doc", *[f"n_{k}" for k in PATTERNS], "base"]
+    rows = found.where("digest is not null").select(*columns, "digest").join(added, "digest", "left")
     both = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(rows.schema["base"].dataType))))
-    return rows.select("doc", *[f"n_{k}" for k in PATTERNS], "base", both.alias("spans"))
+    # most documents have no entity, and take no part in the join
+    others = found.where("digest is null").select(*columns, F.col("base").alias("spans"))
+    return rows.select(*columns, both.alias("spans")).unionByName(others)
