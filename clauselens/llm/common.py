@@ -32,21 +32,20 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; an own one only in local mode, where all tasks share the machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="clauselens-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage: the rows are written to the shared checkpoint folder and read from there."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clauselens.llm.common import BYTE_CODES, FACTOR, in_chunks, mix64, stored, text_bytes, word_hashes, word_spans
+from clauselens.llm.common import BYTE_CODES, FACTOR, in_chunks, mix64, preselected, stored, text_bytes, word_hashes, word_spans
 from clauselens.llm.decontaminate import FOLD
 
 SHINGLE = 5
@@ -229,7 +229,8 @@ def near_duplicates(
     # one row for each id, then one representative for each shingle set
     once = prints.groupBy("id").agg(F.min_by(F.struct("same", "n", "bands"), "same").alias("p")).select("id", "p.*")
     wordy = once.where("n > 0")
-    sets = wordy.groupBy("same").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    # stored, so that the join back is between two exchanges, which AQE can split where many texts are the same
+    sets = stored(wordy.groupBy("same").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
     member = wordy.select("id", "same").join(sets, "same").select("id", "rep", "copies")
     reps = stored(wordy.join(sets.select(F.col("rep").alias("id"), "copies"), "id").select("id", "n", "bands", "copies"))
     banded = reps.select("id", F.posexplode("bands").alias("band", "code")).select(
@@ -246,7 +247,8 @@ def near_duplicates(
         "id", "copies", "component", F.least("tile", "other").alias("t0"), F.greatest("tile", "other").alias("t1"),
         (F.col("tile") > F.col("other")).cast("int").alias("side"))
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    met = stored(spread.join(texts, "id").groupBy("component", "t0", "t1").applyInArrow(
+    candidates = preselected(texts, F.col("id"), blocks.select("id"))
+    met = stored(spread.join(candidates, "id").groupBy("component", "t0", "t1").applyInArrow(
         _tile(threshold), "id long, links long, other long"))
     links = met.where("other is null").groupBy("id").agg(F.sum("links").alias("links"))
     classes = components(met.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
