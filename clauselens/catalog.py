@@ -64,9 +64,7 @@ def total_value(contracts: DataFrame) -> DataFrame:
 
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     answered = _answered(spark, sf_dir)
-    both = X.to_long(answered, V.TEXT_FIRST_FIELDS).unionByName(
-        S.answers_long(answered).withColumn("pos", F.lit(2_000_000_000)))
-    return R.resolve(both).select(ID, "field", "value", "confidence", "source", "warning")
+    return R.resolve(S.candidates_long(answered)).select(ID, "field", "value", "confidence", "source", "warning")
 
 
 def snippets(documents: DataFrame) -> DataFrame:
@@ -74,9 +72,17 @@ def snippets(documents: DataFrame) -> DataFrame:
     return R.with_snippets(P.with_lines(documents), requested).select(ID, "snippets")
 
 
+def snippet_parts(documents: DataFrame) -> DataFrame:
+    """Snippets in small parts, joined again, and whether every part of several lines fits."""
+    requested = F.array(*[F.lit(f) for f in SNIPPET_FIELDS])
+    parts = R.with_snippets(P.with_lines(documents), requested).select(ID, R.in_parts(F.col("snippets"), 500).alias("parts"))
+    fits = F.forall("parts", lambda p: (F.length(p) <= 500) | ~F.contains(p, F.lit("\n")))
+    return parts.select(ID, F.array_join("parts", "\n").alias("snippets"), fits.alias("fits"))
+
+
 def requests(contracts: DataFrame) -> DataFrame:
     return R.extraction_requests(contracts).select(
-        ID, F.array_join("requested", ",").alias("requested"), "snippets", "prompt")
+        ID, "part", "parts", F.array_join("requested", ",").alias("requested"), "snippets", "prompt")
 
 
 def missing_fields(contracts: DataFrame) -> DataFrame:
@@ -101,7 +107,7 @@ def final_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recovered_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = S.message_text(F.col("response"))
-    found = D.extraction_answers(spark, sf_dir).select(ID, S.recover_object(text).alias("v"))
+    found = E.settled_responses(D.extraction_answers(spark, sf_dir)).select(ID, S.recover_object(text).alias("v"))
     return found.select(
         ID, F.col("v").isNotNull().alias("recovered"),
         F.try_variant_get("v", "$.internal_entity", "string").alias("internal_entity"),
@@ -111,7 +117,7 @@ def recovered_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _call(call: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         fields = S.CALLS[call][0]
-        checked = S.validate_call(D.classification_responses(spark, sf_dir), call)
+        checked = S.validate_call(D.classification_responses(spark, sf_dir).where("attempt = 2"), call)
         flat = [F.array_join(f, "; ").alias(f) if t == S.STRINGS else F.col(f) for f, t in fields.items()]
         return checked.select(ID, "model", *flat, "error")
 
@@ -127,10 +133,9 @@ def merged_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = K.assemble(D.claims(spark, sf_dir))
-    grades = F.concat_ws(",", *[F.element_at("confidence", n) for n in ("cap",)])
+    grades = [F.try_element_at("confidence", F.lit(n)).alias(f"{n}_grade") for n in K.CONFIDENCE_KEYS.values()]
     return vectors.select(
-        ID, "cap_present", *K.VECTOR_FIELDS, "cap_carveout_count", "governing_law_category", "liability_cap_absent",
-        grades.alias("cap_grade"), F.try_element_at("confidence", F.lit("warranty")).alias("warranty_grade"),
+        ID, "cap_present", *K.VECTOR_FIELDS, "cap_carveout_count", "governing_law_category", "liability_cap_absent", *grades,
         F.try_element_at("source_clauses", F.lit("cap")).alias("cap_source"))
 
 
@@ -166,6 +171,16 @@ def custom_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.with_score(K.with_vector(D.records(spark, sf_dir)), CUSTOM_WEIGHTS).select(ID, "score")
 
 
+def party_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores under the weights of each party: a table of weights joined by the party's nation."""
+    nation = F.col("n_nationkey")
+    weights = D.table(spark, sf_dir, "nation").select(nation.alias("c_nationkey"), F.when(nation % 3 != 0, F.create_map(
+        F.lit("termination_risk"), 0.1 + nation / 100, F.lit("payment_risk"), 0.2 - nation / 200)).alias("weights"))
+    party = D.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias(ID), "c_nationkey")
+    scored = K.with_vector(D.records(spark, sf_dir)).join(party.join(weights, "c_nationkey", "left"), ID, "left")
+    return K.with_score(scored, K.weight_columns(F.col("weights"))).select(ID, "score")
+
+
 def triage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = K.with_flags(K.with_score(K.with_vector(D.records(spark, sf_dir))))
     return flagged.select(ID, F.size("flags").alias("n_flags"), F.array_join("flags", "\n").alias("flags"))
@@ -264,6 +279,7 @@ QUERIES: dict[str, Query] = {
     "resolve": resolved,
     "missing_fields": _contracts(missing_fields),
     "snippets": _documents(snippets),
+    "snippet_parts": _documents(snippet_parts),
     "extraction_requests": _contracts(requests),
     "classification_requests": _documents(classification_requests),
     "json_recover": recovered_json,
@@ -283,6 +299,7 @@ QUERIES: dict[str, Query] = {
     "numeric_vector": numeric_vector,
     "composite_score": composite_score,
     "custom_weights": custom_weights,
+    "party_weights": party_weights,
     "triage_flags": triage_flags,
     "explain": explain,
     "mean_contributions": mean_contributions,

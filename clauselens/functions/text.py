@@ -6,6 +6,7 @@ projection that uses them stays in the JVM and needs no shuffle.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Callable
@@ -116,28 +117,28 @@ def squeeze(c: Column) -> Column:
     return let(c, squeeze_ref)
 
 
-def cut(c: Column, limit: int) -> Column:
-    """Shorten squeezed text to ``limit`` characters, ending in three dots."""
+def cut(c: Column, limit: int | None) -> Column:
+    """Shorten squeezed text to ``limit`` characters, ending in three dots; None keeps it whole."""
+    if limit is None:
+        return c
     short = F.concat(F.rtrim(F.substring(c, 1, limit - 3)), F.lit("..."))
     return F.when(F.length(c) <= limit, c).otherwise(short)
 
 
-def quote(c: Column, limit: int = V.QUOTE_CHARS) -> Column:
-    """Evidence quote of a text fragment."""
+def quote(c: Column, limit: int | None = None) -> Column:
+    """Evidence quote of a text fragment, whole unless a limit is given."""
     return let(squeeze(c), lambda x: cut(x, limit))
 
 
 @lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, dict[str, str]]:
-    """Compatibility decomposition without combining marks, as a translate table.
+def _fold_tables() -> tuple[str, str, dict[str, str], str]:
+    """Compatibility decomposition without combining marks, as (from, to, longer forms, their class).
 
-    Built from the Unicode database for alphabetic scripts, combining marks,
-    punctuation, letterlike signs, number forms, Latin ligatures and full-width
-    forms: everything that can fold into the letters the rules look for.
-    Ideographs and Hangul syllables stay as they are.
+    Built from the Unicode database for every code point that it changes, but for Hangul syllables, which
+    would fold into their letters; no rule looks for these.
     """
     source, target, dropped, longer = [], [], [], {}
-    for cp in (*range(0x80, 0x2200), *range(0xFB00, 0xFB07), *range(0xFF00, 0xFFF0)):
+    for cp in (*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x30000), *range(0xE0100, 0xE01F0)):
         ch = chr(cp)
         folded = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
         if folded == ch:
@@ -147,9 +148,16 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
         elif len(folded) == 1:
             source.append(ch)
             target.append(folded)
-        elif cp < 0x250 or cp >= 0x2000:
+        else:
             longer[ch] = folded
-    return "".join(source + dropped), "".join(target), longer
+    ranges: list[list[int]] = []
+    for cp in map(ord, longer):
+        if ranges and cp <= ranges[-1][1] + 16:  # a superset, tested first
+            ranges[-1][1] = cp
+        else:
+            ranges.append([cp, cp])
+    wanted = "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges) + "]"
+    return "".join(source + dropped), "".join(target), longer, wanted
 
 
 def fold_latin(c: Column) -> Column:
@@ -160,10 +168,6 @@ def fold_latin(c: Column) -> Column:
     return F.lower(F.translate(c, "".join(changed), "".join(plain[ch] for ch in changed)))
 
 
-# blocks of the characters that fold into more than one (a superset, tested first)
-_LONGER_BLOCKS = r"[\u00bc-\u00be\u0132-\u01f3\u2010-\u218f\ufb00-\ufb06]"
-
-
 def fold(c: Column) -> Column:
     """Lower case without accents."""
     return let(c, fold_ref)
@@ -171,11 +175,11 @@ def fold(c: Column) -> Column:
 
 def fold_ref(c: Column) -> Column:
     """:func:`fold` for a plain column or lambda variable; ASCII takes the short way."""
-    source, target, longer = _fold_tables()
-    forms = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
+    source, target, longer, wanted = _fold_tables()
+    forms = F.from_json(F.lit(json.dumps(longer, ensure_ascii=False)), "map<string,string>")
     expanded = F.array_join(F.transform(
         F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(forms, ch), ch)), "")
-    has_longer = c.rlike(_LONGER_BLOCKS)
+    has_longer = c.rlike(wanted)
     folded = F.when(has_longer, F.translate(expanded, source, target)).otherwise(F.translate(c, source, target))
     return F.lower(F.when(is_ascii(c), c).otherwise(folded))
 
@@ -195,12 +199,15 @@ def _clause_break(ws: str) -> str:
     return rf"(?={ws})(?:\n{{1,2}}|(?<=[.;]){ws}+)"
 
 
-def split_clauses(c: Column) -> Column:
-    """Clauses of a document: cut at line ends and after ``.`` or ``;``, blanks dropped."""
+def split_clauses(c: Column, clause_chars: int | None = None) -> Column:
+    """Clauses of a document: cut at line ends and after ``.`` or ``;``, blanks dropped.
+
+    Clauses are whole; ``clause_chars`` shortens the longer ones.
+    """
     pieces = F.when(is_ascii(c), F.split(c, _clause_break(ASCII_WS))).otherwise(
         F.split(c, "(?U)" + _clause_break(WS)))
     squeezed = F.filter(F.transform(pieces, squeeze_ref), lambda x: x != "")
-    return F.transform(squeezed, lambda x: cut(x, V.CLAUSE_CHARS))
+    return squeezed if clause_chars is None else F.transform(squeezed, lambda x: cut(x, clause_chars))
 
 
 def split_lines(c: Column) -> Column:
@@ -212,10 +219,10 @@ def split_lines(c: Column) -> Column:
     return let(parts, drop_last_empty)
 
 
-def split_paragraphs(c: Column) -> Column:
-    """Paragraphs of a document, trimmed, at least 30 characters long."""
+def split_paragraphs(c: Column, min_chars: int = V.PARAGRAPH_MIN_CHARS) -> Column:
+    """Paragraphs of a document, trimmed, at least ``min_chars`` characters long."""
     return F.filter(
-        F.transform(F.split(c, "\n\n"), strip), lambda p: F.length(p) >= V.PARAGRAPH_MIN_CHARS
+        F.transform(F.split(c, "\n\n"), strip), lambda p: F.length(p) >= min_chars
     )
 
 

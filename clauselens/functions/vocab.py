@@ -140,13 +140,9 @@ LOCK_THRESHOLDS = {
 
 # --- fixed values: sizes -----------------------------------------------------
 
-CLAUSE_CHARS = 400
-QUOTE_CHARS = 240
 HEADER_LINES = 40
-PARTY_WINDOW_CHARS = 4000
-SNIPPET_CHARS = 12000
+REQUEST_CHARS = 12000
 SNIPPET_EDGE_LINES = 60
-SNIPPET_MARKER = "\n\n...\n\n"
 PARAGRAPH_MIN_CHARS = 30
 MODEL_CONFIDENCE = 0.6
 
@@ -243,6 +239,12 @@ SIGNATORY_PATTERNS = [
     r"^\s*(?:customer|client|vendor|supplier|provider|contractor|consultant|prestataire|fournisseur)\s*[:\-].*?"
     r"(?:\n.{0,120}){0,4}?\b(?:by|name|nom)\s*[:\-]\s*([A-Z][^\n,:;]{2,80})",
 ]
+# a line that may start a block of each shape, and the lines after it that belong to the block
+SIGNATORY_CUES = [
+    r"(?i)behalf of|pour le compte de",
+    r"(?iU)^\s*(?:customer|client|vendor|supplier|provider|contractor|consultant|prestataire|fournisseur)\s*(?:[:\-]|$)",
+]
+SIGNATORY_LINES = 5
 SIGNATORY_CONFIDENCE = 0.95
 
 # --- fixed values: clause rules (matched on folded clauses) ------------------

@@ -76,10 +76,13 @@ def type_keyword(folded_header: Column) -> Column:
     ])
 
 
-def contract_type(hit: Column, lines: Column, header: Column) -> Column:
-    """Candidate of a keyword found by :func:`type_keyword`, quoting its first line."""
+def contract_type(hit: Column, lines: Column, header: Column, header_lines: int = V.HEADER_LINES) -> Column:
+    """Candidate of a keyword found by :func:`type_keyword`, quoting its first line.
+
+    Only the header, the first ``header_lines`` lines, says what a contract is.
+    """
     pattern = F.concat(F.lit(r"(?U)(?<!\w)\Q"), hit["keyword"], F.lit(r"\E(?!\w)"))
-    top = F.slice(lines, 1, V.HEADER_LINES)
+    top = F.slice(lines, 1, header_lines)
     same_line = first(F.filter(top, lambda x: let(
         fold_ref(x), lambda f: f.contains(hit["keyword"]) & F.regexp_like(f, pattern))))
     return candidate(hit["kind"], quote(F.coalesce(same_line, header)), V.TYPE_CONFIDENCE, 0)
@@ -109,7 +112,7 @@ def _party(raw: Column) -> Column:
 
 
 def counterparty_name(text: Column, plain: Column, pos: int = 1) -> Column:
-    """Role-labelled party, else the second party of a two-party definition."""
+    """Role-labelled party, else the second party of the first two-party definition in the whole text."""
     def role(is_plain: bool) -> str:
         labels = any_of(V.ROLE_LABELS)
         return flags("imd", is_plain) + rf"^\s*(?:{labels})\s*[:\-]\s*([^\n,;()]+(?:\([^)\n]+\))?)"
@@ -121,7 +124,6 @@ def counterparty_name(text: Column, plain: Column, pos: int = 1) -> Column:
         first(F.filter(named, lambda x: F.length(x["name"]) >= 3)),
         lambda x: candidate(x["name"], quote(x["quote"]), V.ROLE_CONFIDENCE, pos, note=V.ROLE_NOTE),
     )
-    window = F.substring(text, 1, V.PARTY_WINDOW_CHARS)
     paired = [labelled]
     for initial, body in zip("be", V.PAIR_PATTERNS):
         def pattern(is_plain: bool) -> str:
@@ -131,27 +133,41 @@ def counterparty_name(text: Column, plain: Column, pos: int = 1) -> Column:
             name = let(_party(F.regexp_extract(m, pattern(False), 2)), lambda n: F.when(F.length(n) >= 3, n))
             return let(name, lambda n: candidate(n, quote(m), V.PAIR_CONFIDENCE, pos, note=V.PAIR_NOTE))
 
-        paired.append(let(by_script(plain, lambda p: F.regexp_extract(window, pattern(p), 0)), second_party))
+        paired.append(let(by_script(plain, lambda p: F.regexp_extract(text, pattern(p), 0)), second_party))
     return F.coalesce(*paired)
 
 
 def counterparty_signatory(text: Column, plain: Column, pos: int = 2) -> Column:
-    """Name in the first signature block of either shape, two words at least."""
-    def name_label(is_plain: bool) -> str:
-        return flags("", is_plain) + starting_with("bn", is_plain) + r"(?i)\b(?:by|name|nom)\s*[:\-]"
+    """Name in the first signature block of either shape, two words at least.
+
+    A block is a line with the role and the ``SIGNATORY_LINES`` lines after it, for both shapes.  So
+    the work grows with the lines of the text, whatever they hold.
+    """
+    def block_names(cue: str, letters: str, body: str) -> Column:
+        def blocks(lines: Column) -> Column:
+            starts = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike(cue))
+            return F.transform(starts, lambda i: F.array_join(
+                F.slice(lines, i + 1, F.lit(V.SIGNATORY_LINES + 1)), "\n"))
 
-    blocks = []
-    for letters, initials, body in zip(("s", "ismd"), ("fop", ""), V.SIGNATORY_PATTERNS):
         def pattern(is_plain: bool) -> str:
-            return flags(letters, is_plain) + (starting_with(initials, is_plain) if initials else "") + "(?i)" + body
+            return flags(letters, is_plain) + "(?i)" + body
+
+        found = F.transform(let(F.split(text, "\n"), blocks), lambda b: by_script(
+            plain, lambda p: F.regexp_extract(b, pattern(p), 0)))
 
         def person(m: Column) -> Column:
             name = let(_party(F.regexp_extract(m, pattern(False), 1)),
                        lambda n: F.when(F.size(F.split(n, " ")) >= 2, n))
             return let(name, lambda n: candidate(n, quote(m), V.SIGNATORY_CONFIDENCE, pos))
 
-        blocks.append(let(by_script(plain, lambda p: F.regexp_extract(text, pattern(p), 0)), person))
-    return F.when(by_script(plain, lambda p: text.rlike(name_label(p))), F.coalesce(*blocks))
+        return let(first(F.filter(found, lambda m: m != "")), person)
+
+    def name_label(is_plain: bool) -> str:
+        return flags("", is_plain) + starting_with("bn", is_plain) + r"(?i)\b(?:by|name|nom)\s*[:\-]"
+
+    shapes = [block_names(cue, letters, body)
+              for cue, letters, body in zip(V.SIGNATORY_CUES, ("s", "ismd"), V.SIGNATORY_PATTERNS)]
+    return F.when(by_script(plain, lambda p: text.rlike(name_label(p))), F.coalesce(*shapes))
 
 
 def currency(text: Column, plain: Column, pos: int = _LATE + 1) -> Column:

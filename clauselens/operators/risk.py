@@ -206,10 +206,13 @@ def similarity_vector(vectors: DataFrame, contract_value: Column | None = None)
 # --- clause signals on records -----------------------------------------------
 
 def best_claims(claims: DataFrame) -> DataFrame:
-    """Per contract, the most confident claim of each signal family, the earlier on ties."""
+    """Per contract, the most confident claim of each signal family, the earlier on ties.
+
+    A claim without a confidence comes after all others.
+    """
     wanted = list(dict.fromkeys(family for family, _, _ in SIGNALS.values()))
     fields = SIGNALS | {"_raw_notice": ("auto_renewal", "nonrenewal_notice_value", "double")}
-    order = F.struct((-F.col("family_confidence")).alias("rank"), F.col("seq"))
+    order = F.struct(F.coalesce(-F.col("family_confidence"), F.lit(float("inf"))).alias("rank"), F.col("seq"))
     return claims.filter(F.col("clause_family").isin(*wanted)).groupBy(ID).agg(
         *_chosen(claims, fields, F.min_by, order, F.col("family_confidence")))
 

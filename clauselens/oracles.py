@@ -7,7 +7,7 @@ composed of, so no extraction rule is repeated here.
 from __future__ import annotations
 
 from clauselens.functions import vocab as V
-from clauselens.operators.risk import SIGNALS, VECTOR_FIELDS
+from clauselens.operators.risk import CONFIDENCE_KEYS, SIGNALS, VECTOR_FIELDS
 
 NL = "chr(10)"
 MONTHS_FR = (
@@ -37,10 +37,6 @@ def stripped(x: str) -> str:
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
-def cut(x: str, n: int) -> str:
-    return f"CASE WHEN length({x}) <= {n} THEN {x} ELSE rtrim(substr({x}, 1, {n - 3})) || '...' END"
-
-
 def folded(x: str) -> str:
     return f"lower(strip_accents({x}))"
 
@@ -64,7 +60,7 @@ CLAUSES = f"""pieces AS (
     lambda x: {squeezed('x')}), lambda x: x <> '') AS clauses
   FROM documents), clauses AS (
   SELECT contract_id, generate_subscripts(clauses, 1) - 1 AS clause_idx, unnest(clauses) AS raw FROM pieces),
-  cut AS (SELECT contract_id, clause_idx, {cut('raw', 400)} AS clause FROM clauses)"""
+  whole AS (SELECT contract_id, clause_idx, raw AS clause FROM clauses)"""
 
 
 def occurrences(column: str, cues: list[str]) -> str:
@@ -93,10 +89,7 @@ SNIPPETS = f"""WITH {NUMBERED}, folded AS (
   joined AS (
   SELECT contract_id, string_agg(block, {NL} || {NL} ORDER BY island) AS s FROM blocks WHERE block IS NOT NULL GROUP BY contract_id)
 SELECT d.doc_id AS contract_id, CASE
-  WHEN NOT EXISTS (SELECT 1 FROM islands i WHERE i.contract_id = d.doc_id) THEN substr(d.text, 1, 12000)
-  WHEN length(s) <= 12000 THEN s
-  ELSE {stripped("substr(s, 1, 5996)").replace("^\\s+|", "")} || {NL} || {NL} || '...' || {NL} || {NL}
-    || regexp_replace(substr(s, length(s) - 5996), '^\\s+', '') END AS snippets
+  WHEN NOT EXISTS (SELECT 1 FROM islands i WHERE i.contract_id = d.doc_id) THEN d.text ELSE s END AS snippets
 FROM documents d LEFT JOIN joined j ON j.contract_id = d.doc_id"""
 
 # --- contracts derived from orders -------------------------------------------
@@ -240,7 +233,7 @@ def prompt() -> str:
 REQUESTS = f"""WITH {FACTS}, texts AS (SELECT *, string_split({TEXT}, {NL}) AS lines FROM f), s AS (
   SELECT *, array_to_string(list_filter(list_transform(lines, lambda x, i: CASE WHEN x <> '' THEN i || ': ' || x END),
     lambda x: x IS NOT NULL), {NL}) AS snippets FROM texts)
-SELECT k AS contract_id, {joined_missing(',')} AS requested, snippets, {prompt()} AS prompt FROM s"""
+SELECT k AS contract_id, 1 AS part, 1 AS parts, {joined_missing(',')} AS requested, snippets, {prompt()} AS prompt FROM s"""
 
 # answers: usable unless truncated, with an unknown key, or absent
 GOOD = "k % 10 NOT IN (3, 4, 5)"
@@ -426,7 +419,7 @@ VECTORS = f"""{CLAIMS}, last AS (
     {', '.join(
         (f"coalesce({last(f, 'p_' + k)}, FALSE)" if t == 'boolean' else f"CAST({last(f, 'p_' + k)} AS {VECTOR_TYPES[t]})") + f' AS {n}'
         for n, (f, k, t) in VECTOR_FIELDS.items())},
-    {last('liability_cap', 'conf')} AS cap_conf, {last('warranty', 'conf')} AS warranty_conf
+    {', '.join(f"{last(f, 'conf')} AS {n}_conf" for f, n in CONFIDENCE_KEYS.items())}
   FROM claims GROUP BY contract_id), vectors AS (
   SELECT *, CAST(cap_carveout_fraud AS INTEGER) + CAST(cap_carveout_gross_negligence AS INTEGER)
     + CAST(cap_carveout_wilful_misconduct AS INTEGER) AS cap_carveout_count, {_CATEGORY} AS governing_law_category FROM last)"""
@@ -437,8 +430,9 @@ def grade(column: str) -> str:
 
 
 ASSEMBLE = f"""WITH {VECTORS} SELECT contract_id, cap_present, {', '.join(VECTOR_FIELDS)}, cap_carveout_count, governing_law_category,
-  NOT cap_present AS liability_cap_absent, coalesce({grade('cap_conf')}, 'ABSENT') AS cap_grade,
-  {grade('warranty_conf')} AS warranty_grade, CASE WHEN cap_present THEN 'liability_cap' END AS cap_source FROM vectors"""
+  NOT cap_present AS liability_cap_absent, {', '.join(
+    (f"coalesce({grade(f'{n}_conf')}, 'ABSENT')" if n == 'cap' else grade(f'{n}_conf')) + f' AS {n}_grade' for n in CONFIDENCE_KEYS.values())},
+  CASE WHEN cap_present THEN 'liability_cap' END AS cap_source FROM vectors"""
 
 
 def flag01(c: str) -> str:
@@ -559,6 +553,12 @@ def scores(weights: dict[str, float], records: str = RECORDS) -> str:
     return f"{records}, {WIDE}, sc AS (SELECT *, {exactly("least(greatest(" + total + ", 0.0), 1.0)", 4)} AS score FROM vec)"
 
 
+# weights that depend on the nation of the party, which keeps the default for every third
+PARTY_RECORDS = RECORDS.replace(
+    "SELECT c_custkey AS c,", "SELECT c_custkey AS c, c_nationkey AS nation,", 1)
+PARTY_WEIGHTS = {**V.DEFAULT_WEIGHTS, **{
+    name: f"(CASE WHEN nation % 3 <> 0 THEN {sql} ELSE {V.DEFAULT_WEIGHTS[name]} END)" for name, sql in (
+        ("termination_risk", "0.1::DOUBLE + nation / 100.0::DOUBLE"), ("payment_risk", "0.2::DOUBLE - nation / 200.0::DOUBLE"))}}
 EXPLAINED = term_columns(V.DEFAULT_WEIGHTS)
 EXPLAIN = f"""{RECORDS}, {WIDE}, parts AS (
   SELECT c, {', '.join(f'{exactly(v, 6)} AS "{t}"' for t, v in EXPLAINED.items())} FROM vec), terms AS (
@@ -588,7 +588,7 @@ FLAG_ROWS = f"SELECT c, score, list_filter([{', '.join(FLAGS)}], lambda x: x IS
 
 ORACLES: dict[str, str] = {
     "clean_text": f"SELECT doc_id AS contract_id, {CLEAN} AS text FROM documents",
-    "clauses": f"WITH {CLAUSES} SELECT contract_id, clause_idx, clause, {folded('clause')} AS folded FROM cut",
+    "clauses": f"WITH {CLAUSES} SELECT contract_id, clause_idx, clause, {folded('clause')} AS folded FROM whole",
     "lines": f"WITH {NUMBERED} SELECT contract_id, line_idx, line, {folded('line')} AS folded FROM numbered",
     "header": f"""WITH {LINES}, h AS (SELECT contract_id, array_to_string(lines[1:40], {NL}) AS header FROM lines)
       SELECT contract_id, header, {folded('header')} AS folded_header FROM h""",
@@ -596,7 +596,7 @@ ORACLES: dict[str, str] = {
       SELECT k, list_filter(list_transform(string_split({TEXT}, {NL} || {NL}), lambda x: {stripped('x')}), lambda x: length(x) >= 30) AS ps FROM f)
       SELECT k AS contract_id, generate_subscripts(ps, 1) - 1 AS para_idx, unnest(ps) AS paragraph FROM p""",
     "fold": f"SELECT doc_id AS contract_id, {folded('text')} AS folded FROM documents",
-    "quotes": f"SELECT doc_id AS contract_id, {cut('q', 240)} AS quote FROM (SELECT doc_id, {squeezed('text')} AS q FROM documents)",
+    "quotes": f"SELECT doc_id AS contract_id, {squeezed('text')} AS quote FROM documents",
     "language": f"""WITH t AS (SELECT doc_id, {folded('text')} AS t FROM documents), n AS (
       SELECT doc_id, {occurrences('t', V.FRENCH_CUES)} AS fr, {occurrences('t', V.ENGLISH_CUES)} AS en FROM t)
       SELECT doc_id AS contract_id, fr AS french_cues, en AS english_cues, {case(
@@ -610,10 +610,10 @@ ORACLES: dict[str, str] = {
       CASE WHEN len(codes) = 1 THEN 0.75::DOUBLE END AS confidence FROM t""",
     "document_email": f"""WITH {CLAUSES}, e AS (
       SELECT contract_id, clause_idx, clause, list_distinct(regexp_extract_all(clause, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{{2,}}\\b')) AS mails,
-        {folded('clause')} AS t FROM cut), hits AS (
+        {folded('clause')} AS t FROM whole), hits AS (
       SELECT contract_id, arg_min(mails[1], clause_idx) AS value, arg_min(clause, clause_idx) AS clause FROM e
       WHERE len(mails) = 1 AND {contains_any('t', V.EXTERNAL_CONTACT_CUES)} AND NOT {contains_any('t', V.INTERNAL_CONTACT_CUES)}
-      GROUP BY contract_id) SELECT doc_id AS contract_id, value, {cut('clause', 240)} AS quote, NULL::VARCHAR AS note,
+      GROUP BY contract_id) SELECT doc_id AS contract_id, value, clause AS quote, NULL::VARCHAR AS note,
       CASE WHEN value IS NOT NULL THEN 0.96::DOUBLE END AS confidence FROM documents LEFT JOIN hits ON contract_id = doc_id""",
     "normalise": f"WITH {RAW} SELECT * FROM raw",
     "reject_report": f"""WITH {RAW} SELECT field, count(*) AS rows, count(*) FILTER (WHERE value IS NULL) AS rejected
@@ -634,6 +634,7 @@ ORACLES: dict[str, str] = {
     "resolve": resolve_rows(),
     "missing_fields": f"WITH {FACTS} SELECT k AS contract_id, {joined_missing(',')} AS missing, {locked_json()} AS locked_json FROM f",
     "snippets": SNIPPETS,
+    "snippet_parts": f"SELECT contract_id, snippets, TRUE AS fits FROM ({SNIPPETS})",
     "extraction_requests": REQUESTS,
     "classification_requests": f"""SELECT doc_id AS contract_id, {text(V.CLASSIFY_REQUEST_HEAD)} || {CLEAN}
       || {text(V.CLASSIFY_REQUEST_TAIL)} AS prompt FROM documents""",
@@ -665,6 +666,7 @@ ORACLES: dict[str, str] = {
     "composite_score": f"WITH {scores(V.DEFAULT_WEIGHTS)} SELECT c AS contract_id, score FROM sc",
     "custom_weights": f"""WITH {scores({**V.DEFAULT_WEIGHTS, 'termination_risk': 0.3, 'data_sensitivity': 0.25})}
       SELECT c AS contract_id, score FROM sc""",
+    "party_weights": f"""WITH {scores(PARTY_WEIGHTS, PARTY_RECORDS)} SELECT c AS contract_id, score FROM sc""",
     "triage_flags": f"""WITH {scores(V.DEFAULT_WEIGHTS)}, fl AS ({FLAG_ROWS})
       SELECT c AS contract_id, CAST(len(flags) AS INTEGER) AS n_flags, array_to_string(flags, {NL}) AS flags FROM fl""",
     "explain": f"WITH {EXPLAIN} SELECT * FROM terms",

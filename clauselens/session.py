@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -23,7 +21,10 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that can change at run time to an existing session."""
+    """Apply the settings that can change at run time to an existing session, for good.
+
+    Answers are parsed by these settings: in a session without them a repeated key rejects an answer.
+    """
     for key, value in SETTINGS.items():
         if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
@@ -38,6 +39,9 @@ def local_session(cpus: int | str = "*", name: str = "clauselens") -> SparkSessi
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
+        # small files are split over all cores; a large table has more splits anyway
+        .config("spark.sql.files.minPartitionNum", "8")
+        .config("spark.sql.files.openCostInBytes", "65536")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in SETTINGS.items():
@@ -48,10 +52,9 @@ def local_session(cpus: int | str = "*", name: str = "clauselens") -> SparkSessi
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch one only if unset."""
+    """The shared folder named in spark.checkpoint.dir; without one a stream could not survive its driver."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="clauselens-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -9,16 +9,6 @@ from pyspark.sql.types import StructType
 FILE_GLOB = "*.{md,txt}"
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Use all cores for expensive row-local work on few input splits.
-
-    A large table has more splits than cores and comes back unchanged; only a table
-    of a few small files is redistributed.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
-
-
 def with_contract_id(files: DataFrame) -> DataFrame:
     """(contract_id, text): file name without its suffix, dashes as underscores."""
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauselens.sources.contracts import fan_out, spread
+from clauselens.sources.contracts import fan_out
 
 FRENCH_MONTHS = [
     "janvier", "février", "mars", "avril", "mai", "juin",
@@ -35,7 +35,7 @@ def _pick(index: Column, values: list[str]) -> Column:
 def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    joined = spread(orders, "o_orderkey").join(customer, orders.o_custkey == customer.c_custkey, "left")
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     return joined.select(
         F.col("o_orderkey").alias("k"), "c_name", "o_totalprice", F.to_date("o_orderdate").alias("day"))
 
@@ -91,12 +91,14 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(contract_id, text) of the raw document table."""
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("contract_id"), "text")
-    return spread(rows, "contract_id")
+    return rows
 
 
 def extraction_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(contract_id, response): one chat envelope per contract, about a tenth missing.
+    """(contract_id, attempt, response): chat envelopes per contract, about a tenth without any.
 
+    The envelope that counts is attempt 2.  By k % 4: 1 has an earlier good answer with another entity, 2 a
+    later one that was cut off, 3 the same one twice.
     By k % 10: 1 fenced, 2 with prose before it, 3 truncated, 4 with an unknown key,
     5 no answer, 6 content as a list of parts, otherwise plain.
     """
@@ -138,7 +140,18 @@ def extraction_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         k % 10 == 6, F.to_json(F.array(F.struct(F.lit("text").alias("type"), text.alias("text"))))
     ).otherwise(_json_string(text))
     envelope = F.concat(F.lit('{"choices": [{"message": {"content": '), content, F.lit("}}]}"))
-    return _order_facts(spark, sf_dir).filter(k % 10 != 5).select(k.alias("contract_id"), envelope.alias("response"))
+    def attempt(number: int, response: Column) -> Column:
+        return F.struct(F.lit(number).alias("attempt"), response.alias("response"))
+
+    usable = ~(k % 10).isin(3, 4)
+    attempts = F.array_compact(F.array(
+        attempt(2, envelope),
+        F.when((k % 4 == 1) & usable, attempt(1, F.replace(envelope, F.lit("Alpha Holdings"), F.lit("Old Holdings")))),
+        F.when((k % 4 == 2) & usable, attempt(3, F.substring(envelope, 1, 50))),
+        F.when(k % 4 == 3, attempt(2, envelope)),
+    ))
+    rows = _order_facts(spark, sf_dir).filter(k % 10 != 5).select(k.alias("contract_id"), F.explode(attempts).alias("x"))
+    return rows.select("contract_id", "x.attempt", "x.response")
 
 
 def line_json(template: str, *values: Column) -> Column:
@@ -256,7 +269,7 @@ def classification_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     call is missing for c % 10 = 8.
     """
     c = F.col("c_custkey")
-    base = fan_out(spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey"), MODELS)
+    base = fan_out(table(spark, sf_dir, "customer").select("c_custkey"), MODELS)
     second = F.col("model") == MODELS[1]
     kind = F.to_json(F.struct(
         F.when(second & (c % 6 == 0), " SUPPLY_AND_TRADE ").otherwise(_pick(c % 3, ["SERVICES", "SUPPLY_AND_TRADE", "FINANCE_AND_TREASURY"]))
@@ -294,7 +307,12 @@ def classification_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(c % 10 == 7, F.lit(None))
         .otherwise(F.col("body"))
     )
-    return rows.select(c.alias("contract_id"), "model", "call", content.alias("content"), "elapsed_s")
+    # every call of each fourth customer was tried again: an older answer, and a later one that broke off
+    tries = rows.select(c.alias("contract_id"), "model", "call", content.alias("content"), "elapsed_s", F.lit(2).alias("attempt"))
+    good = ~(c % 10).isin(3, 4, 5, 6, 7)
+    return tries.unionByName(rows.where((c % 4 == 0) & good).select(
+        c.alias("contract_id"), "model", "call", F.lit(None).cast("string").alias("content"),
+        F.lit(9.0).alias("elapsed_s"), F.lit(3).alias("attempt")))
 
 
 def raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,8 +76,23 @@ def test_currency(one):
     assert one("currency", "EUR 5 and € 6", "EUR and USD", "eur", "US$ 5", "$5") == ["EUR", None, None, "USD", None]
 
 
-def test_400_characters_hide_the_rest(one):
-    assert one("payment_terms_days", "fee " + "x " * 300 + "net 30") is None
+def test_long_clauses_and_late_parties_are_read_whole(one):
+    assert one("payment_terms_days", "fee " + "x " * 300 + "net 30") == "30"
+    pair = "between Alphamax Limited and Betamax Corporation (the parties)"
+    for lead in (0, 3_960, 4_100, 50_000):
+        assert one("counterparty_name", "x " * (lead // 2) + pair) == "Betamax Corporation"
+
+
+def test_signatory_work_grows_with_the_lines(spark, one):
+    import time
+
+    began = time.time()
+    assert one("counterparty_signatory", "Customer: x" + "\n" * 10_000 + "name: Jane Doe") is None
+    assert one("counterparty_signatory", "Customer: x\n" * 80_000 + "end, no label by hand name") is None
+    assert one("counterparty_signatory", "Customer: x\n" * 20_000 + "Name: Jane Doe") == "Jane Doe"
+    assert time.time() - began < 20
+    assert one("counterparty_signatory", "Signed on behalf of\nClient ACME\nTitle\nName: John Q Public") == "John Q Public"
+    assert one("counterparty_signatory", "Supplier: ACME\nDate\nBy: Ann Lee") == "Ann Lee"
 
 
 def test_wide_agrees_with_single_fields(spark, sf):

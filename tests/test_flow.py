@@ -8,6 +8,7 @@ from clauselens.functions import vocab as V
 from clauselens.operators import prepare as P
 from clauselens.operators import resolve as R
 from clauselens.operators import responses as S
+from clauselens.operators.extract import extract_wide
 from clauselens.plans.extraction import answered_contracts, extract_contracts
 from clauselens.plans.scoring import classify, score_contracts
 from clauselens.sources import contracts as C
@@ -54,15 +55,54 @@ def test_snippets_against_brute_force(spark):
     for fields in (["contract_term"], ["contract_term", "internal_entity"]):
         got = R.with_snippets(frame, F.array(*[F.lit(f) for f in fields])).first().snippets
         assert got == brute(fields)
-    assert R.with_snippets(frame, F.array(F.lit("indexation"))).first().snippets == text[:12000]
+    assert R.with_snippets(frame, F.array(F.lit("indexation"))).first().snippets == text
 
 
-def test_long_snippets_keep_head_and_tail(spark):
+def test_long_snippets_become_parts(spark):
     text = "\n".join(f"term {i} " + "y" * 50 for i in range(500))
     frame = P.with_lines(spark.createDataFrame([(1, text)], "contract_id long, text string"))
     whole = "\n".join(f"{i + 1}: {x}" for i, x in enumerate(text.split("\n")))
-    got = R.with_snippets(frame, F.array(F.lit("contract_term"))).first().snippets
-    assert got == whole[:5996].rstrip() + V.SNIPPET_MARKER + whole[-5997:].lstrip()
+    got = R.with_snippets(frame, F.array(F.lit("contract_term"))).select("snippets", R.in_parts(F.col("snippets")).alias("parts")).first()
+    assert got.snippets == whole and "\n".join(got.parts) == whole and len(got.parts) == -(-len(whole) // 12_000)
+    assert max(map(len, got.parts)) <= 12_000
+    requests = R.extraction_requests(frame, budget=5_000).orderBy("part").collect()
+    assert [r.part for r in requests] == list(range(1, requests[0].parts + 1)) and len(requests) > 5
+    assert all(len(r.snippets) <= 5_000 and r.snippets in r.prompt for r in requests)
+    assert "\n".join(r.snippets for r in requests) == "\n".join(f"{i + 1}: {x}" for i, x in enumerate(text.split("\n")))
+
+
+def test_one_answer_counts_in_any_order(spark):
+    from clauselens.plans.extraction import settled_responses
+
+    good = '{"choices": [{"message": {"content": "{\\"a\\": 1}"}}]}'
+    rows = [(1, 1, good), (1, 2, good.replace("1", "2")), (1, 3, good[:30]), (1, 2, good.replace("1", "2")), (2, 1, "x"), (2, None, None)]
+    for part in (rows, rows[::-1]):
+        got = settled_responses(spark.createDataFrame(part, "contract_id long, attempt int, response string")).collect()
+        assert {r.contract_id: r.response for r in got} == {1: good.replace("1", "2"), 2: "x"}
+
+
+def test_recovery_of_an_answer_with_many_braces(spark):
+    import time
+
+    frame = spark.createDataFrame([("{ " * 4_000 + '{"a": 1}',), ('{"a": 2} {',), ('é { {"a": 3}',)], "t string")
+    frame.select(S.recover_object(F.col("t")).cast("string")).collect()
+    began = time.time()
+    got = [r[0] for r in frame.select(F.try_variant_get(S.recover_object(F.col("t")), "$.a", "int")).collect()]
+    assert got == [1, 2, 3] and time.time() - began < 5
+
+
+def test_streams_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    from clauselens.session import checkpoint_dir
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default)))
+
+
+def test_extraction_does_not_repartition(spark, sf):
+    plan = extract_wide(D.contracts(spark, sf))._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION" not in plan
 
 
 @pytest.mark.parametrize("content, parsed, error", [

@@ -45,7 +45,8 @@ def test_whitespace_and_quotes(spark):
         "a b c", "a b", "x y", "plain text", "é è"]
     assert column(spark, T.strip, ["  a \x1f", "", "\n"]) == ["a", "", ""]
     long = "word " * 100
-    assert column(spark, T.quote, [long, "short"]) == [(long.strip()[:237]).rstrip() + "...", "short"]
+    assert column(spark, T.quote, [long, "short"]) == [long.strip(), "short"]
+    assert column(spark, lambda c: T.quote(c, 240), [long, "short"]) == [(long.strip()[:237]).rstrip() + "...", "short"]
 
 
 def test_lines(spark):
@@ -56,7 +57,8 @@ def test_lines(spark):
 def test_clauses(spark):
     raw = ["One. Two; three\n\n  \nFour.Five", "A.\nB", "é. è; à"]
     assert column(spark, T.split_clauses, raw) == [["One.", "Two;", "three", "Four.Five"], ["A.", "B"], ["é.", "è;", "à"]]
-    cut = column(spark, T.split_clauses, ["x" * 500])[0][0]
+    assert column(spark, T.split_clauses, ["x" * 500])[0] == ["x" * 500]
+    cut = column(spark, lambda c: T.split_clauses(c, 400), ["x" * 500])[0][0]
     assert len(cut) == 400 and cut.endswith("x...")
 
 
@@ -82,3 +84,16 @@ def test_exact_rounding(spark):
     frame = spark.createDataFrame([(v,) for v in values], "x double")
     assert [r[0] for r in frame.select(round_exact(F.col("x"), 4)).collect()] == [round(v, 4) for v in values]
     assert [r[0] for r in frame.select(round_exact(F.col("x") / 64, 6)).collect()] == [round(v / 64, 6) for v in values]
+
+
+def test_fold_of_every_code_point(spark):
+    hangul = range(0xAC00, 0xD7A4)
+    points = [cp for cp in range(0x110000) if not 0xD800 <= cp < 0xE000 and cp not in hangul and cp not in (0x130, 0x3A3)]
+    chunks = [points[i:i + 2_000] for i in range(0, len(points), 2_000)]
+    frame = spark.createDataFrame([(i, [chr(cp) for cp in c]) for i, c in enumerate(chunks)], "i int, x array<string>")
+    got = frame.repartition(8).select("i", F.transform("x", T.fold_ref).alias("y")).collect()
+    for r in got:
+        for cp, folded in zip(chunks[r.i], r.y):
+            plain = "".join(c for c in unicodedata.normalize("NFKD", chr(cp)) if not unicodedata.combining(c))
+            # lower case is a matter of the Unicode version of the JVM; the decomposition is what is compared
+            assert folded in (plain.lower(), plain) or folded.casefold() == plain.casefold(), hex(cp)
