@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clauselens.llm import decontaminate, minhash_join, mixing, quality_classifier, sharding
-from clauselens.llm.common import prepare, shared_dir, table
+from clauselens.llm.common import prepare, preselected, shared_dir, stored, table
 from clauselens.llm.queries import SHARD_NAMES
 
 # every stage calls operators that SQL cannot express; tests compare with brute-force versions
@@ -32,12 +32,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the smallest id.
 
-    Only ids of documents that go are joined to the texts, and repeated rows of an id become one.
+    Repeated rows of an id become one.  Documents that neither go nor share their id are not shuffled.
     """
-    classes = minhash_join.near_duplicates(docs)
-    gone = classes.where("doc_id != class_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    ids = docs.where("doc_id is not null").select("doc_id")
+    gone = stored(minhash_join.near_duplicates(docs).where("doc_id != class_id").select("doc_id").distinct())
+    doubtful = gone.unionByName(ids.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    rest = preselected(docs, F.col("doc_id"), doubtful).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    clear = preselected(docs.where("doc_id is not null"), F.col("doc_id"), doubtful, "left_anti")
+    return clear.unionByName(rest.where("doc_id is not null")).unionByName(docs.where("doc_id is null")).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
