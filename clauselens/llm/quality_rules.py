@@ -39,9 +39,10 @@ NAVIGATION = [
     "news", "next", "previous", "privacy", "search", "share", "sitemap", "startseite",
 ]
 ENDS = re.compile(rb"[.!?:;\"')\]]\s*$|(?:\xe2\x80[\x9d\x99\xa6]|\xc2\xbb)\s*$")
-SEPARATOR = re.compile(rb"(?:^|\s)(?:\||>|\xc2\xbb|\xe2\x80\xba|\xe2\x80\xa2|\xc2\xb7)(?:\s|$)")
+SEPARATOR = re.compile(rb"(?:^|[\x20\x09-\x0D])(?:\||>|\xc2\xbb|\xe2\x80\xba|\xe2\x80\xa2|\xc2\xb7)(?:[\x20\x09-\x0D]|$)")
 FURNITURE = re.compile("|".join(re.escape(b) for b in BOILERPLATE).encode(), re.I)
-MENU = re.compile(r"(?:\W*(?:{})\b\W*){{2,}}".format("|".join(NAVIGATION)).encode(), re.I)
+# possessive, so that a long menu with something else in it costs no backtracking
+MENU = re.compile(r"\W*+(?:(?:{})\b\W*+){{2,}}+".format("|".join(NAVIGATION)).encode(), re.I)
 SYMBOL_END = re.compile(rb"[#*$%&|<>]+(?=\s|$)")
 
 

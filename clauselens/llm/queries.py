@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauselens.llm import decontaminate, html_text, minhash_join, mixing, pii, quality_classifier, quality_rules, sharding, suffix_dedup, url_filter
+from clauselens.llm import decontaminate, html_text, minhash_join, mixing, oracles, pii, quality_classifier, quality_rules, sharding, suffix_dedup, url_filter
 from clauselens.llm.common import table
 
 SHARD_NAMES = [f"shard-{i:02d}" for i in range(sharding.SHARDS)]
@@ -94,4 +94,12 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_mixing": oracles.mixing_sql(),
+    "op2_suffix_dedup": oracles.dedup_sql(),
+    "op3_minhash_join": oracles.join_sql(),
+    "op5_decontaminate": oracles.decontamination_sql(),
+    "op8_url_filter": oracles.url_sql(),
+    "op9_sharding": oracles.sharding_sql(SHARD_NAMES),
+    "op10_quality_rules": oracles.rules_sql(),
+}
