@@ -80,6 +80,27 @@ def snippet_parts(documents: DataFrame) -> DataFrame:
     return parts.select(ID, F.array_join("parts", "\n").alias("snippets"), fits.alias("fits"))
 
 
+def edge_snippets(documents: DataFrame) -> DataFrame:
+    """Snippets for a field that needs both edges of a document, whose middle is left out."""
+    requested = F.array(F.lit("internal_entity"))
+    return R.with_snippets(P.with_lines(documents), requested).select(ID, "snippets")
+
+
+VARIANT_FIELDS = [
+    "counterparty_signatory", "contract_term", "payment_terms_days", "termination_notice_days", "auto_renewal",
+    "renewal_notice_days", "payment_periodicity",
+]
+
+
+def rule_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values found in the other wordings of the rules."""
+    contracts = D.variants(spark, sf_dir)
+    wide = X.extract_wide(contracts).select(ID, *[F.col(f"{f}.value").alias(f) for f in VARIANT_FIELDS])
+    total = X.extract_total_value(contracts).select(
+        ID, F.col("total_contract_value.value").cast("double").alias("total_contract_value"), F.col("currency.value").alias("currency"))
+    return wide.join(total, ID)
+
+
 def requests(contracts: DataFrame) -> DataFrame:
     return R.extraction_requests(contracts).select(
         ID, "part", "parts", F.array_join("requested", ",").alias("requested"), "snippets", "prompt")
@@ -280,6 +301,8 @@ QUERIES: dict[str, Query] = {
     "missing_fields": _contracts(missing_fields),
     "snippets": _documents(snippets),
     "snippet_parts": _documents(snippet_parts),
+    "edge_snippets": _documents(edge_snippets),
+    "rule_variants": rule_variants,
     "extraction_requests": _contracts(requests),
     "classification_requests": _documents(classification_requests),
     "json_recover": recovered_json,

@@ -76,11 +76,15 @@ def snippet_hit(fields: list[str]) -> str:
     return contains_any("folded", [w for f in fields for w in V.SNIPPET_KEYWORDS[f] if w.isascii() or w in "€£"])
 
 
-SNIPPETS = f"""WITH {NUMBERED}, folded AS (
+def snippets_sql(fields: list[str], edges: int = 0) -> str:
+    """Lines with a keyword and their neighbours, and so many lines of both edges."""
+    return f"""WITH {NUMBERED}, folded AS (
   SELECT *, {folded('line')} AS folded FROM numbered), hits AS (
-  SELECT contract_id, line, line_idx, {snippet_hit(['contract_term', 'total_contract_value', 'currency', 'payment_periodicity', 'indexation'])} AS hit
+  SELECT contract_id, line, line_idx, {snippet_hit(fields)} AS hit,
+  count(*) OVER (PARTITION BY contract_id) AS n
   FROM folded), near AS (
-  SELECT *, bool_or(hit) OVER (PARTITION BY contract_id ORDER BY line_idx ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS keep
+  SELECT *, bool_or(hit) OVER (PARTITION BY contract_id ORDER BY line_idx ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)
+    OR line_idx < {edges} OR line_idx >= n - {edges} AS keep
   FROM hits), islands AS (
   SELECT *, line_idx - row_number() OVER (PARTITION BY contract_id ORDER BY line_idx) AS island FROM near WHERE keep),
   blocks AS (
@@ -92,6 +96,9 @@ SELECT d.doc_id AS contract_id, CASE
   WHEN NOT EXISTS (SELECT 1 FROM islands i WHERE i.contract_id = d.doc_id) THEN d.text ELSE s END AS snippets
 FROM documents d LEFT JOIN joined j ON j.contract_id = d.doc_id"""
 
+
+SNIPPETS = snippets_sql(["contract_term", "total_contract_value", "currency", "payment_periodicity", "indexation"])
+
 # --- contracts derived from orders -------------------------------------------
 
 FACTS = """f AS (
@@ -586,6 +593,18 @@ FLAGS = [
 ]
 FLAG_ROWS = f"SELECT c, score, list_filter([{', '.join(FLAGS)}], lambda x: x IS NOT NULL) AS flags FROM sc"
 
+DAYS = "CAST(10 + k % 80 AS VARCHAR)"
+VARIANTS = f"""WITH {FACTS} SELECT k AS contract_id,
+  {case(("k % 3 = 0", "'Ann L' || k"), ("k % 3 = 1", "'Jean D' || k"))} AS counterparty_signatory,
+  {case(("k % 5 = 0", "(1 + k % 9) || ' years from Start Date'"), ("k % 5 = 1", "(6 + k % 30) || ' months from Effective Date'"),
+        ("k % 5 = 2", "'until ' || CAST(day AS VARCHAR)"), ("k % 5 = 3", "'indefinite'"))} AS contract_term,
+  {case(("k % 6 = 1", "'30'"), ("k % 6 <> 5", DAYS))} AS payment_terms_days,
+  {case(("k % 4 < 2", DAYS))} AS termination_notice_days,
+  {case(("k % 6 IN (0, 3)", "'false'"), ("k % 6 <> 5", "'true'"))} AS auto_renewal,
+  {case(("k % 6 = 1", DAYS))} AS renewal_notice_days,
+  {strings(list(V.PERIODICITY_PATTERNS))}[k % 8 + 1] AS payment_periodicity,
+  round(price, 2) AS total_contract_value, 'EUR' AS currency FROM f"""
+
 ORACLES: dict[str, str] = {
     "clean_text": f"SELECT doc_id AS contract_id, {CLEAN} AS text FROM documents",
     "clauses": f"WITH {CLAUSES} SELECT contract_id, clause_idx, clause, {folded('clause')} AS folded FROM whole",
@@ -634,6 +653,8 @@ ORACLES: dict[str, str] = {
     "resolve": resolve_rows(),
     "missing_fields": f"WITH {FACTS} SELECT k AS contract_id, {joined_missing(',')} AS missing, {locked_json()} AS locked_json FROM f",
     "snippets": SNIPPETS,
+    "edge_snippets": snippets_sql(["internal_entity"], V.SNIPPET_EDGE_LINES),
+    "rule_variants": VARIANTS,
     "snippet_parts": f"SELECT contract_id, snippets, TRUE AS fits FROM ({SNIPPETS})",
     "extraction_requests": REQUESTS,
     "classification_requests": f"""SELECT doc_id AS contract_id, {text(V.CLASSIFY_REQUEST_HEAD)} || {CLEAN}

@@ -88,6 +88,48 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_facts(spark, sf_dir).select(k.alias("contract_id"), F.concat_ws("\n", *lines).alias("text"))
 
 
+def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(contract_id, text): contracts in the other wordings of the rules, with long clauses and many lines."""
+    k, day = F.col("k"), F.col("day")
+
+    def line(template: str, *values: Column) -> Column:
+        return F.format_string(template, *values)
+
+    days = 10 + k % 80
+    filler = F.array_join(F.transform(F.sequence(F.lit(1), 130 + k % 40), lambda i: F.concat(
+        F.lit("Article "), i.cast("string"), F.lit(" is here for its number."))), "\n")
+    lines = [
+        F.lit("Second wording"),
+        F.when(k % 3 == 0, F.lit("Supplier: ACME\nPlace: Paris")).when(k % 3 == 1, F.lit("Pour le compte de Client\n")),
+        F.when(k % 3 == 0, line("By: Ann L%d", k)).when(k % 3 == 1, line("Nom: Jean D%d", k)),
+        F.when(k % 2 == 0, filler),
+        F.when(k % 6 == 0, line("Fees: net %d.", days))
+        .when(k % 6 == 1, F.lit("Fees are payable within thirty (30) days."))
+        .when(k % 6 == 2, line("Le loyer est dû dans un délai de %d jours.", days))
+        .when(k % 6 == 3, line("Paiement sous %d jours.", days))
+        .when(k % 6 == 4, F.concat(F.lit("Fees"), F.repeat(F.lit(" and costs"), 60), line(" are due within %d days.", days))),
+        _pick(k % 8, [
+            "Le tarif est mensuel.", "Le tarif est trimestriel.", "Fees are invoiced semi-annually.", "Le tarif est annuel.",
+            "Fees follow each milestone.", "Fees are usage-based.", "Fees are due on delivery.", "Fees are a lump sum.",
+        ]),
+        F.when(k % 5 == 0, line("The agreement has a duration of %d years from start date.", 1 + k % 9))
+        .when(k % 5 == 1, line("La durée est de %d mois à compter de la date d'effet.", 6 + k % 30))
+        .when(k % 5 == 2, line("The term runs until %s.", F.date_format(day, "yyyy-MM-dd")))
+        .when(k % 5 == 3, F.lit("The term is until terminated.")),
+        F.when(k % 4 == 0, line("Either party may terminate with %d calendar days of warning.", days))
+        .when(k % 4 == 1, line("La résiliation exige un préavis de %d jours.", days))
+        .when(k % 4 == 2, line("Termination needs a warning of %d months.", 1 + k % 6)),
+        F.when(k % 6 == 0, F.lit("Ce contrat est sans reconduction tacite."))
+        .when(k % 6 == 1, line("Le contrat suit une tacite reconduction avec un préavis de %d jours.", days))
+        .when(k % 6 == 2, F.lit("The agreement is evergreen."))
+        .when(k % 6 == 3, F.lit("It will not renew automatically."))
+        .when(k % 6 == 4, F.lit("Renouvellement automatique.")),
+        line("Montant total : %s EUR", F.format_number("o_totalprice", 2)),
+        F.lit("End of the contract"),
+    ]
+    return _order_facts(spark, sf_dir).select(k.alias("contract_id"), F.concat_ws("\n", *lines).alias("text"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(contract_id, text) of the raw document table."""
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("contract_id"), "text")
