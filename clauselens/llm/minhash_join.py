@@ -231,7 +231,6 @@ def near_duplicates(
     wordy = once.where("n > 0")
     # stored, so that the join back is between two exchanges, which AQE can split where many texts are the same
     sets = stored(wordy.groupBy("same").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
-    member = wordy.select("id", "same").join(sets, "same").select("id", "rep", "copies")
     reps = stored(wordy.join(sets.select(F.col("rep").alias("id"), "copies"), "id").select("id", "n", "bands", "copies"))
     banded = reps.select("id", F.posexplode("bands").alias("band", "code")).select(
         "id", F.xxhash64("band", "code").alias("code"))
@@ -252,12 +251,12 @@ def near_duplicates(
         _tile(threshold), "id long, links long, other long"))
     links = met.where("other is null").groupBy("id").agg(F.sum("links").alias("links"))
     classes = components(met.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
-    found = (
-        member.join(links.withColumnRenamed("id", "rep"), "rep", "left")
+    settled = stored(
+        sets.join(links.withColumnRenamed("id", "rep"), "rep", "left")
         .join(classes.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("id", F.coalesce("component", "rep").alias("class_id"),
-                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    )
+        .select("same", F.coalesce("component", "rep").alias("class_id"),
+                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    found = wordy.select("id", "same").join(settled, "same").drop("same")
     ids = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"))
     return ids.join(found, "id", "left").select(
         F.col("id").alias("doc_id"), F.coalesce("class_id", "id").alias("class_id"),
