@@ -99,13 +99,15 @@ def round_exact(x: Column, digits: int) -> Column:
     number lies below the half.  The distance to that half is computed without error:
     the number is split in two short halves whose products with the scale are exact.
     """
-    scale = float(10**digits)
+    return let(x, lambda v: round_exact_ref(v, digits))
 
-    def settle(s: Column) -> Column:
-        high = s["x"].cast("float").cast("double")
-        units = F.round(s["q"] * scale)
-        distance = (high * scale - (units - 0.5)) + (s["x"] - high) * scale
-        down = (distance < 0) | ((distance == 0) & (F.pmod(units, F.lit(2.0)) == 1))
-        return F.when(down, F.round((units - 1) / scale, digits)).otherwise(s["q"])
 
-    return let(F.struct(x.alias("x"), F.round(x, digits).alias("q")), settle)
+def round_exact_ref(x: Column, digits: int) -> Column:
+    """:func:`round_exact` for a plain column or lambda variable (it is read repeatedly)."""
+    scale = float(10**digits)
+    rounded = F.round(x, digits)
+    high = x.cast("float").cast("double")
+    units = F.round(rounded * scale)
+    distance = (high * scale - (units - 0.5)) + (x - high) * scale
+    down = (distance < 0) | ((distance == 0) & (F.pmod(units, F.lit(2.0)) == 1))
+    return F.when(down, F.round((units - 1) / scale, digits)).otherwise(rounded)

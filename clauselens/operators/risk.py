@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, NumericType, StringType
 
 from clauselens.functions import vocab as V
-from clauselens.functions.parse import law_category, round_exact
-from clauselens.functions.text import let, strip
+from clauselens.functions.parse import law_category, round_exact, round_exact_ref
+from clauselens.functions.text import strip
 from clauselens.operators.prepare import ID
 
 # vector column -> (clause family, projection key, type); the fixed layout of the wide vector
@@ -251,7 +251,7 @@ def norm_score(raw: Column, missing: int = 3) -> Column:
 def one_hot(raw: Column, labels: list[str]) -> Column:
     label = F.upper(strip(F.coalesce(raw.cast("string"), F.lit("UNCLEAR"))))
     known = F.when(label.isin(*labels), label).otherwise("UNCLEAR")
-    return let(known, lambda x: F.array(*[F.when(x == o, 1.0).otherwise(0.0) for o in labels]))
+    return F.array(*[F.when(known == o, 1.0).otherwise(0.0) for o in labels])
 
 
 def _flag(c: Column) -> Column:
@@ -303,6 +303,8 @@ def with_vector(records: DataFrame) -> DataFrame:
 
 # --- score, explanation, flags -----------------------------------------------
 
+FLAG_BORDER = "\x1f"  # no flag text holds it
+
 Weights = Mapping[str, float | Column]
 
 
@@ -325,7 +327,8 @@ def weight_columns(weights: Column) -> Weights:
 def with_score(scored: DataFrame, weights: Weights | None = None) -> DataFrame:
     """Add ``score``: weighted risk in 0..1, four decimals; needs ``vector``."""
     total = sum(_terms(weights).values(), F.lit(0.0))
-    return scored.withColumn("score", round_exact(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)), 4))
+    summed = scored.withColumn("_total", F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)))
+    return summed.withColumn("score", round_exact_ref(F.col("_total"), 4)).drop("_total")
 
 
 def with_explanation(scored: DataFrame, weights: Weights | None = None) -> DataFrame:
@@ -386,7 +389,11 @@ def with_flags(scored: DataFrame) -> DataFrame:
         F.when(signal("auto_renewal").cast("boolean") & (notice.isNull() | (notice == 0)), V.FLAG_RENEWAL_NO_NOTICE),
         F.when(F.col("score") >= V.HIGH_COMPOSITE, F.format_string(V.FLAG_COMPOSITE, _two_decimals(F.col("score")))),
     )
-    return scored.withColumn("flags", F.array_compact(flags))
+    # joined and split again, which drops the nulls and stays in generated code
+    joined = scored.withColumn("_flags", F.concat_ws(FLAG_BORDER, flags))
+    none = F.array().cast("array<string>")
+    return joined.withColumn("flags", F.when(F.col("_flags") == "", none).otherwise(
+        F.split("_flags", FLAG_BORDER))).drop("_flags")
 
 
 def score_records(records: DataFrame, weights: Weights | None = None) -> DataFrame:
