@@ -120,6 +120,8 @@ def judge_urls(
             F.first("verdict").alias("label"), F.first("n").alias("n"),
             (F.sum("diff") / F.count("*")).alias("score"))
     )
+    # stored, so that the join back is between two exchanges, which AQE can split where one URL is repeated
+    scored = stored(scored)
     limit = calibrated(scored).scalar()
     judged = ruled.join(scored.select("text", "score"), "text")
     verdict = F.coalesce(F.col("ruled"), F.when(F.col("score") < limit, "block"), F.lit("allow"))
