@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clauselens.llm import minhash_join, mixing, quality_rules, sharding, suffix_dedup, url_filter
+from clauselens.llm import minhash_join, mixing, pii, quality_rules, sharding, suffix_dedup, url_filter
 from clauselens.llm import decontaminate as decon
 
 UPPER, LOWER = url_filter.UPPER, url_filter.LOWER
@@ -168,3 +168,66 @@ f AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word
   FROM d LEFT JOIN per USING (doc_id) LEFT JOIN rep USING (doc_id)),
 b AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f)
 SELECT * EXCLUDE (lost, held), NOT base_failed AND lost::DOUBLE <= {quality_rules.MAX_LOSS}::DOUBLE * held::DOUBLE AS kept FROM b"""
+
+
+# fixed values: the base patterns as they are stated, without the possessive forms that RE2 does not know
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+PLAIN_TERM = r"[\p{L}\p{N}]+(?:[-_.''][\p{L}\p{N}]+)*"
+
+
+def located(pattern: str, source: str, columns: str) -> str:
+    """(columns, value, start, finish) of all matches in the lines of a table, in code points of the document."""
+    return f"""SELECT {columns}, value, off + sum(gap + len(value)) OVER (PARTITION BY {columns} ORDER BY nth) - len(value) AS start,
+  off + sum(gap + len(value)) OVER (PARTITION BY {columns} ORDER BY nth) AS finish
+FROM (SELECT {columns}, off, unnest(found) AS value, unnest(range(len(found))) AS nth,
+  unnest(list_transform(pieces[:len(found)], lambda p: len(p))) AS gap
+  FROM (SELECT *, regexp_extract_all(line, '{pattern}') AS found, string_split_regex(line, '{pattern}') AS pieces FROM {source})
+  WHERE len(found) > 0)"""
+
+
+def pii_sql() -> str:
+    digits = "regexp_replace(value, '[^0-9]', '', 'g')"
+    doubled = "list_transform(string_split(reverse(d), ''), lambda x, i: CASE WHEN i % 2 = 1 THEN x::INT WHEN x::INT > 4 THEN x::INT * 2 - 9 ELSE x::INT * 2 END)"
+    valid = {
+        "email": "TRUE", "ip": f"regexp_full_match(value, '{pii.OCTET}(?:\\.{pii.OCTET}){{3}}')",
+        "card": f"len(d) BETWEEN 12 AND 19 AND list_sum({doubled}) % 10 = 0", "phone": "len(d) BETWEEN 9 AND 15",
+    }
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, nr, '{k}' AS kind, {i} AS rank, value, start, finish FROM (SELECT *, {digits} AS d FROM ({located(p, 'lines', 'doc_id, nr')})) WHERE {valid[k]}"
+        for i, (k, p) in enumerate(PLAIN.items()))
+    order = "string_agg(kind || ':' || start || ':' || finish, ',' ORDER BY start, rank, finish)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in PLAIN)
+    shown = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in PLAIN)
+    return f"""WITH raw AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+cells AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS nr FROM raw),
+lines AS (SELECT *, coalesce(sum(len(line) + 1) OVER (PARTITION BY doc_id ORDER BY nr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM cells),
+base AS ({found}),
+names AS (SELECT DISTINCT doc_id, nr, kind || ':' || lower(value) AS name FROM base),
+held AS (SELECT name, line, count(*) AS times FROM names JOIN lines USING (doc_id, nr) GROUP BY name, line),
+said AS (SELECT name, times, unnest(list_distinct(list_transform(regexp_extract_all(line, '{PLAIN_TERM}'), lambda x: lower(x)))) AS term,
+  string_split_regex(regexp_replace(name, '^[a-z]+:', ''), '{SPACE}+') AS parts FROM held),
+pairs AS (SELECT name, term, sum(times) AS n_both FROM said
+  WHERE NOT list_bool_or(list_transform(parts, lambda p: contains(p, term) OR contains(term, p)))
+  GROUP BY name, term HAVING count(*) >= {pii.SUPPORT}),
+total AS (SELECT count(*) AS n FROM lines WHERE regexp_matches(line, '{WORD}')),
+terms AS (SELECT term, count(*) AS n_term FROM (SELECT unnest(list_distinct(list_transform(
+  regexp_extract_all(line, '{PLAIN_TERM}'), lambda x: lower(x)))) AS term FROM lines) WHERE term IN (SELECT term FROM pairs) GROUP BY term),
+entity AS (SELECT name, sum(times) AS n_entity FROM held GROUP BY name),
+rated AS (SELECT name, term, round(log2((n * n_both)::DOUBLE / (n_term * n_entity)::DOUBLE) / log2(n::DOUBLE / n_entity::DOUBLE), 9) AS reveals
+  FROM pairs JOIN terms USING (term) JOIN entity USING (name), total WHERE n > n_entity),
+marked AS (SELECT doc_id, term, max(CASE WHEN reveals >= {pii.REMOVE} THEN 'remove' ELSE 'generalise' END) AS kind
+  FROM (SELECT DISTINCT doc_id, name FROM names) JOIN rated USING (name) WHERE reveals >= {pii.GENERALISE} GROUP BY doc_id, term),
+own AS (SELECT * FROM lines WHERE doc_id IN (SELECT doc_id FROM marked)),
+words AS ({located(PLAIN_TERM, 'own', 'doc_id, nr')}),
+added AS (SELECT words.doc_id, words.nr, kind, CASE kind WHEN 'remove' THEN 5 ELSE 4 END AS rank, value, start, finish
+  FROM words JOIN marked ON marked.doc_id = words.doc_id AND term = lower(value)
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = words.doc_id AND b.start < words.finish AND words.start < b.finish)),
+b AS (SELECT doc_id, {counts}, {order} AS base FROM base GROUP BY doc_id),
+s AS (SELECT doc_id, {order} AS spans FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY doc_id)
+SELECT raw.doc_id, {shown}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM raw LEFT JOIN b USING (doc_id) LEFT JOIN s USING (doc_id)"""

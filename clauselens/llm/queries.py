@@ -98,6 +98,7 @@ ORACLES = {
     "op1_mixing": oracles.mixing_sql(),
     "op2_suffix_dedup": oracles.dedup_sql(),
     "op3_minhash_join": oracles.join_sql(),
+    "op4_pii": oracles.pii_sql(),
     "op5_decontaminate": oracles.decontamination_sql(),
     "op8_url_filter": oracles.url_sql(),
     "op9_sharding": oracles.sharding_sql(SHARD_NAMES),

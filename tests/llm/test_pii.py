@@ -7,7 +7,7 @@ import time
 from collections import Counter, defaultdict
 
 from clauselens.llm import pii as P
-from clauselens.llm.queries import QUERIES
+from clauselens.llm.queries import ORACLES, QUERIES
 
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -68,7 +68,8 @@ def test_cases(odd_docs, no_docs):
 def planted():
     """An address that a rare name goes with, among lines of common words."""
     lines = [f"the harbour report number w{i} was read on day {i % 7}." for i in range(300)]
-    lines += [f"Write to Zebulon-Quark about item q{i} at boss@corp.example today." for i in range(6)]
+    lines += [f"Write to Zebulon-Quark about quasar q{i} at boss@corp.example today." for i in range(6)]
+    lines += ["A quasar was seen."] * 3
     lines += ["Write to nobody about anything today."] * 40
     lines += ["Only once here: Hapax and other@corp.example in one line."] * 9
     return [(i, "\n".join(lines[i::20])) for i in range(20)]
@@ -94,3 +95,18 @@ def test_terms_that_reveal_an_entity(spark):
     assert marked["remove"] == expected and "zebulon-quark" in expected
     assert "write" not in marked["remove"] | marked["generalise"] and "hapax" not in marked["remove"]
     assert marked["email"] == {"boss@corp.example", "other@corp.example"}
+
+
+def test_sql_agrees_on_marked_terms(spark):
+    import duckdb
+    import pandas as pd
+
+    rows = planted() + [(100 + i, t) for i, t in enumerate(TEXTS[:10])]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])
+    con = duckdb.connect()
+    con.register("documents", documents)
+    expected = {r[0]: r[-1] for r in con.execute(ORACLES["op4_pii"]).fetchall()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = P.find_personal_data(docs, keep=["doc_id"]).select("doc.doc_id", P.joined_spans(P.F.col("spans")).alias("spans"))
+    assert {r.doc_id: r.spans for r in found.collect()} == expected
+    assert any("remove" in s for s in expected.values()) and any("generalise" in s for s in expected.values())
