@@ -35,7 +35,8 @@ def _pick(index: Column, values: list[str]) -> Column:
 def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+    # both tables grow together, so the join shuffles their few columns; the texts are composed after it
+    joined = orders.join(customer.hint("shuffle_hash"), orders.o_custkey == customer.c_custkey, "left")
     return joined.select(
         F.col("o_orderkey").alias("k"), "c_name", "o_totalprice", F.to_date("o_orderdate").alias("day"))
 
