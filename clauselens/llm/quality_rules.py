@@ -2,6 +2,8 @@
 
 A line with words fails if it has no sentence punctuation and looks like navigation (separators or
 only short entries), if it carries boilerplate wording, or if most of its words end in symbols.
+With ``notices`` boilerplate wording is judged whatever the line ends with: a line fails as well if the
+wording fills at least ``NOTICE_SHARE`` of its words, so notices go and prose that mentions one stays.
 A document is rejected if its failing lines hold more than ``max_loss`` of its word characters.
 Words are runs without ASCII white space; lines are split at newlines.
 
@@ -25,6 +27,7 @@ from clauselens.llm.common import text_bytes, text_column, with_text
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOSS = 0.3
+NOTICE_SHARE = 0.1
 SYMBOLS = b"#*$%&|<>"
 # fixed values: wording of page furniture and licence notices, in lower case
 BOILERPLATE = [
@@ -46,14 +49,19 @@ MENU = re.compile(r"\W*+(?:(?:{})\b\W*+){{2,}}+".format("|".join(NAVIGATION)).en
 SYMBOL_END = re.compile(rb"[#*$%&|<>]+(?=\s|$)")
 
 
-def line_fails(line: bytes, words: int) -> str | None:
+def wording_fills(line: bytes, words: int) -> bool:
+    """Is boilerplate wording at least ``NOTICE_SHARE`` of the words of a line?"""
+    return sum(len(m.split()) for m in FURNITURE.findall(line)) >= NOTICE_SHARE * words
+
+
+def line_fails(line: bytes, words: int, notices: bool = False) -> str | None:
     """The rule that a line with words breaks, if any."""
     marks = len(SEPARATOR.findall(line))
     if marks >= 2 and 4 * marks >= words or MENU.fullmatch(line):
         return "navigation"
     if len(SYMBOL_END.findall(line)) * 2 > words:
         return "punctuation"
-    if FURNITURE.search(line) and words < 40 and not ENDS.search(line):
+    if FURNITURE.search(line) and (words < 40 and not ENDS.search(line) or notices and wording_fills(line, words)):
         return "boilerplate"
     return None
 
@@ -82,7 +90,7 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def judge(text: bytes, max_loss: float = MAX_LOSS) -> dict[str, object]:
+def judge(text: bytes, max_loss: float = MAX_LOSS, notices: bool = False) -> dict[str, object]:
     """All figures and the verdict for one text."""
     words = text.split()
     seen: set[bytes] = set()
@@ -93,7 +101,7 @@ def judge(text: bytes, max_loss: float = MAX_LOSS) -> dict[str, object]:
         if own:
             duplicates += line in seen
             seen.add(line)
-            rule = line_fails(line, len(own))
+            rule = line_fails(line, len(own), notices)
             if rule:
                 broken[rule] += 1
                 lost += sum(map(len, own))
@@ -121,11 +129,12 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 def clean_lines(
     docs: DataFrame, text: str = "text", keep: list[str] | None = None, max_loss: float = MAX_LOSS,
+    notices: bool = False,
 ) -> DataFrame:
     """(doc, figures, kept, cleaned): doc holds the kept columns (default all); nothing is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [judge(t, max_loss) for t in text_bytes(text_column(batch, text))]
+            rows = [judge(t, max_loss, notices) for t in text_bytes(text_column(batch, text))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([r[n] for r in rows], t) for n, t in FIELDS.items()]],
                 names=["doc", *FIELDS])

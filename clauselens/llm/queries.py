@@ -74,14 +74,23 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc.doc_id", "doc.source", "slot", "shard")
 
 
-def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line rules over every document."""
-    judged = quality_rules.clean_lines(table(spark, sf_dir, "documents"), keep=["doc_id"])
+def line_rules(spark: SparkSession, sf_dir: str, notices: bool) -> DataFrame:
+    judged = quality_rules.clean_lines(table(spark, sf_dir, "documents"), keep=["doc_id"], notices=notices)
     return judged.select(
         "doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_failed_lines")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line rules over every document."""
+    return line_rules(spark, sf_dir, notices=False)
+
+
+def op10_quality_rules_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line rules over every document, with notices that end like sentences."""
+    return line_rules(spark, sf_dir, notices=True)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -93,6 +102,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
+    "op10_quality_rules_notices": op10_quality_rules_notices,
 }
 ORACLES = {
     "op1_mixing": oracles.mixing_sql(),

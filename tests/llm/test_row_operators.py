@@ -111,6 +111,24 @@ def test_line_rules():
     assert not R.judge(f"{body}\n{table}".encode())["kept"]
 
 
+def test_notices_that_end_in_a_full_stop():
+    body = "\n".join(" ".join(f"word{i}and{j}" for j in range(12)) + "." for i in range(8))
+    notices = ["All rights reserved.", "Licensed under CC BY-NC 4.0.",
+               "This work is licensed under the GNU General Public License, version 3."]
+    prose = "She told him that the copyright of the song had passed to her aunt long before the war came to the town."
+    judged = R.judge("\n".join([body, *notices, prose]).encode(), notices=True)
+    assert judged["n_failed_lines"] == 3 and judged["cleaned"] == f"{body}\n{prose}" and judged["lost_share"] > 0
+
+
+def test_notices_query(spark, sf):
+    lost = {q: sum(r.n_failed_lines for r in QUERIES[q](spark, sf).collect())
+            for q in ("op10_quality_rules", "op10_quality_rules_notices")}
+    assert lost["op10_quality_rules_notices"] > lost["op10_quality_rules"]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    good = [r for r in QUERIES["op10_quality_rules_notices"](spark, sf).collect() if labels.get(r.doc_id) == 1 and not r.base_failed]
+    assert good and all(r.kept for r in good)
+
+
 def test_lookup_table_is_even_and_stable():
     names = [f"s{i}" for i in range(16)]
     full, fewer = S.fill_table(names, 4099), S.fill_table(names[:-1], 4099)
