@@ -6,6 +6,8 @@ The entities found are what is protected.  Over the whole corpus, the informatio
 entity tells how much of it the term reveals, where lines are counted once however often they are
 repeated.  A term that reveals at least ``GENERALISE`` of an entity's information and meets it in ``SUPPORT``
 different lines is marked for generalisation in the documents that hold the entity, from ``REMOVE`` on for removal.
+Without a support (``support=None``) the score alone decides, for every entity: repeated lines count, and
+the term's share of lines with the entity is shrunk towards that of all lines by ``SHRINK`` lines.
 
 All of it is DataFrame expressions.  Positions come from the lengths of the pieces between matches,
 summed in two levels, so that a text with very many matches costs no quadratic time.
@@ -37,6 +39,7 @@ NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
+SHRINK = 1
 BLOCK = 256
 TERM = r"[\p{L}\p{N}]++(?:[-_.'][\p{L}\p{N}]++)*+"
 
@@ -142,7 +145,7 @@ def line_terms(line: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def disclosures(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
+def disclosures(docs: DataFrame, text: str, found: DataFrame, support: int | None = SUPPORT) -> DataFrame:
     """(name, terms): for each entity the terms that reveal it, as (term, kind)."""
     lines = found.where("digest is not null").select(F.explode(F.split("text", "\n")).alias("line"))
     own = lines.withColumns({k: entities(F.col("line"), k) for k in PATTERNS})
@@ -151,29 +154,36 @@ def disclosures(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
     parts = F.split(F.regexp_replace("name", "^[a-z]+:", ""), r"[\x20\x09-\x0D]+")
     pairs = held.select("name", "times", F.explode(line_terms(F.col("line"))).alias("term"), parts.alias("parts")).where(
         ~F.exists("parts", lambda p: F.contains(p, F.col("term")) | F.contains(F.col("term"), p)))
-    pairs = stored(pairs.groupBy("name", "term").agg(
-        F.sum("times").alias("n_both"), F.count("*").alias("support")).where(F.col("support") >= SUPPORT))
+    pairs = pairs.groupBy("name", "term").agg(F.sum("times").alias("n_both"), F.count("*").alias("support"))
+    pairs = stored(pairs if support is None else pairs.where(F.col("support") >= support))
     # the corpus: lines with words, and for the terms in question the lines that hold them
     every = docs.select(F.explode(F.split(F.col(f"`{text}`"), "\n")).alias("line"))
     total = every.where(F.col("line").rlike(WORD)).groupBy().agg(F.count("*").alias("n")).scalar()
     words = every.select(F.explode(line_terms(F.col("line"))).alias("term"))
     counts = preselected(words, F.col("term"), pairs.select("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     entity = held.groupBy("name").agg(F.sum("times").alias("n_entity"))
-    reveals = F.log2(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log2(total / F.col("n_entity"))
-    rated = pairs.join(counts, "term").join(entity, "name").withColumn("reveals", F.round(reveals, 9))
+    ratio = total * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))
+    if support is None:
+        ratio = (total * F.col("n_both") / F.col("n_entity") + SHRINK) / (F.col("n_term") + SHRINK)
+    reveals = F.log2(ratio) / F.log2(total / F.col("n_entity"))
+    # an entity that all lines hold has no information to reveal
+    rated = pairs.join(counts, "term").join(entity.where(F.col("n_entity") < total), "name").withColumn(
+        "reveals", F.round(reveals, 9))
     marked = rated.where(F.col("reveals") >= GENERALISE)
     kind = F.when(F.col("reveals") >= REMOVE, "remove").otherwise("generalise")
     return marked.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("term", kind.alias("kind")))).alias("terms"))
 
 
-def find_personal_data(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def find_personal_data(
+    docs: DataFrame, text: str = "text", keep: list[str] | None = None, support: int | None = SUPPORT,
+) -> DataFrame:
     """(doc, n_email, n_ip, n_card, n_phone, base, spans): doc holds the kept columns (default all).
 
     Only texts with an entity are stored and shuffled, once for each different text.  The terms to be counted
     in the corpus are preselected by a broadcast table of at most ``FILTER_SLOTS`` hash slots, its proven bound.
     """
     found = stored(found_entities(docs, text, keep))
-    terms = disclosures(docs, text, found)
+    terms = disclosures(docs, text, found, support)
     texts = found.where("digest is not null").groupBy("digest").agg(
         F.first("text").alias("text"), F.first("names").alias("names"), F.first("base").alias("base"))
     hit = texts.select("digest", F.explode("names").alias("name")).join(terms, "name").groupBy("digest").agg(

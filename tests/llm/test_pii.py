@@ -97,6 +97,39 @@ def test_terms_that_reveal_an_entity(spark):
     assert marked["email"] == {"boss@corp.example", "other@corp.example"}
 
 
+def marked_terms(docs, **options):
+    """The kind for each marked term, in lower case."""
+    marked = {}
+    for r in P.find_personal_data(docs, **options).select("doc", P.joined_spans(P.F.col("spans")).alias("spans")).collect():
+        for kind, start, end in (s.split(":") for s in filter(None, r.spans.split(","))):
+            marked[r.doc.text[int(start):int(end)].lower()] = kind
+    return marked
+
+
+def test_score_alone_decides_for_entities_in_few_lines(spark):
+    lines = [x for _, t in planted() for x in t.split("\n")] + ["Call Wilhelmina about the harbour: +49 1512 3456789."]
+    docs = spark.createDataFrame([(i, "\n".join(lines[i::20])) for i in range(20)], "doc_id long, text string")
+    marked = marked_terms(docs, support=None)
+
+    def kind(term, entity):
+        own = [x for x in lines if entity in x]
+        both = sum(term in x.lower() for x in own)
+        ratio = (len(lines) * both / len(own) + P.SHRINK) / (sum(term in x.lower() for x in lines) + P.SHRINK)
+        score = math.log2(ratio) / math.log2(len(lines) / len(own))
+        return "remove" if score >= P.REMOVE else "generalise" if score >= P.GENERALISE else None
+
+    # one line nine times, one line once, and a term in six lines; common words stay
+    for term, entity in (("hapax", "other@"), ("wilhelmina", "+49"), ("zebulon-quark", "boss@"), ("harbour", "+49"), ("write", "boss@")):
+        assert marked.get(term) == kind(term, entity), term
+    assert marked["hapax"] == "remove" and "wilhelmina" in marked and "harbour" not in marked and "write" not in marked
+    assert "wilhelmina" not in marked_terms(docs)
+
+
+def test_entity_in_every_line(spark):
+    docs = spark.createDataFrame([(1, "Ask Ann at a@b.co"), (2, "Ask Bob at a@b.co")], "doc_id long, text string")
+    assert marked_terms(docs, support=None) == {"a@b.co": "email"}
+
+
 def test_sql_agrees_on_marked_terms(spark):
     import duckdb
     import pandas as pd
