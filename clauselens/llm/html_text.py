@@ -2,8 +2,10 @@
 
 A page is cut into blocks at block-level tags.  The first pass decides what it can from a block
 alone: its place (menus, page headers, footers, sidebars, notices, adverts, forms and comments are
-boilerplate; an article is content), its link density, its length and its density of stop words.  The
-second pass lets undecided short blocks inherit the label of the nearest decided neighbours.
+boilerplate), its link density, its length and its density of stop words, inside and outside articles.  The
+second pass lets undecided blocks inherit the label of the nearest decided neighbours on the same side of
+an article's border; without any, a block of an article is content, and one beside an article is not.
+A furniture name on a wrapper counts for nothing if the page's main element or most of its text is below it.
 
 Cases: null or empty html gives an empty text; unclosed tags end with their parent or the page; a page
 without tags is one block; identical rows are judged alike; tables may be empty; other columns are
@@ -40,6 +42,7 @@ NAMES = set(
     "consent gdpr notice notices popup modal overlay newsletter subscribe subscription sidebar aside widget nav navbar "
     "navigation menu breadcrumb breadcrumbs masthead footer comment comments commentlist respond disqus reply replies "
     "share sharing social related recommended login signup search searchform pagination pager toolbar skip".split())
+COMMENTS = {"comment", "comments", "commentlist", "respond", "disqus", "reply", "replies"}
 LASTING = {"comment", "comments", "commentlist", "respond", "disqus", "replies", "sidebar", "aside", "footer"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 # fixed values: frequent function words of the languages handled
@@ -51,11 +54,14 @@ STOP_WORDS = set((
 
 SHORT = 70
 HIGH_LINKS, LOW_STOPS, HIGH_STOPS = 0.5, 0.06, 0.15
+# shares of the page's text above which a wrapper's furniture name counts for nothing; the second one if it
+# names comments or if an article is outside it
+MOST, NEARLY_ALL = 0.5, 0.9
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
     r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?|\"[^\"]*\"|'[^']*'")
 NAME_WORD = re.compile(r"[^a-z0-9]+")
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -70,6 +76,18 @@ class Open:
     lasting: bool  # an article below it is part of it (a comment, a teaser in a sidebar)
     article: bool
     link: bool
+    wrapper: int = -1  # the innermost element with a furniture name
+
+
+@dataclass(slots=True)
+class Wrapper:
+    """An element with a furniture name: what is below it."""
+
+    above: int
+    comments: bool
+    size: int = 0
+    articles: int = 0
+    mains: int = 0
 
 
 @dataclass(slots=True)
@@ -95,15 +113,24 @@ def _names(rest: str) -> tuple[set[str], str, bool]:
             role = value
         elif name == "style":
             hidden |= bool(INVISIBLE.search(value))
-        elif name == "hidden" or value == "true":
+        elif name == "hidden" or name == "aria-hidden" and value == "true":
             hidden = True
     return words, role, hidden
 
 
-def _opened(tag: str, rest: str, stack: list[Open]) -> Open:
+def _opened(tag: str, rest: str, stack: list[Open], wrappers: list[Wrapper], nameless: set[int]) -> Open:
     above = stack[-1] if stack else Open("", False, False, False, False, False)
     words, role, hidden = _names(rest) if rest.strip() else (set(), "", False)
     lasting, furniture, article = above.lasting, above.furniture, above.article
+    wrapper = above.wrapper
+    is_main, is_article = tag == "main" or role == "main", tag == "article" or role == "article"
+    wrappers[wrapper].mains += is_main
+    wrappers[wrapper].articles += is_article
+    if words & (LASTING if is_main or is_article else NAMES | LASTING) and tag not in ("html", "body"):
+        wrapper = len(wrappers) - 1
+        wrappers.insert(wrapper, Wrapper(above.wrapper, bool(words & COMMENTS)))
+        if wrapper in nameless:
+            words = set()
     if tag in ("article", "main") or role in ("main", "article"):
         if not above.lasting:
             furniture, article = False, True
@@ -113,11 +140,34 @@ def _opened(tag: str, rest: str, stack: list[Open]) -> Open:
         named = bool(words & NAMES) or role in ROLES
         furniture |= tag in FURNITURE or named or tag == "header" and not above.article
         lasting |= tag in ("aside", "footer", "nav") or bool(words & LASTING)
-    return Open(tag, above.hidden or hidden or tag in HIDDEN, furniture, lasting, article, above.link or tag == "a")
+    return Open(tag, above.hidden or hidden or tag in HIDDEN, furniture, lasting, article,
+                above.link or tag == "a", wrapper)
+
+
+def _nameless(wrappers: list[Wrapper]) -> set[int]:
+    """The wrappers whose furniture name counts for nothing; the last one is the page."""
+    page = wrappers[-1]
+    for w in reversed(wrappers[:-1]):
+        above = wrappers[w.above]
+        above.size, above.articles, above.mains = above.size + w.size, above.articles + w.articles, above.mains + w.mains
+    found = set()
+    for i, w in enumerate(wrappers[:-1]):
+        outside = page.articles + page.mains > w.articles + w.mains
+        most = NEARLY_ALL if w.comments or outside else MOST
+        if 0 < w.mains == page.mains or w.size > most * page.size:
+            found.add(i)
+    return found
 
 
 def blocks_of(html: str) -> list[Block]:
-    """The visible blocks of a page, in order."""
+    """The visible blocks of a page, in order; read again if furniture names count for nothing."""
+    wrappers = [Wrapper(-1, False)]
+    found = _blocks(html, wrappers, set())
+    nameless = _nameless(wrappers)
+    return _blocks(html, [Wrapper(-1, False)], nameless) if nameless else found
+
+
+def _blocks(html: str, wrappers: list[Wrapper], nameless: set[int]) -> list[Block]:
     found: list[Block] = []
     pieces: list[str] = []
     linked = 0
@@ -142,6 +192,7 @@ def blocks_of(html: str) -> list[Block]:
         if owner is not None and (owner.furniture, owner.article) != (top.furniture, top.article):
             flush()
         text = unescape(text)
+        wrappers[top.wrapper].size += len(" ".join(text.split()))
         if owner is None and not text.isspace():
             owner = top
         pieces.append(text)
@@ -180,7 +231,7 @@ def blocks_of(html: str) -> list[Block]:
                     del stack[d:]
                 elif stack[d].tag in BLOCKS:
                     break
-            stack.append(_opened(tag, m["rest"], stack))
+            stack.append(_opened(tag, m["rest"], stack, wrappers, nameless))
     flush()
     return found
 
@@ -192,14 +243,22 @@ def classify(blocks: list[Block]) -> None:
         links = b.linked / len(b.text)
         if b.furniture:
             b.good = False
-        elif has_article:
-            b.good = b.article
         elif links > HIGH_LINKS:
-            b.good = False
+            b.good = None if b.article and b.heading else False
         elif len(b.text) >= SHORT:
             words = b.text.lower().split()
             stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-            b.good = True if stops >= HIGH_STOPS else None if stops >= LOW_STOPS else False
+            b.good = True if stops >= HIGH_STOPS else None if stops >= LOW_STOPS or b.article else False
+    if has_article:
+        # furniture says nothing about the text beside it
+        for inside in (True, False):
+            _inherit([b for b in blocks if b.article == inside and not b.furniture], inside)
+    else:
+        _inherit(blocks, None)
+
+
+def _inherit(blocks: list[Block], inside: bool | None) -> None:
+    """The second pass, over the blocks inside or outside of articles, or over all of a page without any."""
     decided = [b.good for b in blocks]
     before, last = [], None  # (label, distance) of the nearest decided block on each side
     for i, label in enumerate(decided):
@@ -212,8 +271,10 @@ def classify(blocks: list[Block]) -> None:
             continue
         sides = [s for s in (before[i], last) if s is not None]
         labels = {s[0] for s in sides}
-        if len(labels) < 2:
-            blocks[i].good = labels.pop() if labels else True
+        if inside:  # an article's text goes only between links
+            blocks[i].good = len(sides) < 2 or True in labels
+        elif len(labels) < 2:
+            blocks[i].good = labels.pop() if labels else inside is None
         elif blocks[i].heading:
             blocks[i].good = last[0]  # a heading belongs to what follows
         else:

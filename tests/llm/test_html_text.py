@@ -50,6 +50,23 @@ def test_pages(html, text):
     assert H.main_text(html) == text
 
 
+CARD = "<article class=teaser><p><a href=x>Another page</a></p></article>"
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    (f"<div id=content><p>{LONG}</p><p>Short.</p></div>{CARD}", f"{LONG}\nShort."),
+    (f"<article><p>{LONG}</p><p><a href=x>a list of links to other pages</a></p></article>", LONG),
+    ("<p>x</p><article><p>" + "zażółć gęślą jaźń " * 9 + "</p></article>", ("zażółć gęślą jaźń " * 9).strip()),
+    ("<article><p title='the hidden cost'>a</p><p data-x=hidden>b</p><a href='/hidden-markov-models'>c</a> d e f</article>", "a\nb\nc d e f"),
+    (f"<div data-x='/x?id=menu'><p>{LONG}</p></div><div><p>{LONG}</p></div>", f"{LONG}\n{LONG}"),
+    (f"<div class='has-sidebar'><article><p>{LONG}</p></article><div class=sidebar>no</div></div>", LONG),
+    (f"<div class='page with-footer'><p>{LONG}</p></div><p>b</p>", f"{LONG}\nb"),
+    (f"<div class='navbar layout'><main><p>{LONG}</p></main></div><div class=comments><p>{LONG * 5}</p></div>", LONG),
+])
+def test_place_is_one_input(html, text):
+    assert H.main_text(html) == text
+
+
 def test_second_pass_uses_the_nearest_decided_block():
     furniture = "".join(f"<p><a href=x>link number {i} to another page of this site</a></p>" for i in range(3))
     page = f"{furniture}<p>Near the links.</p>{furniture}<p>{LONG}</p><p>Near the text.</p><p>{LONG}</p>"
