@@ -7,7 +7,8 @@ entity tells how much of it the term reveals, where lines are counted once howev
 repeated.  A term that reveals at least ``GENERALISE`` of an entity's information and meets it in ``SUPPORT``
 different lines is marked for generalisation in the documents that hold the entity, from ``REMOVE`` on for removal.
 Without a support (``support=None``) the score alone decides, for every entity: repeated lines count, and
-the term's share of lines with the entity is shrunk towards that of all lines by ``SHRINK`` lines.
+the term's share of lines with the entity is shrunk towards that of all lines by ``SHRINK`` lines.  Its terms
+are then those outside the entity's own span, parts of its name included.
 
 All of it is DataFrame expressions.  Positions come from the lengths of the pieces between matches,
 summed in two levels, so that a text with very many matches costs no quadratic time.
@@ -145,15 +146,27 @@ def line_terms(line: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(TERM), F.lit(0)), F.lower))
 
 
+def terms_beside(line: Column, name: Column) -> Column:
+    """The different terms of a line that do not overlap a span of the named entity itself."""
+    own = F.filter(F.concat(*[F.transform(k, lambda m: F.struct(F.concat(F.lit(f"{k}:"), F.lower(m["value"])).alias("name"), m["start"].alias("start"), m["end"].alias("end")))
+                              for k in PATTERNS]), lambda m: m["name"] == name)
+    return let(own, lambda spans: F.array_distinct(F.transform(F.filter(matches(line, TERM), lambda t: ~F.exists(
+        spans, lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"]))), lambda t: F.lower(t["value"]))))
+
+
 def disclosures(docs: DataFrame, text: str, found: DataFrame, support: int | None = SUPPORT) -> DataFrame:
     """(name, terms): for each entity the terms that reveal it, as (term, kind)."""
     lines = found.where("digest is not null").select(F.explode(F.split("text", "\n")).alias("line"))
     own = lines.withColumns({k: entities(F.col("line"), k) for k in PATTERNS})
     held = own.select("line", F.explode(entity_names()).alias("name")).groupBy("name", "line").agg(F.count("*").alias("times"))
     held = stored(held)
+    # parts of the entity's name are left out where its SQL says so
     parts = F.split(F.regexp_replace("name", "^[a-z]+:", ""), r"[\x20\x09-\x0D]+")
     pairs = held.select("name", "times", F.explode(line_terms(F.col("line"))).alias("term"), parts.alias("parts")).where(
         ~F.exists("parts", lambda p: F.contains(p, F.col("term")) | F.contains(F.col("term"), p)))
+    if support is None:
+        spans = held.withColumns({k: entities(F.col("line"), k) for k in PATTERNS})
+        pairs = spans.select("name", "times", F.explode(terms_beside(F.col("line"), F.col("name"))).alias("term"))
     pairs = pairs.groupBy("name", "term").agg(F.sum("times").alias("n_both"), F.count("*").alias("support"))
     pairs = stored(pairs if support is None else pairs.where(F.col("support") >= support))
     # the corpus: lines with words, and for the terms in question the lines that hold them

@@ -125,6 +125,14 @@ def test_score_alone_decides_for_entities_in_few_lines(spark):
     assert "wilhelmina" not in marked_terms(docs)
 
 
+def test_parts_of_the_entity_beside_it_are_marked(spark):
+    lines = [f"the harbour report number w{i} was read on day {i % 7}." for i in range(300)]
+    lines += [f"Ask Jane Doe of Corp for item z{i}: jane.doe@corp.example" for i in range(4)]
+    docs = spark.createDataFrame([(i, "\n".join(lines[i::4])) for i in range(4)], "doc_id long, text string")
+    marked = marked_terms(docs, support=None)
+    assert {"jane", "doe", "corp"} <= marked.keys() and "jane.doe" not in marked
+
+
 def test_entity_in_every_line(spark):
     docs = spark.createDataFrame([(1, "Ask Ann at a@b.co"), (2, "Ask Bob at a@b.co")], "doc_id long, text string")
     assert marked_terms(docs, support=None) == {"a@b.co": "email"}
