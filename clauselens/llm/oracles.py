@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clauselens.llm import minhash_join, mixing, pii, quality_rules, sharding, suffix_dedup, url_filter
+from clauselens.llm import minhash_join, mixing, pii, quality_rules, secret_scan, sharding, suffix_dedup, url_filter
 from clauselens.llm import decontaminate as decon
 
 UPPER, LOWER = url_filter.UPPER, url_filter.LOWER
@@ -231,3 +231,19 @@ b AS (SELECT doc_id, {counts}, {order} AS base FROM base GROUP BY doc_id),
 s AS (SELECT doc_id, {order} AS spans FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY doc_id)
 SELECT raw.doc_id, {shown}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM raw LEFT JOIN b USING (doc_id) LEFT JOIN s USING (doc_id)"""
+
+
+def secrets_sql() -> str:
+    rules = secret_scan.RULES
+    found = " UNION ALL ".join(
+        f"""SELECT doc_id, copy, '{r.kind}' AS kind, {i} AS rank, start, finish FROM ({located(r.pattern.replace("'", "''"), 'docs', 'doc_id, copy')})
+  WHERE length(regexp_extract(value, '{r.pattern.replace("'", "''")}', {r.group})) >= {r.least}""" for i, r in enumerate(rules))
+    base = [r.kind for r in rules if r.base]
+    order = "string_agg(kind || ':' || start || ':' || finish, ',' ORDER BY start, rank)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in base)
+    shown = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in base)
+    named = ", ".join(f"'{k}'" for k in base)
+    return f"""WITH docs AS (SELECT doc_id, row_number() OVER () AS copy, coalesce(text, '') AS line, 0 AS off FROM documents),
+hits AS ({found}),
+s AS (SELECT copy, {counts}, {order} FILTER (WHERE kind IN ({named})) AS base, {order} AS spans FROM hits GROUP BY copy)
+SELECT doc_id, {shown}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN s USING (copy)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauselens.llm import decontaminate, html_text, minhash_join, mixing, oracles, pii, quality_classifier, quality_rules, sharding, suffix_dedup, url_filter
+from clauselens.llm import decontaminate, html_text, minhash_join, mixing, oracles, pii, quality_classifier, quality_rules, secret_scan, sharding, suffix_dedup, url_filter
 from clauselens.llm.common import table
 
 SHARD_NAMES = [f"shard-{i:02d}" for i in range(sharding.SHARDS)]
@@ -100,6 +100,20 @@ def op10_quality_rules_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules(spark, sf_dir, notices=True)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    spans = F.col("spans")
+
+    def found(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [found(r.kind) for r in secret_scan.RULES if r.base]
+    base = F.filter(spans, lambda s: s["base"])
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+        "doc.doc_id", *counts, F.sha2(secret_scan.joined_spans(base), 256).alias("base_sha256"),
+        secret_scan.joined_spans(spans).alias("spans"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -113,6 +127,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
     "op10_quality_rules_notices": op10_quality_rules_notices,
+    "op11_secret_scan": op11_secret_scan,
 }
 ORACLES = {
     "op1_mixing": oracles.mixing_sql(),
@@ -123,4 +138,5 @@ ORACLES = {
     "op8_url_filter": oracles.url_sql(),
     "op9_sharding": oracles.sharding_sql(SHARD_NAMES),
     "op10_quality_rules": oracles.rules_sql(),
+    "op11_secret_scan": oracles.secrets_sql(),
 }
