@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clauselens.llm import minhash_join, mixing, pii, quality_rules, secret_scan, sharding, suffix_dedup, url_filter
+from clauselens.llm import divergence, minhash_join, mixing, pii, prefix_trie, quality_rules, secret_scan, sharding, suffix_dedup, url_filter
 from clauselens.llm import decontaminate as decon
 
 UPPER, LOWER = url_filter.UPPER, url_filter.LOWER
@@ -247,3 +247,56 @@ def secrets_sql() -> str:
 hits AS ({found}),
 s AS (SELECT copy, {counts}, {order} FILTER (WHERE kind IN ({named})) AS base, {order} AS spans FROM hits GROUP BY copy)
 SELECT doc_id, {shown}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN s USING (copy)"""
+
+
+def divergence_sql() -> str:
+    upper = "".join(map(chr, range(65, 91)))
+
+    def share(n: str, total: str, kept: str) -> str:
+        return f"1 + ({divergence.SCALE}::HUGEINT * ({n} + 2)) // ({total} + 2 * {kept})"
+
+    def difference(p: str, q: str) -> str:
+        return f"(({p} - {q}) * ({p} - {q})) // ({p} + {q})"
+
+    terms = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+    return f"""WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT row, lang, source, unnest(regexp_extract_all(translate(t, '{upper}', '{upper.lower()}'), '{terms}')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= {divergence.MIN_DOCS}),
+v AS (SELECT lang, count(*) AS kept, sum(n) AS total FROM kept GROUP BY lang),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT d.lang, d.source, coalesce(any_value(t.total), 0) AS total FROM d LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) t
+  ON t.lang = d.lang AND t.source = d.source GROUP BY d.lang, d.source),
+x AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, {share('coalesce(c.n, 0)', 'g.total', 'v.kept')} AS p, {share('kept.n', 'v.total', 'v.kept')} AS q
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN (SELECT y.lang, y.source, z.source AS item, sum({difference('y.p', 'z.p')}) AS value FROM x y JOIN x z ON z.lang = y.lang AND z.term = y.term
+    AND z.source <> y.source GROUP BY ALL) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ({difference('p', 'q')})::BIGINT AS value FROM x WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM r WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
+def trie_sql() -> str:
+    f, m = prefix_trie.FAMILY, prefix_trie.MOST_SHARED
+    # the checksum bit by bit: reversed polynomial, all bits set before, inverted after
+    return f"""WITH RECURSIVE ids AS (SELECT DISTINCT conv_id::BIGINT AS c FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (SELECT c, c::VARCHAR AS s, 0 AS pos, 4294967295::BIGINT AS r FROM ids UNION ALL
+  SELECT c, s, pos + 1, CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+  FROM (SELECT c, s, pos, CASE WHEN pos % 8 = 0 THEN xor(r, ascii(s[pos // 8 + 1])::BIGINT) ELSE r END AS x FROM bits WHERE pos < 8 * len(s))),
+heads AS (SELECT c, (xor(r, 4294967295) % {m})::INTEGER AS h, c - c % {f} AS head FROM bits WHERE pos = 8 * len(s)),
+t AS (SELECT conv_id::BIGINT AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS i FROM conversations WHERE conv_id IS NOT NULL),
+joined AS (SELECT heads.c, 0 AS part, i, role, text, d FROM heads JOIN t ON t.c = head WHERE i <= h
+  UNION ALL SELECT heads.c, 1, i, role, text, d FROM heads JOIN t ON t.c = heads.c WHERE i > h),
+placed AS (SELECT c, role, text, d, row_number() OVER (PARTITION BY c ORDER BY part, i) AS i FROM joined),
+walks AS (SELECT c, list(d ORDER BY i) AS w, list(strlen(text) ORDER BY i) AS sizes FROM placed GROUP BY c),
+whole AS (SELECT c, coalesce(w, []) AS w, sizes FROM ids LEFT JOIN walks USING (c)),
+steps AS (SELECT c, w, k AS depth, w[1:k] AS p, CASE WHEN k = 0 THEN 0 ELSE sizes[k] END AS size FROM (SELECT *, unnest(range(len(w) + 1)) AS k FROM whole)),
+n AS (SELECT p, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+  coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(w) = depth), '') AS ends FROM steps GROUP BY p, depth),
+kids AS (SELECT p[1:depth - 1] AS p, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+k AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (p)),
+up AS (SELECT u.p[1:g] AS p, (u.n_children = 0)::INTEGER AS leaf, (u.n_convs - 1) * u.size AS saving FROM (SELECT *, unnest(range(depth + 1)) AS g FROM k) u),
+sums AS (SELECT p, sum(leaf)::BIGINT AS n_leaves, sum(saving)::BIGINT AS saved_tokens FROM up GROUP BY p)
+SELECT k.conv_id, k.depth, a.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves, saved_tokens, sha256(k.ends) AS ends_sha256
+FROM k JOIN sums ON sums.p = k.p LEFT JOIN n a ON k.depth > 0 AND a.p = k.p[1:k.depth - 1]"""

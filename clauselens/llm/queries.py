@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clauselens.llm import decontaminate, html_text, minhash_join, mixing, oracles, pii, quality_classifier, quality_rules, secret_scan, sharding, suffix_dedup, url_filter
+from clauselens.llm import decontaminate, divergence, html_text, minhash_join, mixing, oracles, pii, prefix_trie, quality_classifier, quality_rules, secret_scan, sharding, suffix_dedup, url_filter
 from clauselens.llm.common import table
 
 SHARD_NAMES = [f"shard-{i:02d}" for i in range(sharding.SHARDS)]
@@ -114,6 +114,18 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.joined_spans(spans).alias("spans"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    nodes = prefix_trie.prefix_trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), "ends_sha256")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the sources of each language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -128,6 +140,8 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op10_quality_rules_notices": op10_quality_rules_notices,
     "op11_secret_scan": op11_secret_scan,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_divergence": op13_divergence,
 }
 ORACLES = {
     "op1_mixing": oracles.mixing_sql(),
@@ -139,4 +153,6 @@ ORACLES = {
     "op9_sharding": oracles.sharding_sql(SHARD_NAMES),
     "op10_quality_rules": oracles.rules_sql(),
     "op11_secret_scan": oracles.secrets_sql(),
+    "op12_prefix_trie": oracles.trie_sql(),
+    "op13_divergence": oracles.divergence_sql(),
 }
