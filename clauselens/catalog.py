@@ -127,12 +127,13 @@ def final_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recovered_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = S.message_text(F.col("response"))
-    found = E.settled_responses(D.extraction_answers(spark, sf_dir)).select(ID, S.recover_object(text).alias("v"))
-    return found.select(
-        ID, F.col("v").isNotNull().alias("recovered"),
-        F.try_variant_get("v", "$.internal_entity", "string").alias("internal_entity"),
-        F.try_variant_get("v", "$.total_contract_value", "double").alias("total_contract_value"))
+    """What the answer that counts for each part of a request holds."""
+    settled = S.parsed_answers(D.extraction_answers(spark, sf_dir)).groupBy(ID, "part").agg(F.max_by("answer", "rank").alias("answer"))
+    fields = F.col("answer.fields")
+    return settled.select(
+        ID, "part", F.coalesce(F.col("answer.failure") != V.NO_OBJECT, F.lit(True)).alias("recovered"),
+        fields["internal_entity"]["value"].alias("internal_entity"),
+        fields["total_contract_value"]["value"].cast("double").alias("total_contract_value"))
 
 
 def _call(call: str) -> Query:

@@ -47,9 +47,23 @@ def minimal(words: list[str]) -> list[str]:
 
 def cue_pattern(words: list[str]) -> str:
     """Does the text contain one of the words?  One regex pass, for many words."""
-    needed = minimal(words)
-    initials = "".join(re.escape(ch) for ch in sorted({w[0] for w in needed}))
-    return f"(?=[{initials}])(?:{any_of(needed)})"
+    return one_of(minimal(words))
+
+
+def one_of(words: list[str]) -> str:
+    """A pattern for the longest of the words at a place: words that begin alike share their beginning, so few
+    alternatives are tried at each place, and none where no word can begin."""
+    def branches(rest: list[str]) -> str:
+        heads = sorted({w[0] for w in rest if w})
+        parts = [re.escape(ch) + branches([w[1:] for w in rest if w[:1] == ch]) for ch in heads]
+        if not parts:
+            return ""
+        if "" in rest:
+            return "(?:" + "|".join(parts) + ")?"
+        return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+
+    initials = "".join(re.escape(ch) for ch in sorted({w[0] for w in words}))
+    return f"(?=[{initials}])" + branches(words)
 
 
 def any_of(words: list[str]) -> str:
@@ -156,7 +170,10 @@ def _fold_tables() -> tuple[str, str, dict[str, str], str]:
             ranges[-1][1] = cp
         else:
             ranges.append([cp, cp])
-    wanted = "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges) + "]"
+    # most characters are ruled out by one test before the ranges are searched
+    first, second = ranges[0], ranges[1][0]
+    quick = rf"(?=[\x{{{first[0]:x}}}-\x{{{first[1]:x}}}\x{{{second:x}}}-\x{{10ffff}}])"
+    wanted = quick + "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges) + "]"
     return "".join(source + dropped), "".join(target), longer, wanted
 
 
@@ -177,10 +194,10 @@ def fold_ref(c: Column) -> Column:
     """:func:`fold` for a plain column or lambda variable; ASCII takes the short way."""
     source, target, longer, wanted = _fold_tables()
     forms = F.from_json(F.lit(json.dumps(longer, ensure_ascii=False)), "map<string,string>")
-    expanded = F.array_join(F.transform(
-        F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(forms, ch), ch)), "")
-    has_longer = c.rlike(wanted)
-    folded = F.when(has_longer, F.translate(expanded, source, target)).otherwise(F.translate(c, source, target))
+    # only the different characters that occur are looked up, and each of them is replaced in one go
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(wanted), F.lit(0)))
+    expanded = F.aggregate(found, c, lambda text, ch: F.replace(text, ch, F.coalesce(F.try_element_at(forms, ch), ch)))
+    folded = F.translate(F.when(c.rlike(wanted), expanded).otherwise(c), source, target)
     return F.lower(F.when(is_ascii(c), c).otherwise(folded))
 
 

@@ -523,6 +523,10 @@ CLASSIFY_REQUEST_TAIL = (
     "\n</contract_text>\n\nRespond with ONLY the JSON object as specified. No other text."
 )
 CONFLICT_WARNING = "Conflicting local matches for %s; leaving it for LLM resolution."
+PART_CONFLICT_WARNING = "The parts of the request have different answers for %s; it is left empty."
+PART_MISSING_WARNING = "%d of %d parts of the request have no answer."
+# kinds of failure of an answer
+NO_OBJECT, BAD_ANSWER = "ValueError", "ValidationError"
 FAILED_WARNING = "LLM fallback failed (%s); unresolved fields remain null."
 # no credential is ever read here, so the reason names the missing answer instead
 SKIPPED_WARNING = "LLM fallback skipped because there is no answer; unresolved fields remain null."

@@ -242,8 +242,11 @@ REQUESTS = f"""WITH {FACTS}, texts AS (SELECT *, string_split({TEXT}, {NL}) AS l
     lambda x: x IS NOT NULL), {NL}) AS snippets FROM texts)
 SELECT k AS contract_id, 1 AS part, 1 AS parts, {joined_missing(',')} AS requested, snippets, {prompt()} AS prompt FROM s"""
 
-# answers: usable unless truncated, with an unknown key, or absent
-GOOD = "k % 10 NOT IN (3, 4, 5)"
+# first answers: usable unless truncated, with an unknown key, or absent; some requests were asked in two parts
+FIRST = "k % 10 NOT IN (3, 4, 5)"
+SPLIT = "k % 7 = 3"
+SECOND = f"({SPLIT} AND k % 3 <> 2 AND k % 10 <> 5)"
+GOOD = f"({FIRST} OR {SECOND})"
 ANSWERS = {
     "internal_entity": "'Alpha Holdings'", "counterparty_contact_email": "'c' || k || '@example.com'",
     "total_contract_value": case(("k % 2 = 0", "price")), "indexation": "NULL", "currency": "'EUR'",
@@ -255,8 +258,12 @@ ANSWERS = {
 
 def answered(field: str) -> str:
     """The model's value where it was asked and its answer is usable."""
+    if field == "internal_entity":
+        return case((f"{FIRST} AND {SECOND} AND k % 3 = 1", "NULL"), (FIRST, "'Alpha Holdings'"), (f"{SECOND} AND k % 3 = 1", "'Beta Holdings'"))
+    if field == "currency":
+        return case((f"{SECOND} OR ({FIRST} AND NOT {SPLIT})", "'EUR'"))
     value = ANSWERS[field] if field in ANSWERS else "NULL"
-    return case((f"{GOOD} AND {ASKED.get(field, 'FALSE')}", value))
+    return case((f"{FIRST} AND {ASKED.get(field, 'FALSE')}", value))
 
 
 def local_locked(field: str) -> str:
@@ -290,10 +297,14 @@ FINAL_WARNINGS = "concat_ws(' | ', " + ", ".join([
     case(("k % 4 = 3", text(V.PERIODICITY_MIXED_WARNING))),
     case(("k % 10 = 5", text(V.SKIPPED_WARNING)), ("k % 10 = 3", text(V.FAILED_WARNING % "ValueError")),
          ("k % 10 = 4", text(V.FAILED_WARNING % "ValidationError")), otherwise="'checked'"),
+    case((SECOND, "'second part'")),
+    case((f"{FIRST} AND {SECOND} AND k % 3 = 1", text(V.PART_CONFLICT_WARNING % "internal_entity"))),
+    case((f"{SPLIT} AND k % 3 = 2 AND k % 10 <> 5", text(V.PART_MISSING_WARNING % (1, 2)))),
 ]) + ")"
 FINAL = f"""WITH {FACTS} SELECT k AS contract_id,
   {', '.join(final_value(f) if f in V.ROUTED_FIELDS else f'CAST(NULL AS VARCHAR) AS {f}' for f in V.ALL_FIELDS)},
-  {case(("k % 5 <> 0", PARTY_LINE), (GOOD, "'as stated'"))} AS name_quote, {case((GOOD, "'as stated'"))} AS entity_quote,
+  {case(("k % 5 <> 0", PARTY_LINE), (FIRST, "'as stated'"))} AS name_quote,
+  CASE WHEN {answered("internal_entity")} IS NOT NULL THEN 'as stated' END AS entity_quote,
   {PAYMENT_LINE} AS terms_quote, {FINAL_WARNINGS} AS warnings FROM f"""
 
 
@@ -312,9 +323,10 @@ def resolve_rows() -> str:
     FROM pairs"""
 
 
-RECOVER = f"""WITH {FACTS} SELECT k AS contract_id, k % 10 <> 3 AS recovered,
+RECOVER = f"""WITH {FACTS} SELECT k AS contract_id, 1 AS part, k % 10 <> 3 AS recovered,
   {case(("k % 10 <> 3", "'Alpha Holdings'"))} AS internal_entity,
-  {case(("k % 10 <> 3 AND k % 2 = 0", "round(price, 2)"))} AS total_contract_value FROM f WHERE k % 10 <> 5"""
+  {case(("k % 10 <> 3 AND k % 2 = 0", "round(price, 2)"))} AS total_contract_value FROM f WHERE k % 10 <> 5
+UNION ALL SELECT k, 2, TRUE, {case(("k % 3 = 1", "'Beta Holdings'"))}, NULL FROM f WHERE {SECOND}"""
 
 # --- raw values --------------------------------------------------------------
 

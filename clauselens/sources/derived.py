@@ -138,8 +138,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extraction_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(contract_id, attempt, response): chat envelopes per contract, about a tenth without any.
+    """(contract_id, part, parts, attempt, response): chat envelopes per contract, about a tenth without any.
 
+    By k % 7: 3 was asked in two parts, without a currency in the first answer; by k % 3: 0 has it in the second, 1 has
+    another entity in the second as well, 2 has no second answer.
     The envelope that counts is attempt 2.  By k % 4: 1 has an earlier good answer with another entity, 2 a
     later one that was cut off, 3 the same one twice.
     By k % 10: 1 fenced, 2 with prose before it, 3 truncated, 4 with an unknown key,
@@ -166,35 +168,53 @@ def extraction_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     quoted = '{"quote": "as stated", "note": null, "derived": false}'
     empty = '{"quote": null, "note": null, "derived": false}'
-    fields = F.concat_ws(", ", *[
-        F.when(cond, F.concat(F.lit(f'"{f}": '), value)) for f, (cond, value) in asked.items()])
-    evidence = F.concat_ws(", ", *[
-        F.when(cond, F.concat(F.lit(f'"{f}": '), F.when(value == "null", empty).otherwise(quoted)))
-        for f, (cond, value) in asked.items()])
-    extra = F.when(k % 10 == 4, F.lit('"surprise": 1, ')).otherwise("")
-    body = F.concat(F.lit("{"), extra, fields, F.lit(', "evidence": {'), evidence, F.lit('}, "warnings": ["checked"]}'))
+
+    def body(values: dict[str, Column], extra: Column, warning: str) -> Column:
+        chosen = {f: (cond, values.get(f, F.lit("null"))) for f, (cond, _) in asked.items()}
+        fields = F.concat_ws(", ", *[
+            F.when(cond, F.concat(F.lit(f'"{f}": '), value)) for f, (cond, value) in chosen.items()])
+        evidence = F.concat_ws(", ", *[
+            F.when(cond, F.concat(F.lit(f'"{f}": '), F.when(value == "null", empty).otherwise(quoted)))
+            for f, (cond, value) in chosen.items()])
+        return F.concat(F.lit("{"), extra, fields, F.lit(', "evidence": {'), evidence, F.lit(f'}}, "warnings": ["{warning}"]}}'))
+
+    def envelope_of(content: Column) -> Column:
+        return F.concat(F.lit('{"choices": [{"message": {"content": '), content, F.lit("}}]}"))
+
+    split = k % 7 == 3
+    all_values = {f: value for f, (_, value) in asked.items()}
+    first_values = {**all_values, "currency": F.when(split, "null").otherwise(all_values["currency"])}
+    other_entity = F.when(k % 3 == 1, '"Beta Holdings"').otherwise("null")
+    second = envelope_of(_json_string(body(
+        {"currency": all_values["currency"], "internal_entity": other_entity}, F.lit(""), "second part")))
+    body_1 = body(first_values, F.when(k % 10 == 4, F.lit('"surprise": 1, ')).otherwise(""), "checked")
     text = (
-        F.when(k % 10 == 1, F.concat(F.lit(f"{FENCE}json\n"), body, F.lit(f"\n{FENCE}")))
-        .when(k % 10 == 2, F.concat(F.lit("Here {is} the answer: "), body, F.lit(" Done.")))
-        .when(k % 10 == 3, F.substring(body, 1, 60))
-        .otherwise(body)
+        F.when(k % 10 == 1, F.concat(F.lit(f"{FENCE}json\n"), body_1, F.lit(f"\n{FENCE}")))
+        .when(k % 10 == 2, F.concat(F.lit("Here {is} the answer: "), body_1, F.lit(" Done.")))
+        .when(k % 10 == 3, F.substring(body_1, 1, 60))
+        .otherwise(body_1)
     )
     content = F.when(
         k % 10 == 6, F.to_json(F.array(F.struct(F.lit("text").alias("type"), text.alias("text"))))
     ).otherwise(_json_string(text))
-    envelope = F.concat(F.lit('{"choices": [{"message": {"content": '), content, F.lit("}}]}"))
-    def attempt(number: int, response: Column) -> Column:
-        return F.struct(F.lit(number).alias("attempt"), response.alias("response"))
+    envelope = envelope_of(content)
+
+    def attempt(number: int, response: Column, part: int = 1) -> Column:
+        parts = F.when(split, 2).otherwise(1)
+        return F.struct(F.lit(part).alias("part"), parts.alias("parts"), F.lit(number).alias("attempt"), response.alias("response"))
 
     usable = ~(k % 10).isin(3, 4)
+    has_second = split & (k % 3 != 2)
     attempts = F.array_compact(F.array(
         attempt(2, envelope),
         F.when((k % 4 == 1) & usable, attempt(1, F.replace(envelope, F.lit("Alpha Holdings"), F.lit("Old Holdings")))),
         F.when((k % 4 == 2) & usable, attempt(3, F.substring(envelope, 1, 50))),
         F.when(k % 4 == 3, attempt(2, envelope)),
+        F.when(has_second, attempt(1, second, 2)),
+        F.when(has_second & (k % 4 == 2), attempt(2, F.substring(second, 1, 70), 2)),
     ))
     rows = _order_facts(spark, sf_dir).filter(k % 10 != 5).select(k.alias("contract_id"), F.explode(attempts).alias("x"))
-    return rows.select("contract_id", "x.attempt", "x.response")
+    return rows.select("contract_id", "x.*")
 
 
 def line_json(template: str, *values: Column) -> Column:
