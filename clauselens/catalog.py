@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,12 @@ from clauselens.operators import prepare as P
 from clauselens.operators import resolve as R
 from clauselens.operators import responses as S
 from clauselens.operators import risk as K
+from clauselens.operators import similar as M
 from clauselens.plans import extraction as E
 from clauselens.plans import scoring as C
-from clauselens.session import configure
+from clauselens.session import configure, shared_dir
 from clauselens.sources import derived as D
-from clauselens.sources.contracts import fan_out
+from clauselens.sources.contracts import fan_out, read_contract_store, read_records, write_contracts, write_extractions
 
 Query = Callable[[SparkSession, str], DataFrame]
 ID = P.ID
@@ -52,7 +54,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.classify(_customers(spark, sf_dir), D.MODELS, D.classification_responses(spark, sf_dir))
+    return C.classify(_customers(spark, sf_dir), D.MODELS, D.classification_responses(spark, sf_dir), texts=False)
 
 
 def total_value(contracts: DataFrame) -> DataFrame:
@@ -139,13 +141,41 @@ def recovered_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _call(call: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         fields = S.CALLS[call][0]
-        checked = S.validate_call(D.classification_responses(spark, sf_dir).where("attempt = 2"), call)
+        checked = S.validate_call(D.classification_responses(spark, sf_dir), call, texts=False)
         flat = [F.array_join(f, "; ").alias(f) if t == S.STRINGS else F.col(f) for f, t in fields.items()]
         return checked.select(ID, "model", *flat, "error")
 
     return run
 
 
+def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw texts that the merged records keep."""
+    records = C.classify(_customers(spark, sf_dir), D.MODELS, D.classification_responses(spark, sf_dir))
+    return records.select(ID, "model", *[F.md5(f"{p}raw_response").alias(f"{p}raw_response") for p in ("", "sector_", "risk_vector_")])
+
+
+def call_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.reject_reasons(D.classification_responses(spark, sf_dir))
+
+
+ROUND_TRIP = ["primary_contract_type", "counterparty_name", "payment_terms_days", "termination_notice_days", "currency", "auto_renewal"]
+
+
+def file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts to files, files to contracts, contracts to records, records to files and back, each written twice."""
+    folder = f"{shared_dir(spark)}/round-trip-{uuid.uuid4().hex}"
+    contracts = D.supplier_contracts(spark, sf_dir)
+    write_contracts(contracts, f"{folder}/texts")
+    write_contracts(contracts.where(F.crc32(ID) % 2 == 0), f"{folder}/texts")  # again: the same files
+    records = E.extract_contracts(read_contract_store(spark, f"{folder}/texts"))
+    bucketed = records.withColumn("bucket", F.right(ID, F.lit(6)).cast("int") % 4)
+    for part in (bucketed, bucketed.where("bucket = 1")):
+        write_extractions(part, f"{folder}/records", mode="overwrite", partition="bucket")
+    back = read_records(spark, f"{folder}/records", bucketed.schema)
+    return back.select(ID, "bucket", *ROUND_TRIP, F.col("evidence.counterparty_name.quote").alias("name_quote"), F.array_join(
+        "warnings", " | ").alias("warnings"))
+
+
 def merged_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(spark, sf_dir).select(
         ID, "model", "contract_type_primary", "governing_law", "jurisdiction_country",
@@ -169,6 +199,31 @@ def similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
         ID, "governing_law_category", *[F.round(F.element_at("features", k), 9).alias(k) for k in K.SIMILARITY_KEYS])
 
 
+NEIGHBOURS = 5
+
+
+def similar_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contracts most similar to every twentieth one, among all under the same category of law."""
+    value = (F.col(ID) % 50 + 1) * 1000.0
+    vectors = K.similarity_vector(K.assemble(D.claims(spark, sf_dir)), value)
+    rows = vectors.select(F.col(ID).alias("id"), F.col("governing_law_category").alias("category"), F.array(*[
+        F.element_at("features", k) for k in K.SIMILARITY_KEYS]).alias("vector"))
+    return M.similar(rows, NEIGHBOURS, F.col("id") % 20 == 0).withColumnRenamed("id", ID)
+
+
+def similar_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search over the embeddings, filtered by their label."""
+    rows = D.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("label").alias("category"), F.col("embedding").cast("array<double>").alias("vector"))
+    return M.similar(rows, NEIGHBOURS, F.col("id") % 20 == 0)
+
+
+def median_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = (F.col(ID) % 50 + 1) * 1000.0
+    filled = K.median_filled(K.assemble(D.claims(spark, sf_dir)), value)
+    return filled.select(ID, "category", *[F.round(k, 9).alias(k) for k in K.SIMILARITY_KEYS], F.array_join("imputed", ",").alias("imputed"))
+
+
 def best_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = K.best_claims(D.claims(spark, sf_dir))
     families = list(dict.fromkeys(f for f, _, _ in K.SIGNALS.values()))
@@ -314,10 +369,16 @@ QUERIES: dict[str, Query] = {
     "sector_answers": _call("sector"),
     "risk_answers": _call("risk"),
     "merged_record": merged_record,
+    "raw_responses": raw_responses,
+    "call_rejects": call_rejects,
+    "file_round_trip": file_round_trip,
     "model_consensus": lambda spark, sf_dir: C.model_consensus(_records(spark, sf_dir)),
     "jurisdiction_counts": lambda spark, sf_dir: C.jurisdiction_counts(_records(spark, sf_dir)),
     "assemble_vector": assembled,
     "similarity_vector": similarity,
+    "similar_contracts": similar_contracts,
+    "similar_embeddings": similar_embeddings,
+    "median_filled": median_filled,
     "best_claim": best_claim,
     "enriched": enriched,
     "numeric_vector": numeric_vector,

@@ -383,6 +383,31 @@ RISK_VALUES = {
 RISKS = f"""risks AS (SELECT c, model, {RISK_ERROR} AS error,
   {', '.join(f'CASE WHEN {RISK_ERROR} IS NULL THEN {v} END AS {n}' for n, v in RISK_VALUES.items())} FROM p)"""
 
+REJECTS = f"""WITH {TYPES}, {SECTORS}, {RISKS}, tries AS (SELECT 'type' AS call, error AS reason, c FROM types
+  UNION ALL SELECT 'sector', error, c FROM sectors UNION ALL SELECT 'risk', error, c FROM risks), again AS (SELECT call, reason FROM tries
+  UNION ALL SELECT call, {text(V.ERR_NULL_CONTENT)} FROM tries WHERE c % 4 = 0 AND c % 10 NOT IN (3, 4, 5, 6, 7))
+SELECT call, reason, count(*) AS responses FROM again WHERE reason IS NOT NULL GROUP BY call, reason"""
+# the texts of the three answers, as they are composed
+TYPE_RAW = """'{"contract_type_primary":"' || CASE WHEN model = 'model-b' AND c % 6 = 0 THEN ' SUPPLY_AND_TRADE '
+    ELSE ['SERVICES','SUPPLY_AND_TRADE','FINANCE_AND_TREASURY'][c % 3 + 1] END || '","contract_type_secondary":'
+  || CASE WHEN c % 4 <> 0 THEN '["DATA_PRIVACY"]' ELSE 'null' END || ',"subject_matter":" Real Estate & Facilities","governing_law":"'
+  || ['English law', 'N/A', ' null ', 'French law'][c % 4 + 1] || '","jurisdiction_city":"' || CASE WHEN c % 3 = 0 THEN ' Paris' ELSE 'null' END
+  || '","jurisdiction_country":"' || CASE WHEN c % 3 = 0 AND c % 9 <> 0 THEN 'fr' WHEN c % 10 = 5 THEN 'gb' ELSE '' END
+  || '","jurisdiction_court_type":"' || CASE WHEN c % 3 = 0 AND c % 9 <> 0 AND c % 10 <> 5 THEN 'commercial' ELSE 'N/A' END
+  || '","contract_language":"English "}'"""
+SECTOR_RAW = """CASE WHEN c % 5 = 0 THEN '{"regulated_sectors":[" N/A "]}' WHEN c % 3 = 0 THEN '{"regulated_sectors":[" Energy ","Transport"]}' ELSE '{}' END"""
+RISK_RAW = """'{"counterparty_leverage": "' || ['supplier', ' Customer ', 'BALANCED', 'whoever'][c % 4 + 1] || '", "termination_risk": '
+  || ['4', '9', '"2"', 'null'][c % 4 + 1] || ', "data_sensitivity": ' || (c % 7) || ', "ip_ownership_risk": null, "payment_risk": '
+  || ['3.9', 'true', '-2'][c % 3 + 1] || ', "confidentiality_scope": "mutual", "liability_cap_adequacy": ' || (1 + c % 5) || '}'"""
+RAW_RESPONSES = f"""WITH {PEOPLE} SELECT c AS contract_id, model, CASE WHEN {TYPE_ERROR} IS NULL THEN md5({TYPE_RAW}) END AS raw_response,
+  CASE WHEN {SECTOR_ERROR} IS NULL AND c % 10 <> 8 THEN md5({SECTOR_RAW}) END AS sector_raw_response,
+  CASE WHEN {RISK_ERROR} IS NULL THEN md5({RISK_RAW}) END AS risk_vector_raw_response FROM p"""
+ROUND_TRIP = f"""SELECT printf('S_%06d', k) AS contract_id, (k % 4)::INTEGER AS bucket, 'SERVICES' AS primary_contract_type,
+  'Northwind ' || k AS counterparty_name, CASE WHEN k % 3 <> 0 THEN (15 + k % 76)::INTEGER END AS payment_terms_days,
+  CASE WHEN k % 4 <> 0 THEN (30 + k % 61)::INTEGER END AS termination_notice_days, NULL::VARCHAR AS currency,
+  CASE WHEN k % 5 = 0 THEN FALSE END AS auto_renewal, 'Customer: Northwind ' || k AS name_quote, {text(V.SKIPPED_WARNING)} AS warnings
+FROM (SELECT s_suppkey AS k FROM supplier)"""
+
 # --- claims from lineitem ----------------------------------------------------
 
 FAMILIES = strings([
@@ -477,6 +502,30 @@ SIMILARITY = {
 SIMILARITY_SQL = f"""WITH {VECTORS}, x AS (SELECT *, (contract_id % 50 + 1) * 1000.0::DOUBLE AS val FROM vectors)
 SELECT contract_id, governing_law_category, {', '.join(f'round(CAST({v} AS DOUBLE), 9) AS {k}' for k, v in SIMILARITY.items())} FROM x"""
 
+
+
+def neighbours(rows: str, k: int) -> str:
+    """The k most similar rows to every twentieth one in (id, category, v)."""
+    return f"""{rows}, u AS (SELECT id, category, v, sqrt(list_dot_product(v, v)) AS len FROM r),
+p AS (SELECT a.id, b.id AS similar_id, round(list_dot_product(a.v, b.v) / (a.len * b.len), 9) AS similarity
+  FROM u a JOIN u b ON a.id % 20 = 0 AND a.category IS NOT DISTINCT FROM b.category AND a.id <> b.id WHERE a.len > 0 AND b.len > 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY similarity DESC, similar_id) AS rank FROM p)"""
+
+
+SIMILAR_SQL = neighbours(f"""WITH {VECTORS}, x AS (SELECT *, (contract_id % 50 + 1) * 1000.0::DOUBLE AS val FROM vectors),
+r AS (SELECT contract_id AS id, governing_law_category AS category, [{', '.join(f'CAST({v} AS DOUBLE)' for v in SIMILARITY.values())}] AS v FROM x)""", 5)
+EMBEDDING_SQL = neighbours("WITH r AS (SELECT vec_id AS id, label AS category, embedding::DOUBLE[] AS v FROM embeddings)", 5)
+UNKNOWN = {
+    "cap_level": "NOT coalesce((cap_is_fees_multiple AND cap_multiplier IS NOT NULL) OR cap_amount_raw IS NOT NULL, FALSE)",
+    "notice_period_norm": "convenience_notice_days IS NULL", "renewal_notice_norm": "non_renewal_notice_days IS NULL",
+}
+MEDIAN_SQL = f"""WITH {VECTORS}, x AS (SELECT *, (contract_id % 50 + 1) * 1000.0::DOUBLE AS val FROM vectors),
+y AS (SELECT contract_id, governing_law_category AS category, {', '.join(
+    f'CAST({v} AS DOUBLE) AS {k}' if k not in UNKNOWN else f'CASE WHEN NOT ({UNKNOWN[k]}) THEN CAST({v} AS DOUBLE) END AS {k}' for k, v in SIMILARITY.items())} FROM x),
+m AS (SELECT category AS c, {', '.join(f'quantile_disc({k}, 0.5) AS m_{k}' for k in UNKNOWN)} FROM y GROUP BY category)
+SELECT contract_id, category, {', '.join(f'round(coalesce({k}, m_{k}, 0.5), 9) AS {k}' if k in UNKNOWN else f'round({k}, 9) AS {k}' for k in SIMILARITY)},
+  concat_ws(',', {', '.join(f"CASE WHEN {k} IS NULL THEN '{k}' END" for k in UNKNOWN)}) AS imputed FROM y JOIN m ON category IS NOT DISTINCT FROM c"""
+
 SIGNAL_FAMILIES = list(dict.fromkeys(f for f, _, _ in SIGNALS.values()))
 BEST = f"""{CLAIMS}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY contract_id, family ORDER BY conf DESC, seq) AS rn FROM claims
@@ -675,6 +724,9 @@ ORACLES: dict[str, str] = {
     "merge_answers": merged_rows(),
     "final_record": FINAL,
     "fan_out": f"WITH {PEOPLE} SELECT model, count(*) AS contracts, sum(c) AS id_sum FROM p GROUP BY model",
+    "call_rejects": REJECTS,
+    "raw_responses": RAW_RESPONSES,
+    "file_round_trip": ROUND_TRIP,
     "type_answers": f"WITH {TYPES} SELECT c AS contract_id, * EXCLUDE (c) FROM types",
     "sector_answers": f"WITH {PEOPLE}, {SECTORS} SELECT c AS contract_id, * EXCLUDE (c) FROM sectors",
     "risk_answers": f"WITH {PEOPLE}, {RISKS} SELECT c AS contract_id, * EXCLUDE (c) FROM risks",
@@ -691,6 +743,9 @@ ORACLES: dict[str, str] = {
       FROM types GROUP BY 1, 2, 3""",
     "assemble_vector": ASSEMBLE,
     "similarity_vector": SIMILARITY_SQL,
+    "similar_contracts": SIMILAR_SQL + " SELECT id AS contract_id, rank::INTEGER AS rank, similar_id, similarity FROM n WHERE rank <= 5",
+    "similar_embeddings": EMBEDDING_SQL + " SELECT id, rank::INTEGER AS rank, similar_id, similarity FROM n WHERE rank <= 5",
+    "median_filled": MEDIAN_SQL,
     "best_claim": f"""WITH {BEST} SELECT contract_id, {', '.join(f"{best_value(f, 'conf')} AS {f}_confidence" for f in SIGNAL_FAMILIES)}
       FROM best GROUP BY contract_id""",
     "enriched": f"WITH {SIGNAL_ROWS} SELECT * FROM signals",

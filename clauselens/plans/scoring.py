@@ -13,9 +13,9 @@ from clauselens.sources.contracts import fan_out
 SCORE_COLUMNS = ["vector", "score", "flags", "explanation"]
 
 
-def classify(contracts: DataFrame, models: list[str], responses: DataFrame) -> DataFrame:
-    """One merged classification record per contract and model."""
-    return merge_calls(fan_out(contracts.select(ID), models), responses)
+def classify(contracts: DataFrame, models: list[str], responses: DataFrame, texts: bool = True) -> DataFrame:
+    """One merged classification record per contract and model, with the raw texts unless they are not wanted."""
+    return merge_calls(fan_out(contracts.select(ID), models), responses, texts)
 
 
 def score_contracts(records: DataFrame, claims: DataFrame | None = None, weights: Weights | None = None) -> DataFrame:

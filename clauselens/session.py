@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,3 +60,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate results: as :func:`checkpoint_dir`; an own one only where none is named and all
+    tasks run on this machine anyway."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local["):
+            return checkpoint_dir(spark)
+        folder = tempfile.mkdtemp(prefix="clauselens-shared-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage: the rows are written to the shared folder once and read from there, also by later plans."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

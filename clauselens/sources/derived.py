@@ -131,6 +131,19 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_facts(spark, sf_dir).select(k.alias("contract_id"), F.concat_ws("\n", *lines).alias("text"))
 
 
+def supplier_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(contract_id, text): a short contract per supplier, for files."""
+    k = F.col("s_suppkey")
+    lines = [
+        F.lit("SERVICES AGREEMENT"),
+        F.format_string("Customer: Northwind %d", k),
+        F.when(k % 3 != 0, F.format_string("Fees are payable within %d days.", 15 + k % 76)),
+        F.when(k % 4 != 0, F.format_string("Either party may terminate on %d days notice.", 30 + k % 61)),
+        F.when(k % 5 == 0, F.lit("No automatic renewal applies.")),
+    ]
+    return table(spark, sf_dir, "supplier").select(F.format_string("S_%06d", k).alias("contract_id"), F.concat_ws("\n", *lines).alias("text"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(contract_id, text) of the raw document table."""
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("contract_id"), "text")

@@ -2,6 +2,7 @@ import json
 import uuid
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from clauselens.functions import vocab as V
@@ -268,7 +269,7 @@ def test_local_flow_has_no_shuffle(spark):
 def exchanges(node):
     """Names of the columns that each shuffle of a plan carries."""
     if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
-        node = node.inputPlan()
+        node = node.initialPlan()
     found = []
     if node.getClass().getSimpleName() == "ShuffleExchangeExec":
         out = node.output()
@@ -288,6 +289,7 @@ def test_flow_shuffles_candidates_not_texts(spark, sf):
         # candidates, answers by part (retries are reduced before), answers by contract
         assert text.count("Exchange hashpartitioning(contract_id") == 3
         joined = answered_contracts(contracts, answers)._jdf.queryExecution().executedPlan()
+        assert len(exchanges(joined)) >= 3
         for shuffled in exchanges(joined):
             assert not {"text", "lines", "response", "message", "v"} & set(shuffled)
     finally:
@@ -353,3 +355,44 @@ def test_derived_tables_are_deterministic(spark, sf):
     a = D.contracts(spark, sf).agg(F.sum(F.xxhash64("text").cast("decimal(38,0)"))).first()[0]
     b = D.contracts(spark, sf).repartition(5).agg(F.sum(F.xxhash64("text").cast("decimal(38,0)"))).first()[0]
     assert a == b
+
+
+def test_retries_of_a_call_give_one_row(spark):
+    good = json.dumps({"regulated_sectors": ["Energy"]})
+    rows = [(1, "m", "sector", c, 1.0, a) for a, c in ((1, good), (2, good.replace("Energy", "Transport")), (3, None), (4, "{"))]
+    for part in (rows, rows[::-1]):
+        frame = spark.createDataFrame(part, "contract_id long, model string, call string, content string, elapsed_s double, attempt int")
+        got = S.validate_call(frame, "sector").collect()
+        assert [(r.regulated_sectors, r.error, r.raw_response) for r in got] == [(["Transport"], None, good.replace("Energy", "Transport"))]
+
+
+def test_records_shuffle_no_raw_texts(spark, sf):
+    people = D.table(spark, sf, "customer").select(F.col("c_custkey").alias("contract_id"))
+    responses = D.classification_responses(spark, sf)
+    records = classify(people, D.MODELS, responses, texts=False)
+    shuffled = exchanges(records._jdf.queryExecution().executedPlan())
+    assert shuffled and all(not {"content", "found", "raw", "body"} & set(names) for names in shuffled)
+    # the chosen texts come back by their digests; counts of rejected answers come from the same pass
+    seen = Observation("rejects")
+    whole = S.merge_calls(C.fan_out(people, D.MODELS), responses, observation=seen)
+    kept = whole.select("contract_id", "model", "raw_response", "error").collect()
+    assert all((r.raw_response is not None) == (r.error is None) for r in kept)
+    rejects = {r.call: 0 for r in S.reject_reasons(responses).collect()}
+    for r in S.reject_reasons(responses).collect():
+        rejects[r.call] += r.responses
+    counts = seen.get
+    assert {c: counts[f"{c}_rejected"] for c in rejects} == rejects
+    assert counts["type_responses"] == responses.where("call = 'type'").count()
+
+
+def test_partitions_are_replaced(spark, tmp_path):
+    rows = spark.createDataFrame([(f"S_{i}", i % 2, None) for i in range(10)], "contract_id string, bucket int, note string")
+    for part in (rows, rows.where("bucket = 1"), rows.where("bucket = 1")):
+        C.write_records(part, str(tmp_path / "r"), mode="overwrite", partition="bucket")
+    back = C.read_records(spark, str(tmp_path / "r"), rows.schema)
+    assert sorted(map(str, back.select(rows.columns).collect())) == sorted(map(str, rows.collect()))
+    texts = spark.createDataFrame([("a_1", "x\n\ny"), ("b_2", ""), ("c 3", "é\n")], "contract_id string, text string")
+    C.write_contracts(texts, str(tmp_path / "t"))
+    C.write_contracts(texts.where("contract_id = 'a_1'"), str(tmp_path / "t"))
+    got = {r.contract_id: r.text for r in C.read_contract_store(spark, str(tmp_path / "t")).collect()}
+    assert got == {"a_1": "x\n\ny", "b_2": "", "c 3": "é\n"}
