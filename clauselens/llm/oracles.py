@@ -148,12 +148,17 @@ def rules_sql() -> str:
     def any_of(words: list[str]) -> str:
         return "|".join(w.replace("'", "''") for w in words)
 
+    rules = quality_rules
     separator = rf"(?:^|{SPACE})(?:\||>|»|›|•|·)(?:{SPACE}|$)"
     marks = f"len(regexp_extract_all(line, '{separator}'))"
     symbols = "len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|<>]$')))"
-    fails = rf"""({marks} >= 2 AND 4 * {marks} >= len(w)) OR regexp_full_match(line, '(?i)\W*(?:(?:{any_of(quality_rules.NAVIGATION)})\b\W*){{2,}}')
-    OR 2 * {symbols} > len(w) OR (regexp_matches(line, '(?i){any_of(quality_rules.BOILERPLATE)}') AND len(w) < 40
-      AND NOT regexp_matches(line, '[.!?:;"'')\]”’…»]{SPACE}*$'))"""
+    wording = f"len(regexp_extract_all(array_to_string(regexp_extract_all(line, '(?i){any_of(rules.BOILERPLATE)}'), ' '), '{WORD}'))"
+    closers = rules.CLOSERS.replace("'", "''").replace("]", "\\]")
+    ends = f"regexp_matches(line, '[{rules.END_MARKS}][{closers}]*{SPACE}*$')"
+    capitals = "len(list_filter(w, lambda x: regexp_matches(x, '^\\p{Lu}')))"
+    fails = rf"""({marks} >= 2 AND 4 * {marks} >= len(w)) OR regexp_full_match(line, '(?i)\W*(?:(?:{any_of(rules.NAVIGATION)})\b\W*){{2,}}')
+    OR 2 * {symbols} > len(w) OR ({wording} > 0 AND {wording} >= {rules.NOTICE_SHARE}::DOUBLE * len(w))
+    OR (NOT {ends} AND (len(w) < {rules.SHORT} OR (len(w) >= {rules.LEAST_CAPITALS} AND {capitals} >= {rules.CAPITALS}::DOUBLE * len(w))))"""
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
 lines AS (SELECT doc_id, line, regexp_extract_all(line, '{WORD}') AS w FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
 judged AS (SELECT doc_id, line, strlen(array_to_string(w, '')) AS size, ({fails}) AS fails FROM lines WHERE len(w) > 0),

@@ -1,9 +1,12 @@
 """Line-first cleaning: rules per line, failing lines removed, documents that lose too much rejected.
 
-A line with words fails if it has no sentence punctuation and looks like navigation (separators or
-only short entries), if it carries boilerplate wording, or if most of its words end in symbols.
-With ``notices`` boilerplate wording is judged whatever the line ends with: a line fails as well if the
-wording fills at least ``NOTICE_SHARE`` of its words, so notices go and prose that mentions one stays.
+A line with words fails if
+ - navigation: separators stand between its words, or it is nothing but entries of menus, or it has no end mark and nearly
+   all of its words begin with a capital letter, as menus and headlines run together do;
+ - punctuation: it has no end mark and fewer than ``SHORT`` words, or most of its words end in symbols;
+ - boilerplate: notices' wording fills at least ``NOTICE_SHARE`` of its words, whatever it ends with, so notices go and
+   prose that mentions such wording stays.
+An end mark is a sign that ends a sentence, a clause or an introduction, closing quotes and brackets behind it included.
 A document is rejected if its failing lines hold more than ``max_loss`` of its word characters.
 Words are runs without ASCII white space; lines are split at newlines.
 
@@ -15,6 +18,7 @@ other columns are left alone.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,21 +31,28 @@ from clauselens.llm.common import text_bytes, text_column, with_text
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOSS = 0.3
-NOTICE_SHARE = 0.1
+NOTICE_SHARE = 0.15
+# words of a line that needs an end mark, and the share of capitals that makes a menu of a line without one
+SHORT = 8
+CAPITALS, LEAST_CAPITALS = 0.8, 3
 SYMBOLS = b"#*$%&|<>"
 # fixed values: wording of page furniture and licence notices, in lower case
 BOILERPLATE = [
-    "all rights reserved", "cookie policy", "cookies", "copyright", "enable javascript", "javascript is disabled",
-    "licensed under", "lorem ipsum", "mentions légales", "privacy policy", "alle rechte vorbehalten",
-    "tous droits réservés", "todos los derechos reservados", "sign in", "sign up", "skip to content",
-    "subscribe to our newsletter", "terms of service", "terms of use",
+    "accept cookies", "all rights reserved", "alle rechte vorbehalten", "allgemeine geschäftsbedingungen", "cookie policy",
+    "cookie settings", "copyright ©", "datenschutzerklärung", "enable javascript", "javascript is disabled", "licensed under",
+    "lorem ipsum", "mentions légales", "política de privacidad", "politique de confidentialité", "privacy policy",
+    "sign in to", "sign up for our", "skip to content", "skip to main content", "subscribe to our newsletter",
+    "terms and conditions", "terms of service", "terms of use", "todos los derechos reservados", "tous droits réservés",
+    "use cookies", "use of cookies", "uses cookies",
 ]
 # fixed values: entries of menus, in lower case
 NAVIGATION = [
     "about", "accueil", "blog", "categories", "contact", "faq", "help", "home", "inicio", "kontakt", "login", "menu",
     "news", "next", "previous", "privacy", "search", "share", "sitemap", "startseite",
 ]
-ENDS = re.compile(rb"[.!?:;\"')\]]\s*$|(?:\xe2\x80[\x9d\x99\xa6]|\xc2\xbb)\s*$")
+# fixed values: signs that end a sentence, a clause or an introduction, and what may close behind them
+END_MARKS, CLOSERS = ".!?:;…。！？؟۔।॥", "\"')]”’»"
+ENDS = re.compile("(?:{})(?:{})*[\\x20\\x09-\\x0D]*\\Z".format(*["|".join(map(re.escape, x)) for x in (END_MARKS, CLOSERS)]).encode())
 SEPARATOR = re.compile(rb"(?:^|[\x20\x09-\x0D])(?:\||>|\xc2\xbb|\xe2\x80\xba|\xe2\x80\xa2|\xc2\xb7)(?:[\x20\x09-\x0D]|$)")
 FURNITURE = re.compile("|".join(re.escape(b) for b in BOILERPLATE).encode(), re.I)
 # possessive, so that a long menu with something else in it costs no backtracking
@@ -54,15 +65,26 @@ def wording_fills(line: bytes, words: int) -> bool:
     return sum(len(m.split()) for m in FURNITURE.findall(line)) >= NOTICE_SHARE * words
 
 
-def line_fails(line: bytes, words: int, notices: bool = False) -> str | None:
+def capital_run(words: list[bytes]) -> bool:
+    """Do nearly all words begin with a capital letter?"""
+    capitals = sum(unicodedata.category(w.decode("utf-8", "replace")[0]) == "Lu" for w in words)
+    return len(words) >= LEAST_CAPITALS and capitals >= CAPITALS * len(words)
+
+
+def line_fails(line: bytes, words: list[bytes]) -> str | None:
     """The rule that a line with words breaks, if any."""
     marks = len(SEPARATOR.findall(line))
-    if marks >= 2 and 4 * marks >= words or MENU.fullmatch(line):
+    if marks >= 2 and 4 * marks >= len(words) or MENU.fullmatch(line):
         return "navigation"
-    if len(SYMBOL_END.findall(line)) * 2 > words:
+    if len(SYMBOL_END.findall(line)) * 2 > len(words):
         return "punctuation"
-    if FURNITURE.search(line) and (words < 40 and not ENDS.search(line) or notices and wording_fills(line, words)):
+    if FURNITURE.search(line) and wording_fills(line, len(words)):
         return "boilerplate"
+    if not ENDS.search(line):
+        if capital_run(words):
+            return "navigation"
+        if len(words) < SHORT:
+            return "punctuation"
     return None
 
 
@@ -90,7 +112,7 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def judge(text: bytes, max_loss: float = MAX_LOSS, notices: bool = False) -> dict[str, object]:
+def judge(text: bytes, max_loss: float = MAX_LOSS) -> dict[str, object]:
     """All figures and the verdict for one text."""
     words = text.split()
     seen: set[bytes] = set()
@@ -101,7 +123,7 @@ def judge(text: bytes, max_loss: float = MAX_LOSS, notices: bool = False) -> dic
         if own:
             duplicates += line in seen
             seen.add(line)
-            rule = line_fails(line, len(own), notices)
+            rule = line_fails(line, own)
             if rule:
                 broken[rule] += 1
                 lost += sum(map(len, own))
@@ -129,12 +151,11 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 def clean_lines(
     docs: DataFrame, text: str = "text", keep: list[str] | None = None, max_loss: float = MAX_LOSS,
-    notices: bool = False,
 ) -> DataFrame:
     """(doc, figures, kept, cleaned): doc holds the kept columns (default all); nothing is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [judge(t, max_loss, notices) for t in text_bytes(text_column(batch, text))]
+            rows = [judge(t, max_loss) for t in text_bytes(text_column(batch, text))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([r[n] for r in rows], t) for n, t in FIELDS.items()]],
                 names=["doc", *FIELDS])
