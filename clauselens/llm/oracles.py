@@ -213,18 +213,18 @@ cells AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS nr
 lines AS (SELECT *, coalesce(sum(len(line) + 1) OVER (PARTITION BY doc_id ORDER BY nr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM cells),
 base AS ({found}),
 names AS (SELECT DISTINCT doc_id, nr, kind || ':' || lower(value) AS name FROM base),
-held AS (SELECT name, line, count(*) AS times FROM names JOIN lines USING (doc_id, nr) GROUP BY name, line),
-said AS (SELECT name, times, unnest(list_distinct(list_transform(regexp_extract_all(line, '{PLAIN_TERM}'), lambda x: lower(x)))) AS term,
-  string_split_regex(regexp_replace(name, '^[a-z]+:', ''), '{SPACE}+') AS parts FROM held),
-pairs AS (SELECT name, term, sum(times) AS n_both FROM said
-  WHERE NOT list_bool_or(list_transform(parts, lambda p: contains(p, term) OR contains(term, p)))
-  GROUP BY name, term HAVING count(*) >= {pii.SUPPORT}),
 total AS (SELECT count(*) AS n FROM lines WHERE regexp_matches(line, '{WORD}')),
+entity AS (SELECT name, count(*) AS n_entity FROM names GROUP BY name),
+held AS (SELECT * FROM lines WHERE (doc_id, nr) IN (SELECT doc_id, nr FROM names)),
+near AS ({located(PLAIN_TERM, 'held', 'doc_id, nr')}),
+said AS (SELECT DISTINCT name, doc_id, nr, lower(value) AS term FROM near JOIN names USING (doc_id, nr) WHERE NOT EXISTS (
+  SELECT 1 FROM base b WHERE b.doc_id = near.doc_id AND b.kind || ':' || lower(b.value) = name AND b.start < near.finish AND near.start < b.finish)),
+pairs AS (SELECT name, term, count(*) AS n_both FROM said GROUP BY name, term),
 terms AS (SELECT term, count(*) AS n_term FROM (SELECT unnest(list_distinct(list_transform(
   regexp_extract_all(line, '{PLAIN_TERM}'), lambda x: lower(x)))) AS term FROM lines) WHERE term IN (SELECT term FROM pairs) GROUP BY term),
-entity AS (SELECT name, sum(times) AS n_entity FROM held GROUP BY name),
-rated AS (SELECT name, term, round(log2((n * n_both)::DOUBLE / (n_term * n_entity)::DOUBLE) / log2(n::DOUBLE / n_entity::DOUBLE), 9) AS reveals
-  FROM pairs JOIN terms USING (term) JOIN entity USING (name), total WHERE n > n_entity),
+scored AS (SELECT name, term, n, n_entity, log2((n * n_both / n_entity::DOUBLE + {pii.SHRINK}) / (n_term + {pii.SHRINK})::DOUBLE) AS bits
+  FROM pairs JOIN terms USING (term) JOIN entity USING (name), total WHERE n_entity * {2**pii.MIN_BITS} <= n),
+rated AS (SELECT name, term, round(bits / log2(n::DOUBLE / n_entity::DOUBLE), 9) AS reveals FROM scored WHERE round(bits, 9) >= {pii.MIN_BITS}),
 marked AS (SELECT doc_id, term, max(CASE WHEN reveals >= {pii.REMOVE} THEN 'remove' ELSE 'generalise' END) AS kind
   FROM (SELECT DISTINCT doc_id, name FROM names) JOIN rated USING (name) WHERE reveals >= {pii.GENERALISE} GROUP BY doc_id, term),
 own AS (SELECT * FROM lines WHERE doc_id IN (SELECT doc_id FROM marked)),

@@ -1,14 +1,14 @@
 """Personal data: patterns for base entities, and terms that reveal them by co-occurrence.
 
 Base spans are the leftmost non-overlapping matches of a pattern for each kind that pass its check.
-The entities found are what is protected.  Over the whole corpus, the information content of an entity is
--log2 of the share of lines that hold it, and the pointwise mutual information of a term and an
-entity tells how much of it the term reveals, where lines are counted once however often they are
-repeated.  A term that reveals at least ``GENERALISE`` of an entity's information and meets it in ``SUPPORT``
-different lines is marked for generalisation in the documents that hold the entity, from ``REMOVE`` on for removal.
-Without a support (``support=None``) the score alone decides, for every entity: repeated lines count, and
-the term's share of lines with the entity is shrunk towards that of all lines by ``SHRINK`` lines.  Its terms
-are then those outside the entity's own span, parts of its name included.
+The entities found are what is protected.  Over the whole corpus, the information of an entity is -log2 of the share of
+lines that hold it, and the pointwise mutual information of a term and an entity tells how many bits of it the
+term reveals.  Lines count as often as they occur; the share of a term's lines that hold the entity is shrunk by
+``SHRINK`` lines towards the share in all lines.  The terms of an entity are those of its lines that do not
+overlap the entity itself, so parts of a name beside an address count.  A term is marked in the documents that
+hold the entity if it reveals at least ``MIN_BITS`` bits and ``GENERALISE`` of the entity's information, for removal
+from ``REMOVE`` on.  No entity is too rare for that; one that stands in more than a line of 2**MIN_BITS has not so many
+bits to reveal, so ordinary words beside a frequent address stay.
 
 All of it is DataFrame expressions.  Positions come from the lengths of the pieces between matches,
 summed in two levels, so that a text with very many matches costs no quadratic time.
@@ -38,8 +38,7 @@ PATTERNS = {
 # a cheap test that every match passes
 NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-SUPPORT = 3
-GENERALISE, REMOVE = 0.8, 0.95
+GENERALISE, REMOVE, MIN_BITS = 0.8, 0.95, 5
 SHRINK = 1
 BLOCK = 256
 TERM = r"[\p{L}\p{N}]++(?:[-_.'][\p{L}\p{N}]++)*+"
@@ -154,65 +153,63 @@ def terms_beside(line: Column, name: Column) -> Column:
         spans, lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"]))), lambda t: F.lower(t["value"]))))
 
 
-def disclosures(docs: DataFrame, text: str, found: DataFrame, support: int | None = SUPPORT) -> DataFrame:
-    """(name, terms): for each entity the terms that reveal it, as (term, kind)."""
+def disclosures(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
+    """(name, term, level): the terms that reveal an entity, level 1 for generalisation and 2 for removal."""
     lines = found.where("digest is not null").select(F.explode(F.split("text", "\n")).alias("line"))
     own = lines.withColumns({k: entities(F.col("line"), k) for k in PATTERNS})
-    held = own.select("line", F.explode(entity_names()).alias("name")).groupBy("name", "line").agg(F.count("*").alias("times"))
-    held = stored(held)
-    # parts of the entity's name are left out where its SQL says so
-    parts = F.split(F.regexp_replace("name", "^[a-z]+:", ""), r"[\x20\x09-\x0D]+")
-    pairs = held.select("name", "times", F.explode(line_terms(F.col("line"))).alias("term"), parts.alias("parts")).where(
-        ~F.exists("parts", lambda p: F.contains(p, F.col("term")) | F.contains(F.col("term"), p)))
-    if support is None:
-        spans = held.withColumns({k: entities(F.col("line"), k) for k in PATTERNS})
-        pairs = spans.select("name", "times", F.explode(terms_beside(F.col("line"), F.col("name"))).alias("term"))
-    pairs = pairs.groupBy("name", "term").agg(F.sum("times").alias("n_both"), F.count("*").alias("support"))
-    pairs = stored(pairs if support is None else pairs.where(F.col("support") >= support))
-    # the corpus: lines with words, and for the terms in question the lines that hold them
+    held = stored(own.select("line", F.explode(entity_names()).alias("name")).groupBy("name", "line").agg(F.count("*").alias("times")))
+    # the corpus: lines with words
     every = docs.select(F.explode(F.split(F.col(f"`{text}`"), "\n")).alias("line"))
     total = every.where(F.col("line").rlike(WORD)).groupBy().agg(F.count("*").alias("n")).scalar()
+    entity = stored(held.groupBy("name").agg(F.sum("times").alias("n_entity")).withColumn("total", total))
+    # what stands in too many lines has too few bits to reveal, whatever its terms are
+    telling = F.col("n_entity") * 2**MIN_BITS <= F.col("total")
+    spans = held.join(entity.where(~telling), "name", "left_anti").withColumns({k: entities(F.col("line"), k) for k in PATTERNS})
+    pairs = stored(spans.select("name", "times", F.explode(terms_beside(F.col("line"), F.col("name"))).alias("term")).groupBy(
+        "name", "term").agg(F.sum("times").alias("n_both")))
+    # for the terms in question the lines that hold them
     words = every.select(F.explode(line_terms(F.col("line"))).alias("term"))
     counts = preselected(words, F.col("term"), pairs.select("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    entity = held.groupBy("name").agg(F.sum("times").alias("n_entity"))
-    ratio = total * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))
-    if support is None:
-        ratio = (total * F.col("n_both") / F.col("n_entity") + SHRINK) / (F.col("n_term") + SHRINK)
-    reveals = F.log2(ratio) / F.log2(total / F.col("n_entity"))
-    # an entity that all lines hold has no information to reveal
-    rated = pairs.join(counts, "term").join(entity.where(F.col("n_entity") < total), "name").withColumn(
-        "reveals", F.round(reveals, 9))
-    marked = rated.where(F.col("reveals") >= GENERALISE)
-    kind = F.when(F.col("reveals") >= REMOVE, "remove").otherwise("generalise")
-    return marked.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("term", kind.alias("kind")))).alias("terms"))
-
-
-def find_personal_data(
-    docs: DataFrame, text: str = "text", keep: list[str] | None = None, support: int | None = SUPPORT,
-) -> DataFrame:
-    """(doc, n_email, n_ip, n_card, n_phone, base, spans): doc holds the kept columns (default all).
+    rated = pairs.join(counts, "term").join(entity.where(telling), "name")
+    bits = F.log2((F.col("total") * F.col("n_both") / F.col("n_entity") + SHRINK) / (F.col("n_term") + SHRINK))
+    rated = rated.withColumn("bits", F.round(bits, 9)).withColumn(
+        "reveals", F.round(bits / F.log2(F.col("total") / F.col("n_entity")), 9))
+    marked = rated.where((F.col("bits") >= MIN_BITS) & (F.col("reveals") >= GENERALISE))
+    return marked.select("name", "term", F.when(F.col("reveals") >= REMOVE, 2).otherwise(1).alias("level"))
 
-    Only texts with an entity are stored and shuffled, once for each different text.  The terms to be counted
-    in the corpus are preselected by a broadcast table of at most ``FILTER_SLOTS`` hash slots, its proven bound.
+
+def marked_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
+    """(digest, added): the marked terms of each text with an entity, as spans that touch no base span.
+
+    Terms stay rows until they are spans of their text: a text's words are looked up by (entity, term).
     """
-    found = stored(found_entities(docs, text, keep))
-    terms = disclosures(docs, text, found, support)
+    terms = stored(terms)
     texts = found.where("digest is not null").groupBy("digest").agg(
         F.first("text").alias("text"), F.first("names").alias("names"), F.first("base").alias("base"))
-    hit = texts.select("digest", F.explode("names").alias("name")).join(terms, "name").groupBy("digest").agg(
-        F.flatten(F.collect_list("terms")).alias("terms"))
+    free = F.filter(matches(F.col("text"), TERM), lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    words = texts.select("digest", F.explode(free).alias("w")).select("digest", F.lower("w.value").alias("term"), "w.start", "w.end")
+    places = stored(preselected(words, F.col("term"), terms.select("term")).groupBy("digest", "term").agg(
+        F.collect_list(F.struct("start", "end")).alias("places")))
+    names = found.where("digest is not null").select("digest", F.explode("names").alias("name")).distinct()
+    levels = places.select("digest", "term").join(names, "digest").join(terms, ["name", "term"]).groupBy("digest", "term").agg(
+        F.max("level").alias("level"))  # removal outweighs generalisation
     kinds = {k: i for i, k in enumerate(KINDS)}
+    remove = F.col("level") == 2
+    spans = F.transform("places", lambda p: F.struct(
+        p["start"].alias("start"), F.when(remove, kinds["remove"]).otherwise(kinds["generalise"]).alias("rank"), p["end"].alias("end"),
+        F.when(remove, "remove").otherwise("generalise").alias("kind")))
+    return places.join(levels, ["digest", "term"]).select("digest", spans.alias("spans")).groupBy("digest").agg(
+        F.flatten(F.collect_list("spans")).alias("added"))
 
-    def span(word: Column) -> Column:
-        # removal outweighs generalisation
-        levels = F.transform(F.filter("terms", lambda t: t["term"] == F.lower(word["value"])), lambda t: t["kind"])
-        kind = F.array_max(levels)
-        rank = F.when(kind == "remove", kinds["remove"]).otherwise(kinds["generalise"])
-        return F.struct(word["start"].alias("start"), rank.alias("rank"), word["end"].alias("end"), kind.alias("kind"))
 
-    words = F.filter(F.transform(matches(F.col("text"), TERM), span), lambda s: s["kind"].isNotNull() & ~F.exists(
-        "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    added = texts.join(hit, "digest").select(F.col("digest"), words.alias("added"))
+def find_personal_data(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(doc, n_email, n_ip, n_card, n_phone, base, spans): doc holds the kept columns (default all).
+
+    Only texts with an entity are stored and shuffled, once for each different text.  The terms to be counted
+    in the corpus are preselected by a broadcast table of at most ``FILTER_SLOTS`` hash slots, its proven bound.
+    """
+    found = stored(found_entities(docs, text, keep))
+    added = marked_spans(found, disclosures(docs, text, found))
     columns = ["doc", *[f"n_{k}" for k in PATTERNS], "base"]
     rows = found.where("digest is not null").select(*columns, "digest").join(added, "digest", "left")
     both = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(rows.schema["base"].dataType))))

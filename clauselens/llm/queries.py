@@ -29,23 +29,14 @@ def op3_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def personal_data(spark: SparkSession, sf_dir: str, support: int | None) -> DataFrame:
-    found = pii.find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"], support=support)
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, and the terms that disclose it."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select(
         "doc.doc_id", *[f"n_{k}" for k in pii.PATTERNS], F.sha2(pii.joined_spans(F.col("base")), 256).alias("base_sha256"),
         pii.joined_spans(F.col("spans")).alias("spans"))
 
 
-def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in every document."""
-    return personal_data(spark, sf_dir, pii.SUPPORT)
-
-
-def op4_pii_all_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in every document, with the terms that the score alone marks for any entity."""
-    return personal_data(spark, sf_dir, None)
-
-
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -122,7 +113,6 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_minhash_join": op3_minhash_join,
     "op4_pii": op4_pii,
-    "op4_pii_all_entities": op4_pii_all_entities,
     "op5_decontaminate": op5_decontaminate,
     "op6_html_text": op6_html_text,
     "op7_quality_classifier": op7_quality_classifier,

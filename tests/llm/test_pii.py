@@ -4,7 +4,7 @@ import hashlib
 import math
 import re
 import time
-from collections import Counter, defaultdict
+from collections import Counter
 
 from clauselens.llm import pii as P
 from clauselens.llm.queries import ORACLES, QUERIES
@@ -75,67 +75,70 @@ def planted():
     return [(i, "\n".join(lines[i::20])) for i in range(20)]
 
 
-def test_terms_that_reveal_an_entity(spark):
-    docs = spark.createDataFrame(planted(), "doc_id long, text string")
-    rows = P.find_personal_data(docs).select("doc", P.joined_spans(P.F.col("spans")).alias("spans")).collect()
-    marked = defaultdict(set)
-    for r in rows:
-        for span in filter(None, r.spans.split(",")):
-            kind, start, end = span.split(":")
-            marked[kind].add(r.doc.text[int(start):int(end)].lower())
-    # the same figures from plain counts of lines
-    lines = [x for _, t in planted() for x in t.split("\n")]
-    terms = [set(re.findall(r"[^\W_]+(?:[-_.'][^\W_]+)*", x.lower())) for x in lines]
-    n_term = Counter(t for ts in terms for t in ts)
-    own = [i for i, x in enumerate(lines) if "boss@corp.example" in x]
-    both = Counter(t for i in own for t in terms[i])
-    info = math.log2(len(lines) / len(own))
-    reveals = {t: math.log2(len(lines) * n / (n_term[t] * len(own))) / info for t, n in both.items() if n >= 3}
-    expected = {t for t, x in reveals.items() if x >= P.REMOVE and t not in "boss@corp.example"}
-    assert marked["remove"] == expected and "zebulon-quark" in expected
-    assert "write" not in marked["remove"] | marked["generalise"] and "hapax" not in marked["remove"]
-    assert marked["email"] == {"boss@corp.example", "other@corp.example"}
-
-
-def marked_terms(docs, **options):
+def marked_terms(docs):
     """The kind for each marked term, in lower case."""
     marked = {}
-    for r in P.find_personal_data(docs, **options).select("doc", P.joined_spans(P.F.col("spans")).alias("spans")).collect():
+    for r in P.find_personal_data(docs).select("doc", P.joined_spans(P.F.col("spans")).alias("spans")).collect():
         for kind, start, end in (s.split(":") for s in filter(None, r.spans.split(","))):
             marked[r.doc.text[int(start):int(end)].lower()] = kind
     return marked
 
 
-def test_score_alone_decides_for_entities_in_few_lines(spark):
-    lines = [x for _, t in planted() for x in t.split("\n")] + ["Call Wilhelmina about the harbour: +49 1512 3456789."]
-    docs = spark.createDataFrame([(i, "\n".join(lines[i::20])) for i in range(20)], "doc_id long, text string")
-    marked = marked_terms(docs, support=None)
+def plain_terms(lines):
+    """The same marks by counting lines: every term beside every entity."""
+    entities = [{f"{k}:{m[0].lower()}": m.span() for k, p in BASE.items() for m in re.finditer(p, x) if passes(k, m[0])} for x in lines]
+    terms = [[(m[0].lower(), m.span()) for m in re.finditer(r"[^\W_]+(?:[-_.'][^\W_]+)*", x)] for x in lines]
+    n_term = Counter(t for line in terms for t in {t for t, _ in line})
+    n_entity = Counter(e for line in entities for e in line)
+    total = sum(bool(x.split()) for x in lines)
+    both = Counter((e, t) for es, ts in zip(entities, terms) for e, (a, b) in es.items()
+                   for t in {t for t, (c, d) in ts if d <= a or b <= c})
+    levels = {}
+    for (e, t), n in both.items():
+        if n_entity[e] * 2**P.MIN_BITS <= total:
+            bits = math.log2((total * n / n_entity[e] + P.SHRINK) / (n_term[t] + P.SHRINK))
+            share = bits / math.log2(total / n_entity[e])
+            if bits >= P.MIN_BITS and share >= P.GENERALISE:
+                levels[t] = max(levels.get(t, ""), "remove" if share >= P.REMOVE else "generalise")
+    return levels
+
+
+def test_terms_that_reveal_an_entity(spark):
+    """Every entity counts: six lines, one line nine times, one line once; common words stay."""
+    rows = planted() + [(20, "Call Wilhelmina about the harbour: +49 1512 3456789.")]
+    marked = marked_terms(spark.createDataFrame(rows, "doc_id long, text string"))
+    terms = {t: k for t, k in marked.items() if k in ("generalise", "remove")}
+    assert terms == plain_terms([x for _, t in rows for x in t.split("\n")])
+    assert terms["zebulon-quark"] == terms["hapax"] == "remove" and "wilhelmina" in terms
+    assert not {"write", "harbour", "the", "about"} & terms.keys()
+    assert {t for t, k in marked.items() if k == "email"} == {"boss@corp.example", "other@corp.example"}
+
+
+def test_given_documents(spark, docs, texts):
+    lines = [x for t in texts.values() for x in (t or "").split("\n")]
+    levels = plain_terms(lines)
+    marked = {t: k for t, k in marked_terms(docs).items() if k in ("generalise", "remove")}
+    assert marked and marked.items() <= levels.items()
 
-    def kind(term, entity):
-        own = [x for x in lines if entity in x]
-        both = sum(term in x.lower() for x in own)
-        ratio = (len(lines) * both / len(own) + P.SHRINK) / (sum(term in x.lower() for x in lines) + P.SHRINK)
-        score = math.log2(ratio) / math.log2(len(lines) / len(own))
-        return "remove" if score >= P.REMOVE else "generalise" if score >= P.GENERALISE else None
 
-    # one line nine times, one line once, and a term in six lines; common words stay
-    for term, entity in (("hapax", "other@"), ("wilhelmina", "+49"), ("zebulon-quark", "boss@"), ("harbour", "+49"), ("write", "boss@")):
-        assert marked.get(term) == kind(term, entity), term
-    assert marked["hapax"] == "remove" and "wilhelmina" in marked and "harbour" not in marked and "write" not in marked
-    assert "wilhelmina" not in marked_terms(docs)
+def test_ordinary_words_beside_a_frequent_address(spark):
+    """An address in half of all lines has one bit to reveal; nothing beside it is marked."""
+    lines = [f"word{i % 71} and more by desk@corp.example" if i % 2 else f"line {i} of the report" for i in range(600)]
+    docs = spark.createDataFrame([(i, "\n".join(lines[i::6])) for i in range(6)], "doc_id long, text string")
+    assert marked_terms(docs) == {"desk@corp.example": "email"}
 
 
 def test_parts_of_the_entity_beside_it_are_marked(spark):
     lines = [f"the harbour report number w{i} was read on day {i % 7}." for i in range(300)]
     lines += [f"Ask Jane Doe of Corp for item z{i}: jane.doe@corp.example" for i in range(4)]
     docs = spark.createDataFrame([(i, "\n".join(lines[i::4])) for i in range(4)], "doc_id long, text string")
-    marked = marked_terms(docs, support=None)
+    marked = marked_terms(docs)
     assert {"jane", "doe", "corp"} <= marked.keys() and "jane.doe" not in marked
 
 
 def test_entity_in_every_line(spark):
     docs = spark.createDataFrame([(1, "Ask Ann at a@b.co"), (2, "Ask Bob at a@b.co")], "doc_id long, text string")
-    assert marked_terms(docs, support=None) == {"a@b.co": "email"}
+    assert marked_terms(docs) == {"a@b.co": "email"}
 
 
 def test_sql_agrees_on_marked_terms(spark):
