@@ -94,42 +94,33 @@ def url_sql() -> str:
     fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for h, p, _ in longest]
     rule = "CASE " + " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (h, p, _) in zip(fits, longest)) + " END"
     ruled = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, (_, _, v) in zip(fits, longest)) + " END"
-    size = len(url_filter.ALPHABET)
-
-    def smooth(n: str, kinds: str, total: str, shorter: str) -> str:
-        return f"CASE WHEN {total} > 0 THEN ({n} + {kinds} * {shorter}) / ({total} + {kinds})::DOUBLE ELSE {shorter} END"
-
-    tables, joins, logs = [], [], []
-    for v in ("allow", "block"):
-        tables.append(f"""{v}3 AS (SELECT g, count(*) AS n FROM grams JOIN spelled USING (row) WHERE ruled = '{v}' GROUP BY g),
-{v}_bc AS (SELECT g[2:3] AS k, sum(n) AS n FROM {v}3 GROUP BY k), {v}_c AS (SELECT g[3] AS k, sum(n) AS n FROM {v}3 GROUP BY k),
-{v}_ab AS (SELECT g[1:2] AS k, sum(n) AS n, count(*) AS kinds FROM {v}3 GROUP BY k),
-{v}_b AS (SELECT k[1] AS k, sum(n) AS n, count(*) AS kinds FROM {v}_bc GROUP BY 1),
-{v}_all AS (SELECT coalesce(sum(n), 0) AS n, count(*) AS kinds FROM {v}_c)""")
-        joins.append(f"""LEFT JOIN {v}3 ON {v}3.g = u.g LEFT JOIN {v}_bc ON {v}_bc.k = u.g[2:3] LEFT JOIN {v}_c ON {v}_c.k = u.g[3]
-LEFT JOIN {v}_ab ON {v}_ab.k = u.g[1:2] LEFT JOIN {v}_b ON {v}_b.k = u.g[2] CROSS JOIN {v}_all""")
-        one = smooth(f"coalesce({v}_c.n, 0)", f"{v}_all.kinds", f"{v}_all.n", f"{1 / size!r}::DOUBLE")
-        two = smooth(f"coalesce({v}_bc.n, 0)", f"coalesce({v}_b.kinds, 0)", f"coalesce({v}_b.n, 0)", f"({one})")
-        logs.append(f"ln({smooth(f'coalesce({v}3.n, 0)', f'coalesce({v}_ab.kinds, 0)', f'coalesce({v}_ab.n, 0)', f'({two})')})")
-    scale = url_filter.SCALE
+    order, scale = url_filter.ORDER, url_filter.SCALE
+    held = ", ".join(f"'{c}'" for c in url_filter.HELD_OUT)
+    tables = [f"""g{order} AS (SELECT g, {', '.join(f"sum(CASE WHEN label = '{v}' AND NOT held THEN n ELSE 0 END) AS {v}" for v in url_filter.VERDICTS)}
+  FROM grams JOIN u USING (t) GROUP BY g)"""]
+    tables += [f"g{k} AS (SELECT g[2:] AS g, sum(allow) AS allow, sum(block) AS block FROM g{k + 1} GROUP BY 1)" for k in range(order - 1, -1, -1)]
+    for k in range(order + 1):
+        over = f"PARTITION BY g[1:{k}]" if k else ""
+        stats = ", ".join(f"sum({v}) OVER ({over}) AS t_{v}, count(*) FILTER (WHERE {v} > 0) OVER ({over}) AS k_{v}" for v in url_filter.VERDICTS)
+        shares = ", ".join(f"CASE WHEN t_{v} > 0 THEN (x.{v} + k_{v} * {less}) / (t_{v} + k_{v})::DOUBLE ELSE {less} END AS p_{v}" for v, less in (
+            (v, f"y.p_{v}" if k else f"{url_filter.UNSEEN!r}::DOUBLE") for v in url_filter.VERDICTS))
+        tables.append(f"s{k} AS (SELECT x.g, {shares} FROM (SELECT *, {stats} FROM g{k}) x" + (f" JOIN s{k - 1} y ON y.g = x.g[2:])" if k else ")"))
 
     def moments(v: str) -> str:
-        own = f"FILTER (WHERE label = '{v}')"
+        own = f"FILTER (WHERE held AND label = '{v}')"
         mean = f"sum(n * milli) {own}::DOUBLE / sum(n) {own}::DOUBLE"
         square = f"sum(n * milli * milli) {own}::DOUBLE / sum(n) {own}::DOUBLE"
         return f"{mean} AS m_{v}, sqrt(greatest({square} - ({mean}) * ({mean}), 0.0)) + 1 AS d_{v}"
 
     return rf"""WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-spelled AS (SELECT row_number() OVER () AS row, page_id, host, path, {rule} AS rule, {ruled} AS ruled,
-  '^^' || regexp_replace(translate(host || path, '{UPPER}123456789', '{LOWER}000000000'), '[^a-z0./_-]', '~', 'g') || '$' AS t FROM p),
-grams AS (SELECT row, substr(t, i, 3) AS g FROM (SELECT row, t, unnest(range(1, length(t) - 1)) AS i FROM spelled)),
+spelled AS (SELECT page_id, host, path, {rule} AS rule, {ruled} AS ruled, repeat(chr({ord(url_filter.START)}), {order}) || host || path || chr({ord(url_filter.END)}) AS t FROM p),
+u AS (SELECT t, any_value(ruled) AS label, count(*) AS n, md5(t)[1] IN ({held}) AS held FROM spelled GROUP BY t),
+grams AS (SELECT t, substr(t, i, {order + 1}) AS g FROM (SELECT t, unnest(range(1, length(t) - {order - 1})) AS i FROM u)),
 {', '.join(tables)},
-u AS (SELECT DISTINCT g FROM grams),
-diffs AS (SELECT u.g, round(({logs[0]} - {logs[1]}) * {scale})::BIGINT AS diff FROM u {' '.join(joins)}),
-scored AS (SELECT t, any_value(ruled) AS label, count(DISTINCT row) AS n, sum(diff)::DOUBLE / count(*)::DOUBLE AS score
-  FROM grams JOIN spelled USING (row) JOIN diffs USING (g) GROUP BY t),
-m AS (SELECT *, round(score / {scale // 1000})::BIGINT AS milli FROM scored),
+diffs AS (SELECT g, round((ln(p_allow) - ln(p_block)) * {scale})::BIGINT AS diff FROM s{order}),
+scored AS (SELECT t, sum(diff)::DOUBLE / count(*)::DOUBLE AS score FROM grams JOIN diffs USING (g) GROUP BY t),
+m AS (SELECT *, round(score / {scale // 1000})::BIGINT AS milli FROM scored JOIN u USING (t)),
 stats AS (SELECT {moments('allow')}, {moments('block')} FROM m),
 lim AS (SELECT round((m_allow * d_block + m_block * d_allow) / (d_allow + d_block) * {scale // 1000}) AS lim FROM stats)
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN score < lim THEN 'block' END, 'allow') AS verdict
