@@ -5,7 +5,10 @@ alone: its place (menus, page headers, footers, sidebars, notices, adverts, form
 boilerplate), its link density, its length and its density of stop words, inside and outside articles.  The
 second pass lets undecided blocks inherit the label of the nearest decided neighbours on the same side of
 an article's border; without any, a block of an article is content, and one beside an article is not.
-A furniture name on a wrapper counts for nothing if the page's main element or most of its text is below it.
+Stop words decide only on pages where they occur: in a language that is not listed, length and links do.
+Articles that hold less text than what is found beside them are cards: only their long text counts.
+A long linked paragraph of an article between two paragraphs of content is content as well.  A header that is named after an article or
+post belongs to it, wherever it stands.  A furniture name on a wrapper counts for nothing if the page's main element or most of its text is below it.
 
 Cases: null or empty html gives an empty text; unclosed tags end with their parent or the page; a page
 without tags is one block; identical rows are judged alike; tables may be empty; other columns are
@@ -44,6 +47,8 @@ NAMES = set(
     "share sharing social related recommended login signup search searchform pagination pager toolbar skip".split())
 COMMENTS = {"comment", "comments", "commentlist", "respond", "disqus", "reply", "replies"}
 LASTING = {"comment", "comments", "commentlist", "respond", "disqus", "replies", "sidebar", "aside", "footer"}
+# fixed values: words in names of headers that belong to a text and not to the page
+STORY = {"article", "entry", "headline", "post", "story", "title"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 # fixed values: frequent function words of the languages handled
 STOP_WORDS = set((
@@ -77,6 +82,7 @@ class Open:
     article: bool
     link: bool
     wrapper: int = -1  # the innermost element with a furniture name
+    story: bool = False  # in a header that is named after an article
 
 
 @dataclass(slots=True)
@@ -98,6 +104,7 @@ class Block:
     article: bool
     heading: bool
     item: bool
+    story: bool = False
     good: bool | None = field(default=None)
 
 
@@ -122,7 +129,7 @@ def _opened(tag: str, rest: str, stack: list[Open], wrappers: list[Wrapper], nam
     above = stack[-1] if stack else Open("", False, False, False, False, False)
     words, role, hidden = _names(rest) if rest.strip() else (set(), "", False)
     lasting, furniture, article = above.lasting, above.furniture, above.article
-    wrapper = above.wrapper
+    wrapper, story = above.wrapper, above.story
     is_main, is_article = tag == "main" or role == "main", tag == "article" or role == "article"
     wrappers[wrapper].mains += is_main
     wrappers[wrapper].articles += is_article
@@ -138,10 +145,11 @@ def _opened(tag: str, rest: str, stack: list[Open], wrappers: list[Wrapper], nam
             furniture = lasting = True
     elif tag not in ("html", "body"):
         named = bool(words & NAMES) or role in ROLES
-        furniture |= tag in FURNITURE or named or tag == "header" and not above.article
+        story |= tag == "header" and bool(words & STORY) and not furniture
+        furniture |= tag in FURNITURE or named or tag == "header" and not above.article and not story
         lasting |= tag in ("aside", "footer", "nav") or bool(words & LASTING)
     return Open(tag, above.hidden or hidden or tag in HIDDEN, furniture, lasting, article,
-                above.link or tag == "a", wrapper)
+                above.link or tag == "a", wrapper, story)
 
 
 def _nameless(wrappers: list[Wrapper]) -> set[int]:
@@ -180,7 +188,7 @@ def _blocks(html: str, wrappers: list[Wrapper], nameless: set[int]) -> list[Bloc
         text = " ".join("".join(pieces).split())
         if text and owner is not None:
             found.append(Block(text, min(linked, len(text)), owner.furniture, owner.article,
-                               len(place) == 2 and place[0] == "h" and place[1].isdigit(), place == "li"))
+                               len(place) == 2 and place[0] == "h" and place[1].isdigit(), place == "li", owner.story))
         pieces.clear()
         linked, owner = 0, None
 
@@ -236,19 +244,52 @@ def _blocks(html: str, wrappers: list[Wrapper], nameless: set[int]) -> list[Bloc
     return found
 
 
+def _length(text: str) -> int:
+    """Characters; those of scripts that write a word in one or two count three times."""
+    return len(text) if text.isascii() else len(text) + 2 * sum(ch >= "\u2e80" for ch in text)
+
+
+def _stops(text: str) -> tuple[int, int]:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words), len(words)
+
+
 def classify(blocks: list[Block]) -> None:
     """Both passes; sets ``good`` on every block."""
     has_article = any(b.article and not b.furniture for b in blocks)
     for b in blocks:
-        links = b.linked / len(b.text)
+        b.article |= has_article and b.story and not b.furniture
+    lengths = [_length(b.text) for b in blocks]
+    links = [b.linked / len(b.text) for b in blocks]
+    counts = [_stops(b.text) if n >= SHORT and not b.furniture and x <= HIGH_LINKS else None for b, n, x in zip(blocks, lengths, links)]
+    known = [c for c in counts if c]
+    # few stop words on the whole page: its language is not among the listed ones
+    listed = sum(c[0] for c in known) >= LOW_STOPS * sum(c[1] for c in known)
+    for b, link, count in zip(blocks, links, counts):
         if b.furniture:
             b.good = False
-        elif links > HIGH_LINKS:
+        elif link > HIGH_LINKS:
             b.good = None if b.article and b.heading else False
-        elif len(b.text) >= SHORT:
-            words = b.text.lower().split()
-            stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-            b.good = True if stops >= HIGH_STOPS else None if stops >= LOW_STOPS or b.article else False
+        elif count:
+            share = count[0] / count[1]
+            if listed:
+                b.good = True if share >= HIGH_STOPS else None if share >= LOW_STOPS or b.article else False
+            else:
+                b.good = True if link <= HIGH_LINKS / 2 else None
+    for i in range(1, len(blocks) - 1):
+        b = blocks[i]
+        if b.article and not b.item and links[i] > HIGH_LINKS and lengths[i] >= SHORT and all(
+                n.article and n.good for n in (blocks[i - 1], blocks[i + 1])):
+            b.good = True
+
+    def held(inside: bool) -> int:
+        return sum(len(b.text) for b in blocks if b.article == inside and not b.furniture and (inside or b.good))
+
+    if has_article and held(True) < held(False):
+        for b in blocks:
+            if b.article and b.good is None:
+                b.good = False
+        has_article = False
     if has_article:
         # furniture says nothing about the text beside it
         for inside in (True, False):

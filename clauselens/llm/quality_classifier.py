@@ -226,7 +226,11 @@ def fit(
     docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", doc_id: str = "doc_id",
     most: int = MOST_LABELS,
 ) -> tuple[np.ndarray, np.ndarray, Network]:
-    """Token vectors, average document and the network.  Only the ``most`` sampled labels are broadcast and brought to the driver."""
+    """Token vectors, average document and the network.  Only the ``most`` sampled labels are broadcast and brought to the driver.
+
+    Of the documents with one id the text with the smallest digest is learnt from, so neither repeated rows nor their order
+    matter.
+    """
     vectors = token_vectors(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     ids = F.col(f"`{doc_id}`")
@@ -241,9 +245,11 @@ def fit(
                 [batch.column(0), batch.column(1), pa.array(words), pa.array(list(rows), pa.list_(pa.float64()))],
                 names=["id", "y", "n", "x"])
 
-    chosen = docs.select(ids.alias("__id"), F.col(f"`{text}`").alias("__text")).join(F.broadcast(sample), "__id")
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    chosen = docs.select(ids.alias("__id"), body.alias("__text")).join(F.broadcast(sample), "__id").groupBy("__id", "__y").agg(
+        F.min_by("__text", F.md5("__text")).alias("__text"))
     rows = chosen.select(F.col("__id").cast("string"), "__y", "__text").mapInArrow(
-        run, "id string, y int, n long, x array<double>").limit(2 * most).collect()
+        run, "id string, y int, n long, x array<double>").collect()  # at most one row for each sampled label
     rows.sort(key=lambda r: (r["id"], r["y"], r["x"]))
     x = np.array([r["x"] for r in rows]).reshape(len(rows), 2 * DIM)
     n = np.array([r["n"] for r in rows], dtype=np.int64)

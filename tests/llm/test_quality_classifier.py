@@ -79,3 +79,13 @@ def test_cases(spark, odd_docs, no_docs):
         assert len(rows) == 13 and all(0 <= r.score <= 1 for r in rows)
         assert expected is None or {round(r.score, 6) for r in rows} == {expected}
     assert Q.score_quality(no_docs, one).collect() == []
+
+
+def test_repeated_documents_teach_once(spark, sf, docs):
+    """Every document 8 times, in any order: the same model, with more labels than the sample holds."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    some = docs.where("doc_id < 120").select("doc_id", "text")
+    often = some.crossJoin(spark.range(8)).drop("id")
+    models = [Q.fit(d, labels, most=20) for d in (often.orderBy("doc_id"), often.orderBy(Q.F.xxhash64("text")), often.repartition(5))]
+    for vectors, prior, net in models[1:]:
+        assert np.array_equal(vectors, models[0][0]) and np.array_equal(prior, models[0][1]) and np.array_equal(net.w1, models[0][2].w1)
