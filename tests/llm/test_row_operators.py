@@ -53,6 +53,35 @@ def test_decontamination_cases(spark, odd_docs, no_docs):
     assert {r.n_hit for r in D.find_contamination(odd_docs, benchmark.limit(0)).collect()} == {0}
 
 
+def test_decontamination_in_several_passes(spark, sf, docs, texts, monkeypatch):
+    """A benchmark of many blocks over many batches, and names with dots."""
+    monkeypatch.setattr(D, "BLOCKS", 2)
+    benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
+    items = [(r.item_id, r.text) for r in benchmark.collect()]
+    size = sum(len((t or "").encode()) for _, t in items)
+    renamed = benchmark.withColumnsRenamed({"item_id": "an.id", "text": "its.text"})
+    found = D.find_contamination(docs, renamed, item_id="an.id", item_text="its.text", keep=["doc_id"], round_bytes=size // 5)
+    rows = {r.doc.doc_id: r for r in found.collect()}
+    for i, text in texts.items():
+        n, hit, ids = brute_hits(text, items)
+        assert (rows[i].n_words, rows[i].n_hit, rows[i].item_ids) == (n, hit, ids)
+
+
+def test_large_benchmark_in_bounded_memory():
+    """Tables of 4 MB of benchmark text in well under 200 MB, every window found again."""
+    import tracemalloc
+
+    items = [(str(i), b" ".join(b"w%d" % (i * 7919 + j * j % 4001) for j in range(400))) for i in range(1200)]
+    tracemalloc.start()
+    patterns = D.Patterns(items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(len(t) for _, t in items) > 3_000_000 and peak < 200_000_000
+    text = b"x y z " + b" ".join(items[700][1].split()[100:140]) + b" q"
+    marks, ids = next(D.scan_texts([text], patterns))
+    assert "700" in ids and marks.tolist() == [False] * 3 + [True] * 40 + [False]
+
+
 def test_wu_manber_finds_overlapping_windows():
     patterns = D.Patterns([("1", b"a a a a"), ("2", b"a b a b a"), ("3", b"b")], width=3)
     text = b"a a a a b a b a b b a a a"
