@@ -21,9 +21,7 @@ def folded_words(column: str) -> str:
 
 def mixing_sql() -> str:
     weights = ", ".join(map(str, mixing.WEIGHTS))
-    n, k = len(mixing.WEIGHTS), mixing.MOST_PASSES
-    passes = " + ".join(
-        f"least(greatest(round(target)::BIGINT - source_size * {i} - start, 0), size)" for i in range(k))
+    n, k, quantum = len(mixing.WEIGHTS), mixing.MOST_PASSES, mixing.QUANTUM
     return f"""WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size, md5('0' || chr(31) || doc_id) AS key FROM documents),
 q AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key) - size AS start FROM d),
@@ -35,9 +33,16 @@ o AS (SELECT *, sum(source_size) OVER () - coalesce(sum(lim) OVER (ORDER BY lim
 f AS (SELECT *, rest * weight >= lim * weights AS is_full FROM o),
 l AS (SELECT arg_min(rest, lim / weight) AS rest, arg_min(weights, lim / weight) AS weights FROM f WHERE NOT is_full),
 t AS (SELECT f.source, source_size, CASE WHEN is_full THEN lim::DOUBLE
-  ELSE (weight * l.rest)::DOUBLE / l.weights::DOUBLE END AS target FROM f LEFT JOIN l ON TRUE)
-SELECT doc_id, size::BIGINT AS size, source_size, target, ({passes})::BIGINT AS taken
-FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source"""
+  ELSE (weight * l.rest)::DOUBLE / l.weights::DOUBLE END AS target FROM f LEFT JOIN l ON TRUE),
+placed AS (SELECT doc_id, q.source, size, source_size, target, start FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source),
+passes AS (SELECT *, unnest(range({k})) AS pass FROM placed WHERE size > 0 AND target > 0),
+packets AS (SELECT *, unnest(range((size + {quantum - 1}) // {quantum})) AS nth FROM passes),
+sized AS (SELECT *, least((nth + 1) * {quantum}, size) - nth * {quantum} AS words,
+  (pass * source_size + start + least((nth + 1) * {quantum}, size))::DOUBLE / target AS finish FROM packets),
+total AS (SELECT sum(size) AS budget FROM d),
+run AS (SELECT *, sum(words) OVER (ORDER BY finish, source NULLS FIRST, start, pass, nth ROWS UNBOUNDED PRECEDING) AS running FROM sized),
+served AS (SELECT doc_id, sum(least(words, greatest(0, budget - (running - words)))) AS taken FROM run, total GROUP BY doc_id)
+SELECT doc_id, size::BIGINT AS size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM placed LEFT JOIN served USING (doc_id)"""
 
 
 def dedup_sql() -> str:

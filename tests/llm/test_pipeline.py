@@ -2,10 +2,11 @@
 
 import corpus_pipeline as C
 import pytest
+from test_mixing import count, plain_mix
 from test_pairs import brute_classes
 from test_row_operators import brute_hits
 
-from clauselens.llm import mixing, quality_classifier, sharding
+from clauselens.llm import quality_classifier, sharding
 
 
 @pytest.fixture(scope="module")
@@ -54,20 +55,15 @@ def test_decontamination(spark, sf, results):
 
 def test_mixing_and_sharding(results):
     before, after = results[3]
-    served = mixing.serve(before).collect()
-    copies = {r.doc.doc_id: sum(2 * w > r.size for w in split(r)) for r in served if r.taken}
-    assert ids(after) == sorted(i for i, n in copies.items() for _ in range(n))
+    rows = before.select("doc_id", "source", "text").collect()
+    sizes = {r.doc_id: count(r.text) for r in rows}
+    served = plain_mix([(r.doc_id, r.source, r.text) for r in rows])
+    assert ids(after) == sorted(i for (i, _), words in served.items() if 2 * words > sizes[i])
     last = results[4][1].collect()
     owners = sharding.fill_table(C.SHARD_NAMES)
     assert len(last) == after.count() and all(r.shard == C.SHARD_NAMES[owners[r.slot]] for r in last)
 
 
-def split(row):
-    """Words served in each pass."""
-    target = round(row.target)
-    return [max(0, min(row.size, target - row.source_size * k - row.start_words)) for k in range(3)]
-
-
 def test_run(spark, sf, results):
     rows = C.run(spark, sf)
     assert sorted(map(repr, rows.collect())) == sorted(map(repr, results[-1][1].collect()))
