@@ -7,8 +7,11 @@ whose strings share an anchor (a few bytes more than ``width``) travel together
 
 1. Documents are hashed into groups of a few megabytes.  Each group sends its sorted anchors, shortened
    to 32 bits, to their buckets.
-2. A bucket answers each group with one bit for each anchor: does another group have it too?
-3. Each group sends the stretches whose anchors are shared; of equal ones only those of the smallest id.
+2. A bucket answers each group with two bits for each anchor: does another group have it too, and do more than
+   ``HOT_GROUPS`` have it?
+3. Each group sends the stretches whose anchors are shared; of equal ones only those of the smallest id.  Strings
+   of a hot anchor, as a phrase in a template makes one, go one by one to the buckets of their own hashes: equal strings
+   still meet, and no bucket gets all that share the anchor.
 4. In a bucket, equal stretches become one, and the rest are a collection of short documents: its
    Burrows-Wheeler transform and common prefixes are built column by column from the right.  Every
    round inserts one symbol of each stretch into the transform, in one sequential pass over it.  The
@@ -42,6 +45,8 @@ ANCHOR = 24  # bytes of the substrings that anchors are chosen from; long enough
 RUN = WIDTH - ANCHOR + 1  # strings in one stretch at most; only in periodic texts do more share an anchor
 BLOCK = 1 << 16  # positions that are hashed at once
 GROUP_BYTES = 2_000_000  # text of the documents in one group
+BUCKET_BYTES = 16_000_000  # text for each bucket, at most
+HOT_GROUPS = 256  # groups that may share an anchor whose stretches travel together
 COLLECTION = 8_000  # stretches in one collection, but for a larger group of one anchor
 
 
@@ -287,12 +292,22 @@ def sorted_anchors(texts: list[bytes], buckets: int, width: int = WIDTH) -> Iter
         yield int(b), pack(np.diff(part, prepend=np.uint32(0)))
 
 
-def shared_bits(groups: list[bytes]) -> list[bytes]:
-    """For the anchors of each group in a bucket: has another group the same?"""
+def shared_bits(groups: list[bytes], hot: int = HOT_GROUPS) -> list[bytes]:
+    """For the anchors of each group in a bucket: has another group the same, and have more than ``hot``?"""
     parts = [np.cumsum(unpack(g, np.uint32), dtype=np.uint32) for g in groups]
     _, inverse, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
     edges = np.cumsum([len(p) for p in parts])[:-1]
-    return [np.packbits(b).tobytes() for b in np.split(count[inverse] > 1, edges)]
+    return [np.packbits(n > 1).tobytes() + np.packbits(n > hot).tobytes() for n in np.split(count[inverse], edges)]
+
+
+def known_bits(bits: dict[int, bytes], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shared, hot) for all anchors of a group, bucket after bucket."""
+    out: tuple[list, list] = ([], [])
+    for b in np.flatnonzero(size).tolist():
+        half = -(-int(size[b]) // 8)
+        for part, data in zip(out, (bits[b][:half], bits[b][half:])):
+            part.append(np.unpackbits(np.frombuffer(data, dtype=np.uint8), count=size[b]).astype(bool))
+    return np.concatenate(out[0]), np.concatenate(out[1])
 
 
 def dealt(texts: list[bytes], ids: np.ndarray, bits: dict[int, bytes], buckets: int, width: int = WIDTH) -> Iterator[tuple]:
@@ -306,18 +321,25 @@ def dealt(texts: list[bytes], ids: np.ndarray, bits: dict[int, bytes], buckets:
         return
     every, inverse = np.unique(codes(anchor, buckets), return_inverse=True)
     size = np.bincount((every >> np.uint64(32)).astype(np.int64), minlength=buckets)
-    shared = np.concatenate([
-        np.unpackbits(np.frombuffer(bits[b], dtype=np.uint8), count=size[b]) for b in np.flatnonzero(size).tolist()])
+    shared, hot = known_bits(bits, size)
     own = ids[owner]
     low, high = np.full(len(every), np.iinfo(np.int64).max), np.full(len(every), np.iinfo(np.int64).min)
     np.minimum.at(low, inverse, own)
     np.maximum.at(high, inverse, own)
-    take = np.flatnonzero((shared.astype(bool) | (low != high))[inverse])
+    take = np.flatnonzero((shared | (low != high))[inverse])
     base = np.cumsum([0] + [len(t) for t in texts])
     bucket = (every >> np.uint64(32)).astype(np.int64)[inverse[take]]
-    begin, strings, own, place = begin[take], strings[take], own[take], begin[take] - base[owner[take]]
+    # stretches of hot anchors become single strings
+    single = hot[inverse[take]]
+    parts = np.where(single, strings[take], 1)
+    take = np.repeat(take, parts)
+    shift = np.arange(len(take)) - np.repeat(np.cumsum(parts) - parts, parts)
+    bucket, single = np.repeat(bucket, parts), np.repeat(single, parts)
+    begin, strings, own = begin[take] + shift, np.where(single, 1, strings[take]), own[take]
+    place = begin - base[owner[take]]
     length = strings + width - 1
     content = content_hash(data, begin, length, width)
+    bucket = np.where(single, (mix64(content) % np.uint64(buckets)).astype(np.int64), bucket)
     order = np.lexsort((own, content))
     first = np.append(True, content[order][1:] != content[order][:-1])[:len(order)]
     least = np.empty(len(order), dtype=np.int64)
@@ -380,7 +402,7 @@ def cut_out(data: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[bytes, int
 
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, width: int = WIDTH,
-    kept_text: bool = True,
+    kept_text: bool = True, hot_groups: int = HOT_GROUPS, group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """(doc, n_bytes, n_removed, n_spans, kept_sha256[, kept]): doc holds the kept columns (default all)."""
     spark = docs.sparkSession
@@ -388,8 +410,8 @@ def remove_repeats(
     rows = docs.select(doc, F.col(f"`{doc_id}`").cast("long").alias("id"),
                        F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("text"))
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
-    groups = max(1, -(-size // GROUP_BYTES))
-    buckets = BUCKETS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(1, -(-size // group_bytes))
+    buckets = max(BUCKETS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     named = rows.where("id is not null").withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups)))
     grouped = named.groupBy("g")
     result = f"doc {rows.schema['doc'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -406,7 +428,7 @@ def remove_repeats(
 
     def answer(table: pa.Table) -> pa.Table:
         return pa.table({"g": table.column("g"), "bucket": table.column("bucket"), "bits": pa.array(
-            shared_bits(table.column("anchors").to_pylist()), pa.binary())})
+            shared_bits(table.column("anchors").to_pylist(), hot_groups), pa.binary())})
 
     def deal(table: pa.Table, bits: pa.Table) -> pa.Table:
         if not len(table):

@@ -177,3 +177,33 @@ def test_collection_has_the_order_and_prefixes_of_its_suffixes(seed):
         return n
 
     assert built.prefix.tolist()[1:] == [common(a[0], b[0]) for a, b in zip(suffixes, suffixes[1:])]
+
+
+def template_texts():
+    """A phrase in every text with different surroundings, and a passage that some share."""
+    rng = random.Random(8)
+    phrase = "the terms of this standard notice apply"
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(130))
+    return {i: f"{rng.random()} name {rng.random()}, {phrase} as of {rng.random()} and {i % 40} days after{' ' + passage if i % 9 == 0 else ''}"
+            for i in range(700)}
+
+
+@pytest.mark.parametrize("hot", [0, 2, 1000])
+def test_hot_anchors_are_dealt_by_string(spark, hot):
+    """One anchor that all texts share: its strings are spread, with the same result, also above the size of a collection."""
+    texts = template_texts()
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = cut_rows(S.remove_repeats(docs, kept_text=False, hot_groups=hot, group_bytes=4_000))
+    assert {i: f for i, f, _ in rows} == brute_cut(texts)
+
+
+def test_strings_of_a_hot_anchor_go_to_many_buckets():
+    """Every group sends a template's stretches to one bucket, its single strings to nearly all."""
+    texts = [t.encode() for t in template_texts().values()]
+    buckets, used = 16, {}
+    for hot in (0, 10**6):
+        held = dict(S.sorted_anchors(texts, buckets))
+        bits = {b: S.shared_bits([a, a], hot)[0] for b, a in held.items()}
+        sent = list(S.dealt(texts, np.arange(len(texts)), bits, buckets))
+        used[hot] = [len(S.unpack(r[2], np.uint8)) for r in sent]
+    assert max(used[0]) < 2 * sum(used[0]) / buckets and max(used[10**6]) > 2 * sum(used[10**6]) / buckets
