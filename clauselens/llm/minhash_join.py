@@ -2,10 +2,12 @@
 
 Documents are sets of five-word shingles (words are lower-case runs of letters, digits and non-ASCII
 bytes; fewer than five words make one shingle).  Texts with equal sets are one class representative
-with its copies.  Representatives that agree in a band of MinHash values are candidates; the connected
-groups of candidates are compared in tiles of bounded size.  In a tile, pairs are compared MinHash by
-MinHash: after every few values, pairs whose posterior probability of reaching the threshold has
-fallen below the tolerance are dropped, and the shingles of the rest are compared exactly.
+with its copies.  Representatives that agree in a band of MinHash values are candidates.  Candidates of a band
+are compared MinHash by MinHash: after every few values, pairs whose posterior probability of reaching the
+threshold has fallen below the tolerance are dropped.  This takes a byte of each value, no texts, and no more of the
+pairs that stay than connect them.  Only documents that still have a partner send their text: their connected groups are
+compared in tiles of bounded size, pruned again, and the shingles of the rest are compared exactly.  So pages
+that share a template, and are less alike than the threshold, make no group and send nothing.
 
 ``n_links`` counts the other documents whose similarity is at least the threshold, copies included;
 ``class_id`` is the smallest id that links, direct or over others, lead to.
@@ -40,6 +42,9 @@ TOLERANCE = 1e-5
 TILE = 256  # documents on each side of a tile
 TILE_WORDS = 1_000_000
 CHUNK_BYTES = 1_000_000
+BAND_TILE = 4096  # members of a band on each side of a comparison
+BAND_ROWS = 50_000  # members of small bands that are compared in one call
+HOT_NODE, SALTS = 256, 64  # neighbours from which a node's rows are spread
 
 
 @lru_cache
@@ -170,13 +175,16 @@ def compare(ids: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], side: n
 
 
 def fingerprints(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, same, n, bands): digest of the shingle set, number of shingles and a hash for each band."""
+    """(id, same, n, bands, sketch): digest of the shingle set, number of shingles, a hash for each band, and the last
+    byte of every MinHash value."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(text_bytes(batch.column(1)))
-            bands, same, sizes = [], [], []
+            bands, same, sizes, sketches = [], [], [], []
             for s in sets:
-                values = minhashes(s)[:BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
+                every = minhashes(s)
+                sketches.append((every & np.uint32(255)).astype(np.uint8).tobytes())
+                values = every[:BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
                 code = np.arange(BANDS, dtype=np.uint64)
                 for k in range(ROWS):
                     code = mix64(code * np.uint64(0x100000001B3) + values[:, k])
@@ -184,25 +192,106 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 same.append(set_digest(s))
                 sizes.append(len(s))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(same), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["id", "same", "n", "bands"])
+                [batch.column(0), pa.array(same), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())),
+                 pa.array(sketches, pa.binary())],
+                names=["id", "same", "n", "bands", "sketch"])
 
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).where("id is not null")
-    return rows.mapInArrow(run, "id long, same string, n long, bands array<long>")
+    return rows.mapInArrow(run, "id long, same string, n long, bands array<long>, sketch binary")
+
+
+def stays(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which rows of sketches are not dropped on the way, compared with one sketch or row by row."""
+    agree = (others == one).reshape(len(others), VALUES // STEP, STEP).sum(2).cumsum(1)
+    return (agree >= [least_matches(done) for done in range(STEP, VALUES + 1, STEP)]).all(1)
+
+
+def connected(sketches: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that connect what the pairs that stay connect, found from node to node: a node is compared with those that
+    nothing has reached yet, on the other side if there are two."""
+    two = side.any()
+    left = np.ones(len(side), dtype=bool)
+    edges: list[tuple[int, int]] = []
+    for start in range(len(side)):
+        if not left[start]:
+            continue
+        left[start] = False
+        todo = [start]
+        while todo:
+            node = todo.pop()
+            rest = np.flatnonzero(left & (side != side[node]) if two else left)
+            if len(rest):
+                near = rest[stays(sketches[node], sketches[rest])].tolist()
+                left[near] = False
+                todo.extend(near)
+                edges.extend((node, n) for n in near)
+    return edges
+
+
+def compare_bands(rows: pa.Table) -> pa.Table:
+    """(a, b): connections within each band of a table of (code, side, id, sketch)."""
+    order = np.lexsort((rows.column("id").to_numpy(), rows.column("code").to_numpy()))
+    code, ids, side = (rows.column(c).to_numpy()[order] for c in ("code", "id", "side"))
+    sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, VALUES)[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    size = np.diff(np.append(first, len(code)))
+    leader = np.repeat(first, size)
+    # most bands are connected by their first member alone
+    near = np.concatenate([stays(sketches[leader[i:i + 8192]], sketches[i:i + 8192]) for i in range(0, len(code), 8192)])
+    whole = (np.add.reduceat(near, first) == size) & ~np.maximum.reduceat(side, first).astype(bool)
+    simple = np.repeat(whole, size)
+    simple[first] = False
+    a, b = [ids[leader[simple]]], [ids[simple]]
+    for lo, n in zip(first[~whole].tolist(), size[~whole].tolist()):
+        if n > 1:
+            found = connected(sketches[lo:lo + n], side[lo:lo + n])
+            a.append(ids[lo:lo + n][[x for x, _ in found]])
+            b.append(ids[lo:lo + n][[y for _, y in found]])
+    return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
+
+
+def surviving(reps: DataFrame) -> DataFrame:
+    """(a, b): connections between representatives whose comparison by sketches is not broken off in some band."""
+    banded = reps.select("id", F.posexplode("bands").alias("band", "code")).select(
+        "id", F.xxhash64("band", "code").alias("code"))
+    shared = stored(banded.groupBy("code").agg(F.count("*").alias("members")).where("members > 1"))
+    total = shared.agg(F.sum("members").alias("n")).first()["n"] or 0
+    calls = max(1, -(-total // BAND_ROWS))
+    met = banded.join(shared, "code").join(reps.select("id", "sketch"), "id")
+    parts = F.ceil(F.col("members") / BAND_TILE).cast("int")
+    met = met.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    # small bands travel together; a large one is cut into tiles, each compared with itself and each other once
+    spread = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    large = F.col("parts") > 1
+    rows = spread.select(
+        F.when(large, F.col("code")).otherwise(F.pmod("code", F.lit(calls))).alias("call"),
+        F.when(large, F.least("own", "other")).otherwise(-1).alias("t0"), F.when(large, F.greatest("own", "other")).otherwise(-1).alias("t1"),
+        "code", (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "sketch")
+    return rows.groupBy("call", "t0", "t1").applyInArrow(compare_bands, "a long, b long")
+
+
+def with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """(a, b) joined with (a, m, n) by a; the rows of a node with very many neighbours are spread by salt."""
+    hot = stored(least.where(F.col("n") > HOT_NODE).select("a"))
+    plain = preselected(rows, F.col("a"), hot, "left_anti").join(least.select("a", "m"), "a")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    some = preselected(least.select("a", "m"), F.col("a"), hot).select("a", "m", salts)
+    spread = preselected(rows, F.col("a"), hot).withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    return plain.select("a", "b", "m").unionByName(spread.join(some, ["a", "salt"]).select("a", "b", "m"))
 
 
 def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     """(id, component) of every end of an edge (a, b): the smallest id it is connected with.
 
     Alternating steps of the large-star and small-star kind: every node points its neighbours to the smallest id it
-    knows, so long chains shrink by halves and no node gathers its neighbours in one place.
+    knows, so long chains shrink by halves.  The rows of a node that has gathered many neighbours are spread by salt.
     """
     pairs = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     for _ in range(most_rounds):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
         # large star: larger neighbours move to the least neighbour
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = with_least(both, least).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: smaller neighbours and the node itself move to the least neighbour
         floor = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(floor, "a")
@@ -227,16 +316,12 @@ def near_duplicates(
     """
     prints = stored(fingerprints(docs, doc_id, text))
     # one row for each id, then one representative for each shingle set
-    once = prints.groupBy("id").agg(F.min_by(F.struct("same", "n", "bands"), "same").alias("p")).select("id", "p.*")
+    once = prints.groupBy("id").agg(F.min_by(F.struct("same", "n", "bands", "sketch"), "same").alias("p")).select("id", "p.*")
     wordy = once.where("n > 0")
     # stored, so that the join back is between two exchanges, which AQE can split where many texts are the same
     sets = stored(wordy.groupBy("same").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
-    reps = stored(wordy.join(sets.select(F.col("rep").alias("id"), "copies"), "id").select("id", "n", "bands", "copies"))
-    banded = reps.select("id", F.posexplode("bands").alias("band", "code")).select(
-        "id", F.xxhash64("band", "code").alias("code"))
-    hubs = banded.groupBy("code").agg(F.min("id").alias("hub"), F.max("id").alias("far")).where("hub < far")
-    near = banded.join(hubs, "code").where("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    blocks = stored(components(near).join(reps.select("id", "n", "copies"), "id"))
+    reps = stored(wordy.join(sets.select(F.col("rep").alias("id"), "copies"), "id").select("id", "n", "bands", "sketch", "copies"))
+    blocks = stored(components(surviving(reps)).join(reps.select("id", "n", "copies"), "id"))
     size = blocks.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("words"))
     size = size.select("component", F.greatest(
         F.ceil(F.col("members") / TILE), F.ceil(F.col("words") / TILE_WORDS)).cast("int").alias("tiles"))

@@ -207,3 +207,67 @@ def test_strings_of_a_hot_anchor_go_to_many_buckets():
         sent = list(S.dealt(texts, np.arange(len(texts)), bits, buckets))
         used[hot] = [len(S.unpack(r[2], np.uint8)) for r in sent]
     assert max(used[0]) < 2 * sum(used[0]) / buckets and max(used[10**6]) > 2 * sum(used[10**6]) / buckets
+
+
+def template_pages(n, shared):
+    rng = random.Random(2)
+    common = [f"menu{i}" for i in range(shared)]
+    return {i: " ".join(common + [f"own{rng.randrange(10 ** 6)}" for _ in range(60)]) for i in range(n)}
+
+
+def test_pages_of_a_template_make_no_group(spark):
+    """Texts that share half of their words agree in bands, but no pair of them stays and no text is sent."""
+    pages = template_pages(600, 62)
+    copies = {10_000 + i: pages[i] + " more" for i in range(5)}
+    docs = spark.createDataFrame(list((pages | copies).items()), "doc_id long, text string")
+    prints = J.fingerprints(docs, "doc_id", "text")
+    edges = {frozenset((r.a, r.b)) for r in J.surviving(prints).collect()}
+    assert edges == {frozenset((i, 10_000 + i)) for i in range(5)}
+    codes = Counter(c for r in prints.collect() for c in enumerate(r.bands))
+    assert max(codes.values()) > 20  # the bands alone would chain them together
+    assert found(J.near_duplicates(docs)) == brute_classes(pages | copies)
+
+
+def test_large_bands_are_tiled(spark, monkeypatch):
+    """More members of a band than a tile: the same connections from tiles, in one or in two sides."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 256, (3, J.VALUES), dtype=np.uint8)
+    rows = [(i, [7] * J.BANDS, bytes(np.where(rng.random(J.VALUES) < 0.08, rng.integers(0, 256, J.VALUES), base[i % 3]).astype(np.uint8)))
+            for i in range(90)]
+    reps = spark.createDataFrame(rows, "id long, bands array<long>, sketch binary")
+    for size in (4096, 13):
+        monkeypatch.setattr(J, "BAND_TILE", size)
+        classes = J.components(J.surviving(reps)).collect()
+        assert {r.id: r.component for r in classes} == {i: i % 3 for i in range(90)}
+
+
+def test_connections_are_those_of_all_pairs():
+    rng = np.random.default_rng(6)
+    for two in (False, True):
+        sketches = rng.integers(0, 256, (1, J.VALUES), dtype=np.uint8).repeat(70, 0)
+        for row in sketches:
+            at = rng.random(J.VALUES) < rng.choice([0.1, 0.2, 0.3])
+            row[at] = rng.integers(0, 256, at.sum())
+        side = rng.integers(0, 2, 70) if two else np.zeros(70, dtype=np.int64)
+
+        def classes(edges):
+            root = list(range(70))
+
+            def find(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+
+            for x, y in edges:
+                root[find(x)] = find(y)
+            return {frozenset(i for i in range(70) if find(i) == r) for r in {find(i) for i in range(70)}}
+
+        every = [(x, y) for x in range(70) for y in range(x) if (not two or side[x] != side[y]) and J.stays(sketches[x], sketches[[y]])[0]]
+        assert classes(J.connected(sketches, side)) == classes(every)
+
+
+def test_a_hub_with_many_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(J, "HOT_NODE", 10)
+    edges = [(0, i) for i in range(1, 300)] + [(299, 500), (500, 501), (900, 901)]
+    rows = J.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.id: r.component for r in rows} == {**{i: 0 for i in range(300)}, 500: 0, 501: 0, 900: 900, 901: 900}
