@@ -65,8 +65,9 @@ def shuffle_key(*columns: Column) -> Column:
 
 def queues(
     docs: DataFrame, text: str, source: str, doc_id: str, keep: list[str] | None, weights: tuple[int, ...], most_passes: int, seed: int,
-) -> DataFrame:
-    """(doc, id, queue, size, source_size, target, start): every document at its place in its source's queue.
+) -> tuple[DataFrame, DataFrame]:
+    """(doc, id, queue, size, source_size, target, start): every document at its place in its source's queue; and the same
+    without the documents, for the packets, from sizes that are counted once and stored.
 
     Sums of pieces and of documents within a piece replace one long running sum, so a source with a third of all rows
     is spread over ``PIECES`` groups, and the join brings each piece one row.  The documents are shuffled once.
@@ -77,7 +78,8 @@ def queues(
         doc.alias("doc"), key.alias("id"), word_count(words).alias("size"), shuffle_key(F.lit(seed), key).alias("key"),
         F.xxhash64(words).alias("tie"), F.coalesce(F.concat(F.lit("="), name), F.lit("")).alias("queue"),
     ).withColumn("piece", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
-    pieces = queued.groupBy("queue", "piece").agg(F.sum("size").alias("words"))
+    counted = stored(queued.drop("doc", "id"))
+    pieces = counted.groupBy("queue", "piece").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("queue").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.withColumn("offset", F.coalesce(F.sum("words").over(before), F.lit(0)))
     sizes = pieces.groupBy("queue").agg(F.sum("words").alias("source_size")).withColumn(
@@ -85,8 +87,12 @@ def queues(
     targets = source_targets(sizes, weights, most_passes)
     placed = offsets.join(targets, "queue").select("queue", "piece", "offset", "source_size", "target")
     inside = Window.partitionBy("queue", "piece").orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    joined = queued.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(placed, ["queue", "piece"])
-    return joined.select("doc", "id", "queue", "size", "source_size", "target", (F.col("offset") + F.col("inside")).alias("start"))
+
+    def located(rows: DataFrame, *columns: str) -> DataFrame:
+        joined = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(placed, ["queue", "piece"])
+        return joined.select(*columns, "queue", "size", "source_size", "target", (F.col("offset") + F.col("inside")).alias("start"))
+
+    return located(queued, "doc", "id"), located(counted)
 
 
 def served_packets(placed: DataFrame, most_passes: int, budget_share: float) -> DataFrame:
@@ -96,7 +102,7 @@ def served_packets(placed: DataFrame, most_passes: int, budget_share: float) ->
     1 + sources * ``QUANTUM`` / budget cannot be reached and are not made; the range sort and the running totals
     decide about all others.
     """
-    rows = placed.select("queue", "size", "source_size", "target", "start").where("size > 0 and target > 0")
+    rows = stored(placed.where("size > 0 and target > 0"))
     sums = rows.groupBy("queue").agg(F.first("source_size").alias("words")).groupBy().agg(
         F.sum("words").alias("words"), F.count("*").alias("queues"))
     known = sums.select((F.round(F.col("words") * budget_share)).cast("long").alias("budget"), (
@@ -134,8 +140,8 @@ def serve(
     ``start_words`` is the place in the source's queue and ``taken`` the number of words that the mix takes, over all
     passes.
     """
-    placed = queues(docs, text, source, doc_id, keep, weights, most_passes, seed)
-    taken = served_packets(placed, most_passes, 1.0).groupBy("queue", "start").agg(F.sum("words").alias("taken"))
+    placed, sizes = queues(docs, text, source, doc_id, keep, weights, most_passes, seed)
+    taken = served_packets(sizes, most_passes, 1.0).groupBy("queue", "start").agg(F.sum("words").alias("taken"))
     # documents without words share their place with the next one
     place = F.when(F.col("size") > 0, F.col("start"))
     joined = placed.withColumn("place", place).join(taken.withColumnRenamed("start", "place"), ["queue", "place"], "left")
@@ -152,8 +158,8 @@ def mix(
     It is range-partitioned and sorted by the virtual finish time of the whole document, and holds ``budget_share`` of the
     budget; ``words`` says how much of the document is within it.
     """
-    placed = queues(docs, text, source, doc_id, keep, weights, most_passes, seed)
-    served = served_packets(placed, most_passes, budget_share)
+    placed, sizes = queues(docs, text, source, doc_id, keep, weights, most_passes, seed)
+    served = served_packets(sizes, most_passes, budget_share)
     joined = placed.where("size > 0").join(served, ["queue", "start"])
     finish = (F.col("pass") * F.col("source_size") + F.col("start") + F.col("size")) / F.col("target")
     stream = joined.select("doc", "id", "size", "pass", finish.alias("virtual_finish"), "words")
