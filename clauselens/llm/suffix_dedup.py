@@ -223,18 +223,22 @@ class Collection:
 
 def smallest_ids(texts: np.ndarray, start: np.ndarray, strings: np.ndarray, ids: np.ndarray, group: np.ndarray,
                  width: int = WIDTH) -> np.ndarray:
-    """Smallest id of each string of different stretches, in order; stretches of one group lie together."""
+    """Smallest id of each string of different stretches, in order; stretches of one group lie together.
+
+    Different stretches of one string each, as those of a hot anchor, have no string in common.
+    """
     out = np.repeat(ids, strings)
     first = np.cumsum(strings) - strings
     edges = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, dtype=np.int64)
     sizes = np.diff(np.append(edges, len(group)))
+    most = np.maximum.reduceat(strings, edges) if len(edges) else edges
     lo = 0
     while lo < len(edges):
         hi, held = lo, 0
         while hi < len(edges) and (held == 0 or held + sizes[hi] <= COLLECTION):
             held += sizes[hi]
             hi += 1
-        at = np.concatenate([np.arange(e, e + s) for e, s in zip(edges[lo:hi], sizes[lo:hi]) if s > 1] or [
+        at = np.concatenate([np.arange(e, e + s) for e, s, m in zip(edges[lo:hi], sizes[lo:hi], most[lo:hi]) if s > 1 and m > 1] or [
             np.zeros(0, dtype=np.int64)])
         if len(at):
             built = Collection(texts, start[at], strings[at] + width - 1, width)
