@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from clauselens.llm import decontaminate, minhash_join, mixing, quality_classifier, sharding
 from clauselens.llm.common import prepare, preselected, shared_dir, stored, table
@@ -32,12 +33,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the smallest id.
 
-    Repeated rows of an id become one.  Documents that neither go nor share their id are not shuffled.
+    Of the rows of one id the one with the smallest text digest stays, and of these the first by its other columns.
+    Documents that neither go nor share their id are not shuffled.
     """
     ids = docs.where("doc_id is not null").select("doc_id")
     gone = stored(minhash_join.near_duplicates(docs).where("doc_id != class_id").select("doc_id").distinct())
     doubtful = gone.unionByName(ids.groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    rest = preselected(docs, F.col("doc_id"), doubtful).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    plain = [F.col(f"`{f.name}`").cast("string") for f in docs.schema if isinstance(f.dataType, AtomicType)]
+    order = F.struct(F.md5(F.coalesce("text", F.lit(""))).alias("digest"), *[c.alias(f"c{i}") for i, c in enumerate(plain)])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = preselected(docs, F.col("doc_id"), doubtful).join(gone, "doc_id", "left_anti").groupBy("doc_id").agg(
+        F.min_by(row, order).alias("row")).select("row.*")
     clear = preselected(docs.where("doc_id is not null"), F.col("doc_id"), doubtful, "left_anti")
     return clear.unionByName(rest.where("doc_id is not null")).unionByName(docs.where("doc_id is null")).select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -82,3 +82,13 @@ def test_cases(spark, sf, odd_docs, no_docs):
             if name != C.STAGES[-1][0]:
                 assert result.columns == docs.columns
         assert len(rows) == docs.count()
+
+
+def test_one_row_of_an_id_in_any_order(spark, sf):
+    rows = [(1, "one text", "b"), (1, "another text", "a"), (1, "one text", "a"), (2, "alone", "x"), (2, "alone", "x"), (None, "no id", "y")]
+    kept = []
+    for part in (rows, rows[::-1]):
+        docs = spark.createDataFrame(part, "doc_id long, text string, source string")
+        kept.append(sorted(map(tuple, C.near_duplicates(spark, docs, sf).collect()), key=repr))
+    assert kept[0] == kept[1] and len(kept[0]) == 3 and (2, "alone", "x") in kept[0]
+    assert kept[0][0] in [(1, "one text", "a"), (1, "another text", "a")]
