@@ -26,10 +26,10 @@ from math import lgamma
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from clauselens.llm.common import BYTE_CODES, FACTOR, in_chunks, mix64, preselected, stored, text_bytes, word_hashes, word_spans
+from clauselens.llm.common import BYTE_CODES, FACTOR, in_chunks, mix64, preselected, slot_of, stored, text_bytes, word_hashes, word_spans
 from clauselens.llm.decontaminate import FOLD
 
 SHINGLE = 5
@@ -270,14 +270,23 @@ def surviving(reps: DataFrame) -> DataFrame:
     return rows.groupBy("call", "t0", "t1").applyInArrow(compare_bands, "a long, b long")
 
 
-def with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
-    """(a, b) joined with (a, m, n) by a; the rows of a node with very many neighbours are spread by salt."""
-    hot = stored(least.where(F.col("n") > HOT_NODE).select("a"))
-    plain = preselected(rows, F.col("a"), hot, "left_anti").join(least.select("a", "m"), "a")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    some = preselected(least.select("a", "m"), F.col("a"), hot).select("a", "m", salts)
-    spread = preselected(rows, F.col("a"), hot).withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
-    return plain.select("a", "b", "m").unionByName(spread.join(some, ["a", "salt"]).select("a", "b", "m"))
+def with_least(rows: DataFrame, degree: DataFrame, most: int) -> DataFrame:
+    """(a, b, m): every row with the least neighbour of its node, from (a, b) and (a, m, n); ``most`` is the largest n.
+
+    Without a hot node that is a join on the node.  The rows of hot nodes, those with more than ``HOT_NODE`` neighbours, are
+    spread by salt; which nodes may be hot is told by a broadcast of at most ``FILTER_SLOTS`` hash slots.
+    """
+    if most <= HOT_NODE:
+        return rows.join(degree, "a").select("a", "b", "m")
+    hot = F.broadcast(degree.where(F.col("n") > HOT_NODE).select(slot_of(F.col("a")).alias("slot")).distinct().withColumn("hot", F.lit(True)))
+
+    def marked(side: DataFrame) -> DataFrame:
+        return side.withColumn("slot", slot_of(F.col("a"))).join(hot, "slot", "left").drop("slot")
+
+    salted = marked(rows).withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("b"), F.lit(SALTS))).otherwise(0).cast("int"))
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = marked(degree).select("a", "m", F.explode(salts).alias("salt"))
+    return salted.join(repeated, ["a", "salt"]).select("a", "b", "m")
 
 
 def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
@@ -285,22 +294,27 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
 
     Alternating steps of the large-star and small-star kind: every node points its neighbours to the smallest id it
     knows, so long chains shrink by halves.  The rows of a node that has gathered many neighbours are spread by salt.
+    The rounds end when number and digest of the pairs stay the same.
     """
+    def state(rows: DataFrame) -> Row:
+        return rows.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("digest")).first()
+
     pairs = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
+    before = state(pairs)
     for _ in range(most_rounds):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        degree = stored(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"))
+        most = degree.agg(F.max("n").alias("n")).first()["n"] or 0
         # large star: larger neighbours move to the least neighbour
-        large = with_least(both, least).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = with_least(both, degree, most).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: smaller neighbours and the node itself move to the least neighbour
-        floor = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(floor, "a")
-        moved = small.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-            floor.select("a", F.col("m").alias("b"))).where("a != b").distinct()
-        moved = stored(moved)
-        if moved.count() == pairs.count() and moved.exceptAll(pairs).isEmpty():
+        small = large.withColumn("m", F.min("b").over(Window.partitionBy("a")))
+        ends = F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b"))))
+        pairs = stored(small.select(ends.alias("x")).select("x.*").where("a != b").distinct())
+        after = state(pairs)
+        if after == before:
             break
-        pairs = moved
+        before = after
     else:
         raise RuntimeError("components did not settle")
     roots = pairs.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id"))
