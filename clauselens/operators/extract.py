@@ -137,17 +137,17 @@ def counterparty_name(text: Column, plain: Column, pos: int = 1) -> Column:
     return F.coalesce(*paired)
 
 
-def counterparty_signatory(text: Column, plain: Column, pos: int = 2) -> Column:
+def counterparty_signatory(text: Column, plain: Column, pos: int = 2, block_lines: int = V.SIGNATORY_LINES) -> Column:
     """Name in the first signature block of either shape, two words at least.
 
-    A block is a line with the role and the ``SIGNATORY_LINES`` lines after it, for both shapes.  So
+    A block is a line with the role and the ``block_lines`` lines after it, for both shapes.  So
     the work grows with the lines of the text, whatever they hold.
     """
     def block_names(cue: str, letters: str, body: str) -> Column:
         def blocks(lines: Column) -> Column:
             starts = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike(cue))
             return F.transform(starts, lambda i: F.array_join(
-                F.slice(lines, i + 1, F.lit(V.SIGNATORY_LINES + 1)), "\n"))
+                F.slice(lines, i + 1, F.lit(block_lines + 1)), "\n"))
 
         def pattern(is_plain: bool) -> str:
             return flags(letters, is_plain) + "(?i)" + body
@@ -384,18 +384,21 @@ def _periodicity(hits: Column) -> Column:
 
 # --- jobs --------------------------------------------------------------------
 
-def extract_wide(contracts: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+def extract_wide(
+    contracts: DataFrame, keep: Iterable[str] = (), header_lines: int = V.HEADER_LINES, block_lines: int = V.SIGNATORY_LINES,
+) -> DataFrame:
     """One row per contract: a candidate column per text-first field, and ``warnings``.
 
-    ``keep`` names further input columns to carry along (for example the lines).
+    ``keep`` names further input columns to carry along (for example the lines), ``header_lines`` says how many lines are
+    searched for the contract's type, ``block_lines`` how many belong to a signature block.
     """
-    ready = prepare(contracts).withColumn("hits", clause_hits(F.col("clauses")))
+    ready = prepare(contracts, header_lines).withColumn("hits", clause_hits(F.col("clauses")))
     ready = ready.withColumn("type_hit", type_keyword(F.col("folded_header")))
     text, plain = F.col("text"), F.col("plain")
     columns = {
-        "primary_contract_type": contract_type(F.col("type_hit"), F.col("lines"), F.col("header")),
+        "primary_contract_type": contract_type(F.col("type_hit"), F.col("lines"), F.col("header"), header_lines),
         "counterparty_name": counterparty_name(text, plain),
-        "counterparty_signatory": counterparty_signatory(text, plain),
+        "counterparty_signatory": counterparty_signatory(text, plain, block_lines=block_lines),
     }
     for pos, (field, labels) in enumerate(V.DATE_LABELS.items(), start=3):
         columns[field] = labelled_date(text, plain, labels, pos)
@@ -417,9 +420,9 @@ def to_long(wide: DataFrame, fields: Iterable[str]) -> DataFrame:
     return rows.select(ID, "x.field", "x.c.*")
 
 
-def extract_candidates(contracts: DataFrame) -> DataFrame:
-    """Long candidate table of the text-first fields."""
-    return to_long(extract_wide(contracts), V.TEXT_FIRST_FIELDS)
+def extract_candidates(contracts: DataFrame, **limits: int) -> DataFrame:
+    """Long candidate table of the text-first fields; ``limits`` as in :func:`extract_wide`."""
+    return to_long(extract_wide(contracts, **limits), V.TEXT_FIRST_FIELDS)
 
 
 def extract_field(contracts: DataFrame, field: str) -> DataFrame:

@@ -396,3 +396,12 @@ def test_partitions_are_replaced(spark, tmp_path):
     C.write_contracts(texts.where("contract_id = 'a_1'"), str(tmp_path / "t"))
     got = {r.contract_id: r.text for r in C.read_contract_store(spark, str(tmp_path / "t")).collect()}
     assert got == {"a_1": "x\n\ny", "b_2": "", "c 3": "é\n"}
+
+
+def test_limits_are_arguments(spark):
+    lines = ["Preamble"] * 45 + ["SERVICES AGREEMENT", "Signed for and on behalf of Customer"] + ["-"] * 7 + ["Name: Ann Lee"]
+    contracts = spark.createDataFrame([(1, "\n".join(lines))], "contract_id long, text string")
+    short = extract_contracts(contracts).first()
+    assert (short.primary_contract_type, short.counterparty_signatory) == (None, None)
+    long = extract_contracts(contracts, header_lines=60, block_lines=9).first()
+    assert (long.primary_contract_type, long.counterparty_signatory) == ("SERVICES", "Ann Lee")
