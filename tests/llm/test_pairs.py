@@ -190,7 +190,7 @@ def template_texts():
 
 @pytest.mark.parametrize("hot", [0, 2, 1000])
 def test_hot_anchors_are_dealt_by_string(spark, hot):
-    """One anchor that all texts share: its strings are spread, with the same result, also above the size of a collection."""
+    """One anchor that all texts share: whether its strings are spread or travel together, the result is the same."""
     texts = template_texts()
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     rows = cut_rows(S.remove_repeats(docs, kept_text=False, hot_groups=hot, group_bytes=4_000))
