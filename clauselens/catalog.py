@@ -71,13 +71,13 @@ def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snippets(documents: DataFrame) -> DataFrame:
     requested = F.array(*[F.lit(f) for f in SNIPPET_FIELDS])
-    return R.with_snippets(P.with_lines(documents), requested).select(ID, "snippets")
+    return R.with_snippets(P.with_lines(documents), requested, SNIPPET_FIELDS).select(ID, "snippets")
 
 
 def snippet_parts(documents: DataFrame) -> DataFrame:
     """Snippets in small parts, joined again, and whether every part of several lines fits."""
     requested = F.array(*[F.lit(f) for f in SNIPPET_FIELDS])
-    parts = R.with_snippets(P.with_lines(documents), requested).select(ID, R.in_parts(F.col("snippets"), 500).alias("parts"))
+    parts = R.with_snippets(P.with_lines(documents), requested, SNIPPET_FIELDS).select(ID, R.in_parts(F.col("snippets"), 500).alias("parts"))
     fits = F.forall("parts", lambda p: (F.length(p) <= 500) | ~F.contains(p, F.lit("\n")))
     return parts.select(ID, F.array_join("parts", "\n").alias("snippets"), fits.alias("fits"))
 
@@ -85,7 +85,7 @@ def snippet_parts(documents: DataFrame) -> DataFrame:
 def edge_snippets(documents: DataFrame) -> DataFrame:
     """Snippets for a field that needs both edges of a document, whose middle is left out."""
     requested = F.array(F.lit("internal_entity"))
-    return R.with_snippets(P.with_lines(documents), requested).select(ID, "snippets")
+    return R.with_snippets(P.with_lines(documents), requested, ["internal_entity"]).select(ID, "snippets")
 
 
 VARIANT_FIELDS = [
