@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clauselens.operators import responses as S
+from clauselens.session import configure
 from clauselens.sources import derived as D
 
 
@@ -22,3 +23,13 @@ def test_rejected_responses_are_judged_once(spark):
 @pytest.mark.parametrize("rows", [D.classification_responses])
 def test_rows_are_dealt_to_many_tasks(spark, sf, rows):
     assert tasks(rows(spark, sf)) >= 8
+
+
+def test_orders_are_dealt_to_many_tasks(spark):
+    """Their few bytes do not make few tasks of long texts."""
+    contracts = D.contracts(configure(spark), "/root/testdata/sf0.1")
+    assert tasks(contracts.where("length(text) > 0")) >= 6
+
+
+def test_suppliers_are_dealt_to_many_tasks(spark, sf):
+    assert tasks(D.supplier_contracts(spark, sf)) >= 4
