@@ -33,3 +33,23 @@ def test_orders_are_dealt_to_many_tasks(spark):
 
 def test_suppliers_are_dealt_to_many_tasks(spark, sf):
     assert tasks(D.supplier_contracts(spark, sf)) >= 4
+
+
+def test_texts_are_found_without_a_second_judgement(spark, sf):
+    """The pass that brings the chosen texts back finds objects, but checks no answer again."""
+    responses = D.classification_responses(spark, sf)
+    people = responses.select("contract_id", "model").distinct()
+
+    def checks(texts):
+        return S.merge_calls(people, responses, texts)._jdf.queryExecution().optimizedPlan().toString().count("a whole number is required")
+
+    assert checks(True) == checks(False) > 0
+
+
+@pytest.mark.parametrize("content, raw", [
+    ('{"a": 1} {', '{"a": 1}'), ('{"a": 1}{"b": 2}', '{"a": 1}'), ('{"b": {"c": 2}, "a": 5} }', '{"b": {"c": 2}, "a": 5}'),
+    ('<THINK>}</Think> ```JSON {"a": {}}```', '{"a": {}}'), ("{}", "{}"), ('{"a": 1', None),
+])
+def test_raw_text_of_the_first_object(spark, content, raw):
+    frame = spark.createDataFrame([(content,)], "c string").select(S.first_object(F.col("c")).alias("x"))
+    assert frame.select("x.raw").first()[0] == raw
